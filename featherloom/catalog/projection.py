@@ -207,7 +207,7 @@ def _(t):
 
 
 @book.add("p26_pair_arithmetic", """
-SELECT l_orderkey, l_linenumber, round(q + d, 6) AS q_plus_d, round(q - d, 6) AS q_minus_d, round(q * d, 6) + 0 AS q_times_d,
+SELECT l_orderkey, l_linenumber, round(q + d, 6) AS q_plus_d, round(q - d, 6) + 0 AS q_minus_d, round(q * d, 6) + 0 AS q_times_d,
   round(q / (d + 1e-6), 4) + 0 AS q_over_d, CASE WHEN q * q - d * d >= 0 THEN round(sqrt(q * q - d * d), 6) END AS q_root_d
 FROM (SELECT l_orderkey, l_linenumber, l_quantity - 20 AS q, l_discount * 100 AS d FROM lineitem)""")
 def _(t):

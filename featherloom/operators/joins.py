@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featherloom.operators.ordered import last_known
+from featherloom.operators.ordered import known_around
 from featherloom.operators.stats import join_groups
 
 
@@ -74,13 +74,11 @@ def nearest_lookup(df: DataFrame, value: str, table: DataFrame, centre: str, col
     got = [centre, *cols]
     both = df.withColumns({"__side": F.lit(1), "__x": F.col(value).cast("double")}).unionByName(
         table.select(*got).withColumns({"__side": F.lit(0), "__x": F.col(centre).cast("double")}), allowMissingColumns=True)
-    is_centre = F.col("__side") == 0
-    below = last_known(both, [], ["__x", "__side"], {f"__lo_{c}": F.col(c) for c in got}, is_centre)
-    above = last_known(below, [], ["-__x", "-__side"], {f"__hi_{c}": F.col(c) for c in got}, is_centre)
-    lo, hi = F.col(f"__lo_{centre}"), F.col(f"__hi_{centre}")
+    d = known_around(both, [], ["__x", "__side"], {c: F.col(c) for c in got}, F.col("__side") == 0)
+    lo, hi = F.col(f"prev_{centre}"), F.col(f"next_{centre}")
     use_hi = lo.isNull() | ((hi - F.col("__x")) < (F.col("__x") - lo))
-    picked = [F.when(use_hi, F.col(f"__hi_{c}")).otherwise(F.col(f"__lo_{c}")).alias(c) for c in got]
-    return above.where(F.col("__side") == 1).select(*df.columns, *picked)
+    picked = [F.when(use_hi, F.col(f"next_{c}")).otherwise(F.col(f"prev_{c}")).alias(c) for c in got]
+    return d.where(F.col("__side") == 1).select(*df.columns, *picked)
 
 
 def range_lookup(df: DataFrame, value: str, bins: DataFrame, lo: str, hi: str, label: str) -> DataFrame:
@@ -88,13 +86,13 @@ def range_lookup(df: DataFrame, value: str, bins: DataFrame, lo: str, hi: str, l
 
     Bins must not overlap. The bin of a value is the first one that ends at or after it.
     """
-    rows = df.withColumns({"__side": F.lit(-1), "__x": F.col(value).cast("double")})
-    ends = bins.select(F.lit(0).alias("__side"), F.col(hi).cast("double").alias("__x"),
+    rows = df.withColumns({"__side": F.lit(0), "__x": F.col(value).cast("double")})
+    ends = bins.select(F.lit(1).alias("__side"), F.col(hi).cast("double").alias("__x"),
                        F.col(lo).alias("__lo"), F.col(label).alias("__label"))
-    found = last_known(rows.unionByName(ends, allowMissingColumns=True), [], ["-__x", "-__side"],
-                       {"__b_lo": F.col("__lo"), "__b_label": F.col("__label")}, F.col("__side") == 0)
-    return found.where(F.col("__side") == -1).select(
-        *df.columns, F.when(F.col("__x") > F.col("__b_lo"), F.col("__b_label")).alias(label))
+    found = known_around(rows.unionByName(ends, allowMissingColumns=True), [], ["__x", "__side"],
+                         {"lo": F.col("__lo"), "label": F.col("__label")}, F.col("__side") == 1)
+    return found.where(F.col("__side") == 0).select(
+        *df.columns, F.when(F.col("__x") > F.col("next_lo"), F.col("next_label")).alias(label))
 
 
 def checked_pairs(true: DataFrame, pred: DataFrame, key: str) -> DataFrame:

@@ -70,9 +70,12 @@ def chunk_of(df: DataFrame, name: str, edges: list, desc: bool) -> Column:
     return -chunk if desc else chunk
 
 
-def _chunked(df: DataFrame, keys: list[str], order: list[str], chunks: int | None) -> DataFrame:
+def _chunked(
+    df: DataFrame, keys: list[str], order: list[str], chunks: int | None, edges: list | None = None
+) -> DataFrame:
     lead, desc = _split(order[0])
-    edges = order_edges(df, lead, chunks or default_chunks(df))
+    if edges is None:
+        edges = order_edges(df, lead, chunks or default_chunks(df))
     # struct keys compare equal field by field, nulls included
     key = F.struct(*keys) if keys else F.struct(F.lit(0))
     return df.withColumns({_KEY: key, _CHUNK: chunk_of(df, lead, edges, desc)})
@@ -104,13 +107,16 @@ def running(
     exclusive: bool = False,
     totals: bool = False,
     chunks: int | None = None,
+    edges: list | None = None,
 ) -> DataFrame:
     """Add running aggregates per key, up to the row (or before it when ``exclusive``).
 
     ``aggs`` maps the new column to ``(sum|count|max|min, expression)``. ``order`` must be
-    unique per key. ``totals`` also adds ``<name>_total`` over the whole key.
+    unique per key. ``totals`` also adds ``<name>_total`` over the whole key. ``df`` is read
+    twice (rows and summary), so write an expensive input out first. ``edges`` gives cut points
+    that are already known.
     """
-    d = _chunked(df, keys, order, chunks)
+    d = _chunked(df, keys, order, chunks, edges)
     frame = (
         Window.partitionBy(_KEY, _CHUNK).orderBy(*sort_columns(order))
         .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
@@ -159,20 +165,40 @@ def previous(
     return out.select(*df.columns, *[prev[n].alias(n) for n in cols])
 
 
+def known_around(
+    df: DataFrame, keys: list[str], order: list[str], cols: dict[str, Column], present: Column,
+    chunks: int | None = None,
+) -> DataFrame:
+    """Values of the closest row where ``present`` holds, as ``prev_<name>`` (at or before this
+    row) and ``next_<name>`` (at or after it). ``order`` is ascending.
+    """
+    row = F.when(present, F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                                   *[e.alias(n) for n, e in cols.items()]))
+    d = _chunked(df, keys, order, chunks).withColumn("__row", row)
+    up = Window.partitionBy(_KEY, _CHUNK).orderBy(*sort_columns(order))
+    till = up.rowsBetween(Window.unboundedPreceding, 0)
+    # a descending running frame: frames that reach to the end are recomputed for every row
+    down = Window.partitionBy(_KEY, _CHUNK).orderBy(*sort_columns([f"-{c}" for c in order]))
+    after = down.rowsBetween(Window.unboundedPreceding, 0)
+    steps = Window.partitionBy(_KEY).orderBy(_CHUNK)
+    ends = d.groupBy(_KEY, _CHUNK).agg(F.max("__row").alias("hi"), F.min("__row").alias("lo"))
+    carry = ends.select(
+        _KEY, _CHUNK,
+        F.max("hi").over(steps.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
+        F.min("lo").over(steps.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
+    )
+    local = d.withColumns({"__prev": F.last("__row", True).over(till), "__next": F.last("__row", True).over(after)})
+    out = _keyed_join(local, carry)
+    prev, nxt = F.coalesce("__prev", "__before"), F.coalesce("__next", "__after")
+    return out.select(*df.columns, *[prev[n].alias(f"prev_{n}") for n in cols], *[nxt[n].alias(f"next_{n}") for n in cols])
+
+
 def last_known(
     df: DataFrame, keys: list[str], order: list[str], cols: dict[str, Column], present: Column, **opts
 ) -> DataFrame:
-    """Values of the latest row at or before this one where ``present`` holds.
-
-    Descending order gives the next such row instead.
-    """
-    ways = {_split(s)[1] for s in order}
-    if len(ways) > 1:
-        raise ValueError("order must be all ascending or all descending")
-    kind = "min" if ways.pop() else "max"
-    row = F.struct(*[F.col(_split(s)[0]).alias(f"o{i}") for i, s in enumerate(order)],
-                   *[e.alias(n) for n, e in cols.items()])
-    out = running(df, keys, order, {"__known": (kind, F.when(present, row))}, **opts)
+    """Values of the latest row at or before this one where ``present`` holds (ascending order)."""
+    row = F.struct(*[F.col(s).alias(f"o{i}") for i, s in enumerate(order)], *[e.alias(n) for n, e in cols.items()])
+    out = running(df, keys, order, {"__known": ("max", F.when(present, row))}, **opts)
     return out.select(*df.columns, *[F.col("__known")[n].alias(n) for n in cols])
 
 
@@ -213,8 +239,9 @@ def group_quantiles(
     Values are counted first, then located by running counts, so neither one key nor the whole
     column ever sits in one task's buffer.
     """
+    edges = order_edges(df, value, chunks or default_chunks(df))
     freq = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    run = running(freq, keys, [value], {"__hi": ("sum", F.col("__n"))}, totals=True, chunks=chunks)
+    run = running(freq, keys, [value], {"__hi": ("sum", F.col("__n"))}, totals=True, edges=edges)
     lo, hi = F.col("__hi") - F.col("__n"), F.col("__hi")
 
     def at(rank: Column) -> Column:

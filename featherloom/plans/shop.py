@@ -16,3 +16,13 @@ def search_matches(actions: DataFrame, searches: DataFrame) -> DataFrame:
         F.countDistinct(F.when(hit, F.col("cluster"))).alias("matching_clusters"),
         F.avg(whole_days(F.col("ts"), F.col("first_ts"))).alias("mean_days"),
     )
+
+
+def widget_block(actions: DataFrame, widgets: list[int]) -> DataFrame:
+    """Per user: count and share of each widget, 0 where it was not used."""
+    used = actions.where(F.col("widget").isNotNull())
+    counts = {w: F.count_if(F.col("widget") == w) for w in widgets}
+    return used.groupBy("user_id").agg(
+        *[n.alias(f"widget_{w}_count") for w, n in counts.items()],
+        *[(n / F.count("*")).alias(f"widget_{w}_ratio") for w, n in counts.items()],
+    )
