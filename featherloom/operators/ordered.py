@@ -1,7 +1,7 @@
 """Order-dependent operators that never put one whole group into one task.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a hot key to one task.
-Here each key is cut into chunks along its leading order column. Windows run per
+Here each key is cut into chunks along its order. Windows run per
 ``(key, chunk)``; what a chunk needs from earlier chunks comes from a summary with one row
 per ``(key, chunk)``, so the hot key is spread over as many tasks as there are chunks.
 
@@ -31,14 +31,12 @@ def sort_columns(order: list[str]) -> list[Column]:
 
 
 def order_number(df: DataFrame, name: str) -> Column:
-    """A number that grows with the column; ties are allowed, reversals are not."""
+    """The column as something that is compared and carried as a plain literal."""
     kind, col = df.schema[name].dataType, F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(col.cast("timestamp"))
     if isinstance(kind, T.DateType):
         return F.unix_date(col)
-    if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.hex(F.encode(col, "UTF-8")).substr(1, 14), 14, "0"), 16, 10).cast("long")
     if isinstance(kind, T.BooleanType):
         return col.cast("int")
     return col
@@ -49,36 +47,75 @@ def default_chunks(df: DataFrame) -> int:
     return max(2, min(MAX_CHUNKS, parts))
 
 
-def order_edges(df: DataFrame, name: str, chunks: int) -> list:
-    """Cut points that share the rows evenly; at most ``chunks - 1`` values reach the driver."""
+def value_edges(df: DataFrame, name: str, chunks: int | None = None) -> list[tuple]:
+    """Cut points of one numeric, date or time column that share its rows evenly."""
+    chunks = chunks or default_chunks(df)
     probs = [i / chunks for i in range(1, chunks)]
     got = df.agg(F.percentile_approx(order_number(df, name), probs, 1000).alias("e")).first()["e"]
-    return sorted(set(got or []))
+    return [(e,) for e in sorted(set(got or []))]
 
 
-def _chunk_tree(value: Column, edges: list, lo: int, hi: int) -> Column:
+def order_edges(df: DataFrame, keys: list[str], order: list[str], chunks: int | None = None) -> list[tuple]:
+    """Cut points of the order, at most ``chunks - 1`` tuples over as many columns as needed.
+
+    The leading column is enough when it has many values. Otherwise (a few statuses, text) the cut
+    points come from a sample of whole order keys: the rows with the smallest hashes, of which each
+    task keeps a bounded number.
+    """
+    chunks = chunks or default_chunks(df)
+    lead, desc = _split(order[0])
+    if not isinstance(df.schema[lead].dataType, T.StringType):
+        edges = value_edges(df, lead, chunks)
+        if len(order) == 1 or len(edges) >= chunks // 2:
+            return edges[::-1] if desc else edges
+    size = max(1000, 20 * chunks)
+    names = [_split(s)[0] for s in order]
+    picked = df.select(*dict.fromkeys([*keys, *names])).orderBy(F.xxhash64(*keys, *names)).limit(size)
+    rows = picked.orderBy(*sort_columns(order)).select(
+        *[order_number(df, n).alias(f"o{i}") for i, n in enumerate(names)]).collect()
+    cuts = [tuple(rows[len(rows) * i // chunks]) for i in range(1, chunks)] if rows else []
+    width = next((w for w in range(1, len(names) + 1) if len({c[:w] for c in cuts}) == len(cuts)), len(names))
+    return list(dict.fromkeys(c[:width] for c in cuts))
+
+
+def _not_after(cols: list[tuple[Column, bool]], edge: tuple) -> Column:
+    """Row order key <= edge, with nulls first ascending and last descending."""
+    (col, desc), value = cols[0], edge[0]
+    if value is None:
+        less = col.isNotNull() if desc else F.lit(False)
+        same = col.isNull()
+    else:
+        e = F.lit(value)
+        less = (col.isNotNull() & (col > e)) if desc else (col.isNull() | (col < e))
+        same = F.coalesce(col == e, F.lit(False))
+    if len(edge) == 1:
+        return less | same
+    return less | (same & _not_after(cols[1:], edge[1:]))
+
+
+def _chunk_tree(cols: list[tuple[Column, bool]], edges: list[tuple], lo: int, hi: int) -> Column:
     if lo == hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
-    left = _chunk_tree(value, edges, lo, mid)
-    return F.when(value <= F.lit(edges[mid]), left).otherwise(_chunk_tree(value, edges, mid + 1, hi))
+    return F.when(_not_after(cols, edges[mid]), _chunk_tree(cols, edges, lo, mid)).otherwise(
+        _chunk_tree(cols, edges, mid + 1, hi))
 
 
-def chunk_of(df: DataFrame, name: str, edges: list, desc: bool) -> Column:
-    value = order_number(df, name)
-    chunk = F.when(F.col(name).isNull(), F.lit(-1)).otherwise(_chunk_tree(value, edges, 0, len(edges)))
-    return -chunk if desc else chunk
+def chunk_of(df: DataFrame, order: list[str], edges: list[tuple]) -> Column:
+    cols = [(order_number(df, n), desc) for n, desc in map(_split, order)]
+    return _chunk_tree(cols, edges, 0, len(edges))
 
 
 def _chunked(
-    df: DataFrame, keys: list[str], order: list[str], chunks: int | None, edges: list | None = None
+    df: DataFrame, keys: list[str], order: list[str], chunks: int | None, edges: list[tuple] | None = None
 ) -> DataFrame:
-    lead, desc = _split(order[0])
     if edges is None:
-        edges = order_edges(df, lead, chunks or default_chunks(df))
+        edges = order_edges(df, keys, order, chunks)
+    elif _split(order[0])[1]:
+        edges = sorted(edges, reverse=True)
     # struct keys compare equal field by field, nulls included
     key = F.struct(*keys) if keys else F.struct(F.lit(0))
-    return df.withColumns({_KEY: key, _CHUNK: chunk_of(df, lead, edges, desc)})
+    return df.withColumns({_KEY: key, _CHUNK: chunk_of(df, order, edges)})
 
 
 _AGG = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
@@ -107,7 +144,7 @@ def running(
     exclusive: bool = False,
     totals: bool = False,
     chunks: int | None = None,
-    edges: list | None = None,
+    edges: list[tuple] | None = None,
 ) -> DataFrame:
     """Add running aggregates per key, up to the row (or before it when ``exclusive``).
 
@@ -239,7 +276,7 @@ def group_quantiles(
     Values are counted first, then located by running counts, so neither one key nor the whole
     column ever sits in one task's buffer.
     """
-    edges = order_edges(df, value, chunks or default_chunks(df))
+    edges = value_edges(df, value, chunks)
     freq = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     run = running(freq, keys, [value], {"__hi": ("sum", F.col("__n"))}, totals=True, edges=edges)
     lo, hi = F.col("__hi") - F.col("__n"), F.col("__hi")
