@@ -55,8 +55,8 @@ def quantile_bin(df: DataFrame, col: str, out: str, parts: int = 10, source: Dat
     """Right-closed quantile bins from 0, equal edges merged; the lowest value belongs to bin 0."""
     edges = quantile_edges(source if source is not None else df, col, parts).scalar()
     x = F.col(col).cast("double")
-    marks = [F.get(edges, F.lit(i)) for i in range(1, parts + 1)]
-    return df.withColumn(out, F.when(x.isNotNull(), _edges_below(x, marks)))
+    marks = [F.get("__e", F.lit(i)) for i in range(1, parts + 1)]
+    return df.withColumn("__e", edges).withColumn(out, F.when(x.isNotNull(), _edges_below(x, marks))).drop("__e")
 
 
 # categories ------------------------------------------------------------------------------

@@ -149,23 +149,23 @@ def weighted_mae(y: Column, p: Column, weights: list[float], normalise: bool = F
 
 # per-row losses --------------------------------------------------------------------------
 
-def asymmetric_loss(y: Column, p: Column, alpha: float, beta: float, eps: float, power: float = 1.0) -> dict[str, Column]:
-    """Epsilon-insensitive loss with different weights above and below, its gradient and hessian in ``p``.
+def asymmetric_loss(y: Column, p: Column, alpha: float = 1.2, beta: float = 0.9, eps: float = 1.0, power: float = 2.0) -> dict[str, Column]:
+    """Epsilon-insensitive loss, its gradient and its hessian in ``p``.
 
-    ``alpha`` weighs predictions that are too low, ``beta`` those that are too high.
+    ``alpha`` weighs predictions that are too high, ``beta`` those that are too low.
     """
     r = p - y
     over, under = r - eps, -r - eps
-    high, low = r > eps, r < -eps
-    second = power * (power - 1)
 
-    def branch(up: Column, down: Column, rest: float) -> Column:
-        return F.when(high, up).when(low, down).otherwise(F.lit(rest))
+    def branch(high: Column, low: Column) -> Column:
+        return F.when(r > eps, high).when(r < -eps, low).otherwise(F.lit(0.0))
 
+    second = power * (power - 1)
+    hessian = branch(alpha * second * F.pow(over, power - 2), beta * second * F.pow(under, power - 2)) if power > 1 else F.lit(0.0)
     return {
-        "loss": branch(beta * F.pow(over, power), alpha * F.pow(under, power), 0.0),
-        "gradient": branch(beta * power * F.pow(over, power - 1), -alpha * power * F.pow(under, power - 1), 0.0),
-        "hessian": branch(beta * second * F.pow(over, power - 2), alpha * second * F.pow(under, power - 2), 0.0),
+        "loss": branch(alpha * F.pow(over, power), beta * F.pow(under, power)),
+        "gradient": branch(alpha * power * F.pow(over, power - 1), -beta * power * F.pow(under, power - 1)),
+        "hessian": hessian,
     }
 
 
