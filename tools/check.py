@@ -48,8 +48,11 @@ def compare(tables: Tables, con, fn, sql) -> tuple[str, int]:
     rows = [tuple(r) for r in df.collect()]
     if not sql:
         return ("rows-only" if rows else "EMPTY"), len(rows)
+    t0 = time.time()
     cur = con.execute(sql)
     names, want = [d[0] for d in cur.description], cur.fetchall()
+    if time.time() - t0 > 3:
+        print(f"   (sql took {time.time() - t0:.1f}s)")
     if sorted(names) != sorted(df.columns):
         return f"COLUMNS spark={sorted(df.columns)} sql={sorted(names)}", len(rows)
     a, b = bag(df.columns, rows), bag(names, want)
