@@ -40,6 +40,22 @@ class Tables:
             F.regexp_extract("source", r"(\d+)", 1).cast("int").alias("cluster"),
         )
 
+    @property
+    def products(self) -> DataFrame:
+        return self.part.select(
+            F.col("p_partkey").alias("product_id"), F.col("p_retailprice").alias("price"), F.col("p_brand").alias("brand"),
+            F.col("p_type").alias("category"), (F.col("p_size") % 7).alias("cluster"))
+
+    @property
+    def txns(self) -> DataFrame:
+        """``orders`` in the role of card transactions."""
+        key = F.col("o_orderkey")
+        return self.orders.select(
+            key.alias("txn_id"), F.col("o_custkey").alias("client"),
+            (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (key % 24).cast("int"))).alias("ts"),
+            F.col("o_totalprice").alias("amount"), F.lpad(((key % 37) * 101).cast("string"), 4, "0").alias("mcc"),
+            F.concat(F.lit("m"), (key % 23).cast("string")).alias("merchant"))
+
     @property
     def scored(self) -> DataFrame:
         """Labels with two deterministic scores in (0, 1), many of them tied."""
@@ -61,6 +77,9 @@ SEARCHES = r"""searches AS (
          TIMESTAMP '2024-01-01' + to_seconds(CAST((doc_id * 7919) % 2592000 AS BIGINT)) AS ts, text AS query,
          CAST(regexp_extract(source, '(\d+)', 1) AS INT) AS cluster
   FROM documents)"""
+PRODUCTS = """products AS (SELECT p_partkey AS product_id, p_retailprice AS price, p_brand AS brand, p_type AS category, p_size % 7 AS cluster FROM part)"""
+TXNS = """txns AS (SELECT o_orderkey AS txn_id, o_custkey AS client, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT)) AS ts, o_totalprice AS amount,
+  lpad(CAST(o_orderkey % 37 * 101 AS VARCHAR), 4, '0') AS mcc, 'm' || (o_orderkey % 23) AS merchant FROM orders)"""
 SCORED = """scored AS (
   SELECT doc_id, lang, quality AS y, toxic, (n_chars % 97 + 1) / 100.0::DOUBLE AS p1,
          (n_chars % 41 + 1) / 50.0::DOUBLE AS p2, n_chars::DOUBLE AS x

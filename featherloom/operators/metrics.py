@@ -205,3 +205,51 @@ def threshold_search(df: DataFrame, label: str, probs: list[str], grid: list[flo
         j = min(range(len(grid)), key=lambda k: (losses[k], k))
         best[i] = grid[j]
     return best
+
+
+# error reports ---------------------------------------------------------------------------
+
+def error_summary(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
+    """Wrong rows, false positives and negatives with their shares, and the mean distance."""
+    y, wrong = F.col(label), (F.col(score) >= threshold).cast("int") != F.col(label)
+    n = F.count("*")
+    return df.agg(
+        n.alias("n"), F.count_if(wrong).alias("errors"), F.count_if(wrong & (y == 0)).alias("false_positives"),
+        F.count_if(wrong & (y == 1)).alias("false_negatives"), (F.count_if(wrong) / n).alias("error_share"),
+        (F.count_if(wrong & (y == 0)) / F.count_if(wrong)).alias("false_positive_share"), F.avg(F.abs(y - F.col(score))).alias("mean_distance"))
+
+
+def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
+    """Mean score and positive rate per equal-width score bin; the last bin includes 1."""
+    i = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1))
+    return df.groupBy(i.alias("bin")).agg(F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("positive_rate"), F.count("*").alias("n"))
+
+
+def fold_scores(df: DataFrame, fold: str, metric: Column) -> DataFrame:
+    """A metric per fold, with the mean and population deviation over the folds on each row."""
+    per_fold = df.groupBy(fold).agg(metric.alias("score"))
+    d = with_stats(per_fold, name="__s", mean=F.avg("score"), std=F.stddev_pop("score"))
+    return d.select(fold, "score", F.col("__s.mean").alias("mean"), F.col("__s.std").alias("std"))
+
+
+def segment_errors(df: DataFrame, segment: str, error: Column) -> DataFrame:
+    """Mean error, total error and share of all error per segment."""
+    d = df.groupBy(segment).agg(F.count("*").alias("n"), F.avg(error).alias("mean_error"), F.sum(error).alias("total_error"))
+    return with_stats(d, name="__s", t=F.sum("total_error")).withColumn("error_share", ratio(F.col("total_error"), F.col("__s.t"))).drop("__s")
+
+
+def segment_auc(df: DataFrame, label: str, segment: str, models: list[str]) -> DataFrame:
+    """AUC of every model column in every segment, as one long table."""
+    long = df.select(segment, label, *models).unpivot([segment, label], models, "model", "score")
+    return auc(long, label, "score", [segment, "model"])
+
+
+def attribution(long: DataFrame, feature: str, value: str, amount: str, k: int, min_share: float = 0.01) -> DataFrame:
+    """Mean absolute attribution per (feature, category); categories rarer than a share of the
+    feature's rows count as ``Other``. The k largest."""
+    counts = long.groupBy(feature, value).agg(F.count("*").alias("n"), F.sum(F.abs(amount)).alias("s"))
+    totals = counts.groupBy(F.col(feature).alias("__f")).agg(F.sum("n").alias("__t"))
+    d = counts.join(totals, F.col(feature) == F.col("__f"))
+    name = F.when(F.col("n") / F.col("__t") >= min_share, F.col(value)).otherwise("Other")
+    d = d.groupBy(feature, name.alias("value")).agg((F.sum("s") / F.sum("n")).alias("mean_abs"))
+    return d.orderBy(F.desc("mean_abs"), feature, "value").limit(k)

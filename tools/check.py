@@ -61,7 +61,7 @@ def compare(tables: Tables, con, fn, sql) -> tuple[str, int]:
     bad = [(x, y) for x, y in zip(a, b) if x != y]
     if bad:
         only_a, only_b = sorted(set(a) - set(b)), sorted(set(b) - set(a))
-        return f"VALUES {len(bad)}/{len(a)} cols={sorted(names)}\n   spark {only_a[:8]}\n   sql   {only_b[:8]}", len(rows)
+        return f"VALUES {len(bad)}/{len(a)} cols={str(sorted(names))[:600]}\n   spark {str(only_a[:3])[:1500]}\n   sql   {str(only_b[:3])[:1500]}", len(rows)
     return ("ok" if a else "ok-EMPTY"), len(rows)
 
 
