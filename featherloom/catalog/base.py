@@ -86,6 +86,11 @@ SCORED = """scored AS (
   FROM labels JOIN documents USING (doc_id))"""
 
 
+def uniform_sql(key: str, seed: int) -> str:
+    """SQL twin of ``hash_uniform``."""
+    return f"((CAST('0x' || substr(md5({key} || ':{seed}'), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)"
+
+
 Query = Callable[[Tables], DataFrame]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featherloom.catalog.base import ACTIONS, SCORED, SEARCHES, Book, rnd
+from featherloom.catalog.base import ACTIONS, SCORED, Book, rnd, uniform_sql
 from featherloom.functions.strings import join_text
 from featherloom.operators import encode as enc
 
@@ -206,6 +206,7 @@ def _(t):
     return enc.override_by_word(t.documents.select("doc_id", "text"), "text", rules, "doc_id", "cluster").select("doc_id", "cluster")
 
 
-@book.add("e23_shadow_features")
+@book.add("e23_shadow_features", f"""SELECT o_orderkey, round(sqrt(-2 * ln({uniform_sql('o_orderkey', 7)})) * cos(2 * pi() * {uniform_sql('o_orderkey', 8)}), 6) + 0 AS shadow_normal,
+  CAST(floor({uniform_sql('o_orderkey', 9)} * 200) AS INT) AS shadow_200, CAST(floor({uniform_sql('o_orderkey', 10)} * 4) AS INT) AS shadow_4 FROM orders""")
 def _(t):
-    return enc.shadow_features(t.orders.select("o_orderkey"), "o_orderkey", seed=7)
+    return enc.shadow_features(t.orders.select("o_orderkey"), "o_orderkey", seed=7).withColumn("shadow_normal", rnd("shadow_normal"))

@@ -13,6 +13,7 @@ from featherloom.functions.rows import numeric_columns
 from featherloom.operators.categories import mode_of
 from featherloom.operators.joins import top_entities
 from featherloom.operators.ordered import group_quantiles, known_around, positions, running
+from featherloom.operators.splits import hash_uniform
 from featherloom.operators.stats import with_stats
 
 # bins ------------------------------------------------------------------------------------
@@ -245,16 +246,10 @@ def uniform_quantiles(train: DataFrame, df: DataFrame, col: str, out: str) -> Da
     return d.where(F.col("__side") == 1).select(*df.columns, F.when(F.col("__x").isNotNull(), value).alias(out))
 
 
-def hash_uniform(*cols: Column, seed: int) -> Column:
-    """Repeatable number in (0, 1) from a row's own columns, whatever the partitioning."""
-    return (F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(2**52)) + 0.5) / F.lit(float(2**52))
-
-
 def shadow_features(df: DataFrame, key: str, seed: int = 0, levels: tuple[int, ...] = (200, 4)) -> DataFrame:
     """Noise columns without information: one normal and one uniform integer per number of levels."""
-    k = F.col(key)
-    u1, u2 = hash_uniform(k, seed=seed), hash_uniform(k, seed=seed + 1)
+    u1, u2 = hash_uniform([key], seed), hash_uniform([key], seed + 1)
     new = {"shadow_normal": F.sqrt(-2 * F.ln(u1)) * F.cos(2 * math.pi * u2)}
     for i, n in enumerate(levels):
-        new[f"shadow_{n}"] = F.floor(hash_uniform(k, seed=seed + 2 + i) * n).cast("int")
+        new[f"shadow_{n}"] = F.floor(hash_uniform([key], seed + 2 + i) * n).cast("int")
     return df.withColumns(new)

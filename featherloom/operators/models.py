@@ -1,17 +1,251 @@
-"""Spark ML jobs."""
+"""Jobs on Spark ML. Every fit and every transform is distributed; the driver holds only what a
+fitted model holds (coefficients, centres, trees)."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, VectorAssembler
+from functools import reduce
+from random import Random
 
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.clustering import GaussianMixture, KMeans, PowerIterationClustering
+from pyspark.ml.feature import IDF, PCA, HashingTF, Imputer, NGram, RegexTokenizer, StandardScaler, StopWordsRemover, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-def logistic_with_medians(cols: list[str], label: str) -> Pipeline:
+from featherloom.functions.numbers import ratio
+from featherloom.operators import knn
+
+from featherloom.operators.ordered import running, value_edges
+from featherloom.operators.splits import hash_uniform, poisson_count
+from featherloom.operators.stats import with_stats
+
+
+def _assembled(cols: list[str], out: str = "features") -> VectorAssembler:
+    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error")
+
+
+def positive(col: str = "probability") -> Column:
+    return vector_to_array(col)[1]
+
+
+# classifiers -----------------------------------------------------------------------------
+
+
+def logistic_with_medians(cols: list[str], label: str, weight: str | None = None) -> Pipeline:
     """Missing numbers become the column median, then logistic regression."""
     filled = [f"{c}_filled" for c in cols]
+    model = LogisticRegression(featuresCol="features", labelCol=label, maxIter=50)
+    if weight:
+        model = model.setWeightCol(weight)
+    return Pipeline(stages=[Imputer(strategy="median", inputCols=cols, outputCols=filled), _assembled(filled), model])
+
+
+def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """Row weight n / (2 n_class) for a 0/1 label."""
+    d = with_stats(df, name="__s", n=F.count("*"), n1=F.count_if(F.col(label) == 1))
+    s = F.col("__s")
+    size = F.when(F.col(label) == 1, s["n1"]).otherwise(s["n"] - s["n1"])
+    return d.withColumn(out, s["n"] / (2 * size)).drop("__s")
+
+
+def scaled_logistic(df: DataFrame, cols: list[str], label: str) -> PipelineModel:
+    """Standardised columns and class-balanced logistic regression."""
+    stages = [_assembled(cols, "raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
+              LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight", maxIter=50)]
+    return Pipeline(stages=stages).fit(balanced_weights(df, label))
+
+
+def char_ngrams(text: Column, low: int, high: int) -> Column:
+    """All substrings of ``low`` to ``high`` characters."""
+    parts = []
+    for n in range(low, high + 1):
+        starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        parts.append(F.transform(starts, lambda i, n=n: F.substring(text, i, F.lit(n))))
+    return F.concat(*parts)
+
+
+def word_classifier(label: str, features: int = 1 << 14) -> Pipeline:
+    """TF-IDF over a token column ``grams`` and multinomial logistic regression."""
     return Pipeline(stages=[
-        Imputer(strategy="median", inputCols=cols, outputCols=filled),
-        VectorAssembler(inputCols=filled, outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label, maxIter=50),
-    ])
+        StringIndexer(inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc"),
+        HashingTF(inputCol="grams", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="features"),
+        LogisticRegression(featuresCol="features", labelCol="label_index", maxIter=20, regParam=1e-4)])
+
+
+# text clusters ---------------------------------------------------------------------------
+
+
+def text_clusters(df: DataFrame, text: str, clusters: int, features: int = 256, seed: int = 1) -> DataFrame:
+    """Word 1-2-gram TF-IDF, two principal components, Gaussian mixture cluster and its probability.
+
+    The component analysis keeps a ``features`` x ``features`` matrix, which bounds its size.
+    """
+    words = RegexTokenizer(inputCol=text, outputCol="w1", pattern=r"\W+")
+    plain = StopWordsRemover(inputCol="w1", outputCol="w2")
+    pairs = NGram(n=2, inputCol="w2", outputCol="w3")
+    tokens = Pipeline(stages=[words, plain, pairs]).fit(df).transform(df).withColumn("tokens", F.concat("w2", "w3")).drop("w1", "w2", "w3")
+    stages = [HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="tfidf"),
+              PCA(k=2, inputCol="tfidf", outputCol="pca"), GaussianMixture(featuresCol="pca", k=clusters, seed=seed, maxIter=20, predictionCol="cluster")]
+    out = Pipeline(stages=stages).fit(tokens).transform(tokens)
+    return out.withColumn("cluster_probability", F.array_max(vector_to_array("probability"))).drop("tokens", "tf", "tfidf", "pca", "probability")
+
+
+def graph_clusters(df: DataFrame, key: str, vector: str, clusters: int, k: int = 5) -> DataFrame:
+    """Power iteration clustering of the k-nearest-neighbour graph."""
+    nn = knn.nearest(df, df, key, vector, k, exclude=key)
+    edges = nn.select(F.least(key, "neighbour").alias("src"), F.greatest(key, "neighbour").alias("dst"),
+                      (1 / (1 + F.col("distance"))).alias("weight")).groupBy("src", "dst").agg(F.max("weight").alias("weight"))
+    pic = PowerIterationClustering(k=clusters, maxIter=10, srcCol="src", dstCol="dst", weightCol="weight")
+    return pic.assignClusters(edges).select(F.col("id").alias(key), "cluster")
+
+
+def principal_components(df: DataFrame, cols: list[str], k: int, prefix: str = "pca") -> DataFrame:
+    """Scores on the first k components of the standardised columns; missing values count as 0, and each
+    component's largest loading is positive."""
+    d = df.fillna(0, subset=cols)
+    stages = [_assembled(cols, "__raw"), StandardScaler(inputCol="__raw", outputCol="__z", withMean=True), PCA(k=k, inputCol="__z", outputCol="__p")]
+    model = Pipeline(stages=stages).fit(d)
+    loadings = model.stages[-1].pc.toArray()  # len(cols) x k
+    signs = [1.0 if max(loadings[:, i], key=abs) >= 0 else -1.0 for i in range(k)]
+    scores = vector_to_array("__p")
+    return model.transform(d).withColumns({f"{prefix}_{i}": scores[i] * signs[i] for i in range(k)}).drop("__raw", "__z", "__p")
+
+
+def cluster_profile(df: DataFrame, cols: list[str], clusters: int, seed: int = 1) -> DataFrame:
+    """k-means clusters of (error) rows: size and column means."""
+    model = Pipeline(stages=[_assembled(cols, "__v"), StandardScaler(inputCol="__v", outputCol="__z", withMean=True),
+                             KMeans(featuresCol="__z", predictionCol="cluster", k=clusters, seed=seed, maxIter=20)]).fit(df)
+    return model.transform(df).groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(c).alias(f"mean_{c}") for c in cols])
+
+
+# base models and ensembles -----------------------------------------------------------------
+
+
+def regressors(label: str, depth: int = 5, trees: int = 20, seed: int = 1) -> dict[str, Estimator]:
+    common = {"featuresCol": "features", "labelCol": label}
+    return {
+        "ridge": LinearRegression(**common, regParam=1.0, elasticNetParam=0.0), "lasso": LinearRegression(**common, regParam=1.0, elasticNetParam=1.0, maxIter=50),
+        "elastic_net": LinearRegression(**common, regParam=1.0, elasticNetParam=0.5, maxIter=50),
+        "forest": RandomForestRegressor(**common, numTrees=trees, maxDepth=depth, seed=seed), "boosted": GBTRegressor(**common, maxIter=trees, maxDepth=depth, seed=seed)}
+
+
+def classifiers(label: str, depth: int = 5, trees: int = 20, seed: int = 1) -> dict[str, Estimator]:
+    common = {"featuresCol": "features", "labelCol": label}
+    return {"svm": LinearSVC(**common, maxIter=20), "forest": RandomForestClassifier(**common, numTrees=trees, maxDepth=depth, seed=seed),
+            "boosted": GBTClassifier(**common, maxIter=trees, maxDepth=depth, seed=seed)}
+
+
+def fit_on(cols: list[str], model: Estimator, df: DataFrame) -> PipelineModel:
+    return Pipeline(stages=[_assembled(cols, model.getFeaturesCol()), model]).fit(df)
+
+
+def _mean(cols: list[str]) -> Column:
+    return reduce(lambda a, b: a + b, [F.col(c) for c in cols]) / len(cols)
+
+
+def feature_subset_bagging(train: DataFrame, df: DataFrame, cols: list[str], label: str, models: int = 14, share: float = 0.78,
+                           seed: int = 1, out: str = "score") -> DataFrame:
+    """Mean score of models that each see a random subset of the columns."""
+    rng, size, d, names = Random(seed), max(1, round(len(cols) * share)), df, []
+    for i in range(models):
+        model = fit_on(sorted(rng.sample(cols, size)), LogisticRegression(featuresCol="__f", labelCol=label, probabilityCol="__p", rawPredictionCol="__r", predictionCol="__y", maxIter=20), train)
+        names.append(f"__s{i}")
+        d = model.transform(d).withColumn(names[-1], positive("__p")).drop("__f", "__p", "__r", "__y")
+    return d.withColumn(out, _mean(names)).drop(*names)
+
+
+def bootstrap_bagging(train: DataFrame, df: DataFrame, key: str, cols: list[str], label: str, models: int = 5, seed: int = 1, out: str = "score") -> DataFrame:
+    """Mean score of models fitted on bootstrap samples; a sample is a weight column, so no row is copied."""
+    d, names = df, []
+    for i in range(models):
+        sample = train.withColumn("__w", poisson_count([key], seed + i).cast("double")).where("__w > 0")
+        model = fit_on(cols, LogisticRegression(featuresCol="__f", labelCol=label, weightCol="__w", probabilityCol="__p", rawPredictionCol="__r", predictionCol="__y", maxIter=20), sample)
+        names.append(f"__s{i}")
+        d = model.transform(d).withColumn(names[-1], positive("__p")).drop("__f", "__p", "__r", "__y")
+    return d.withColumn(out, _mean(names)).drop(*names)
+
+
+def out_of_fold(df: DataFrame, cols: list[str], model: Estimator, fold: str, folds: int, score: Column, out: str) -> DataFrame:
+    """Each row scored by a model that did not see its fold."""
+    parts = []
+    for i in range(folds):
+        fitted = fit_on(cols, model, df.where(F.col(fold) != i))
+        parts.append(fitted.transform(df.where(F.col(fold) == i)).withColumn(out, score).select(*df.columns, out))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stack(df: DataFrame, cols: list[str], models: dict[str, Estimator], label: str, fold: str, folds: int) -> DataFrame:
+    """Out-of-fold scores of every base model, and a logistic meta-model over them."""
+    d = df
+    for name, model in models.items():
+        d = out_of_fold(d, cols, model, fold, folds, positive(), f"oof_{name}")
+    names = [f"oof_{n}" for n in models]
+    meta = LogisticRegression(featuresCol="__m", labelCol=label, probabilityCol="__p", rawPredictionCol="__r", predictionCol="__y")
+    return fit_on(names, meta, d).transform(d).withColumn("meta", positive("__p")).select(*d.columns, "meta")
+
+
+def calibrate(df: DataFrame, score: str, label: str, out: str = "calibrated") -> DataFrame:
+    """Isotonic mapping of a score to a probability."""
+    model = IsotonicRegression(featuresCol=score, labelCol=label, predictionCol=out).fit(df)
+    return model.transform(df)
+
+
+def segmented(df: DataFrame, rule: Column, cols: list[str], label: str, model: Estimator, score: Column, out: str = "score") -> DataFrame:
+    """One model per side of a rule; the scores of both sides in one table."""
+    sides = [df.where(rule), df.where(~F.coalesce(rule, F.lit(False)))]
+    return reduce(DataFrame.unionByName, [fit_on(cols, model, s).transform(s).withColumn(out, score).select(*df.columns, out) for s in sides])
+
+
+def bagged_sample(df: DataFrame, key: str, cols: list[str], row_share: float, column_share: float, seed: int) -> DataFrame:
+    """A random share of the rows and of the feature columns."""
+    chosen = sorted(Random(seed).sample(cols, max(1, int(len(cols) * column_share))), key=cols.index)
+    return df.where(hash_uniform([key], seed) < row_share).select(key, *chosen)
+
+
+# split search ----------------------------------------------------------------------------
+
+
+def _impurity(kind: str, n: Column, parts: list[Column]) -> Column:
+    if kind == "mse":
+        mean = ratio(parts[0], n)
+        return ratio(parts[1], n) - mean * mean
+    shares = [ratio(p, n) for p in parts]
+    if kind == "gini":
+        return F.lit(1.0) - reduce(lambda a, b: a + b, [s * s for s in shares])
+    return -reduce(lambda a, b: a + b, [s * F.ln(s + F.lit(1e-6)) for s in shares])
+
+
+def impurity(df: DataFrame, label: str, kind: str, classes: list | None = None) -> DataFrame:
+    """Impurity of a label column; entropy adds 1e-6 inside the logarithm."""
+    return df.agg(_impurity(kind, F.count(label).cast("double"), _parts(label, kind, classes or [])).alias("impurity"))
+
+
+def _parts(label: str, kind: str, classes: list) -> list[Column]:
+    y = F.col(label).cast("double")
+    if kind == "mse":
+        return [F.sum(y), F.sum(y * y)]
+    return [F.sum((F.col(label) == c).cast("double")) for c in classes]
+
+
+def best_splits(df: DataFrame, features: list[str], label: str, kind: str = "gini", classes: list | None = None) -> DataFrame:
+    """Per numeric feature, the threshold with the largest impurity drop (ties: the lowest threshold).
+
+    All features are searched in one pass: equal values are counted first, and running sums give both
+    sides of every threshold, which lies halfway between neighbouring values.
+    """
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
+    long = df.select(label, F.inline(cells)).where(F.col("x").isNotNull())
+    parts = _parts(label, kind, classes or [])
+    names = [f"p{i}" for i in range(len(parts))]
+    counts = long.groupBy("feature", "x").agg(F.count(F.lit(1)).cast("double").alias("n"), *[p.alias(c) for p, c in zip(parts, names)])
+    aggs = {f"l_{c}": ("sum", F.col(c)) for c in ["n", *names]} | {"prev": ("max", F.col("x"))}
+    d = running(counts, ["feature"], ["x"], aggs, exclusive=True, totals=True, edges=value_edges(long, "x")).where(F.col("prev").isNotNull())
+    n, left = F.col("l_n_total"), F.col("l_n")
+    rest = [F.col(f"l_{c}_total") - F.col(f"l_{c}") for c in names]
+    gain = (_impurity(kind, n, [F.col(f"l_{c}_total") for c in names])
+            - left / n * _impurity(kind, left, [F.col(f"l_{c}") for c in names]) - (n - left) / n * _impurity(kind, n - left, rest))
+    d = d.select("feature", ((F.col("prev") + F.col("x")) / 2).alias("threshold"), gain.alias("gain"))
+    return d.groupBy("feature").agg(F.min_by("threshold", F.struct(-F.round("gain", 12), F.col("threshold"))).alias("threshold"), F.max("gain").alias("gain"))
