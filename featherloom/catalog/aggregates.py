@@ -168,9 +168,9 @@ def _(t):
 
 @book.add("a21_monthly_trend", """
 WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) AS x, avg(o_totalprice) AS y FROM orders GROUP BY 1, 2)
-SELECT o_custkey, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END, 6) AS trend FROM m GROUP BY 1""")
+SELECT o_custkey, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END, 4) AS trend FROM m GROUP BY 1""")
 def _(t):
-    return ag.monthly_trend(t.orders, ["o_custkey"], "o_orderdate", "o_totalprice", "trend").withColumn("trend", rnd("trend"))
+    return ag.monthly_trend(t.orders, ["o_custkey"], "o_orderdate", "o_totalprice", "trend").withColumn("trend", rnd("trend", 4))
 
 
 @book.add("a22_weekly_counts", """

@@ -2,8 +2,8 @@
 
 A group function gets no whole group. It is given in three parts, like an aggregate: ``start`` turns
 a batch of one key's rows into a small state, ``merge`` joins two states, ``finish`` gives the result
-row. States are made inside the partitions and merged in two steps, so a hot key costs no more than
-any other.
+row. States are made inside the partitions and merged in two steps, so of a hot key only small states
+travel. Keys must not be null.
 """
 
 from __future__ import annotations
@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from featherloom.operators.stats import join_groups
 
-FLUSH_KEYS = 50_000
-
-
 def fold_groups(
     df: DataFrame, keys: list[str], state_schema: str, start: Callable[[Any], tuple], merge: Callable[[tuple, tuple], tuple],
     finish: Callable[[tuple], tuple], result_schema: str, salts: int = 32,
@@ -27,45 +24,49 @@ def fold_groups(
     key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     state_names = [p.split()[0] for p in state_schema.split(",")]
     result_names = [p.split()[0] for p in result_schema.split(",")]
-
-    def partial(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        held: dict[tuple, tuple] = {}
-
-        def rows():
-            return pd.DataFrame([(*k, *s) for k, s in held.items()], columns=[*keys, *state_names])
-
-        for batch in batches:
-            for key, part in batch.groupby(keys, dropna=False, sort=False):
-                state = start(part)
-                held[key] = merge(held[key], state) if key in held else state
-            if len(held) > FLUSH_KEYS:
-                yield rows()
-                held.clear()
-        if held:
-            yield rows()
-
-    def merged(part):
-        out = None
-        for row in part[state_names].itertuples(index=False, name=None):
-            out = row if out is None else merge(out, row)
-        return out
-
-    def join_states(part):
-        import pandas as pd
-
-        return pd.DataFrame([(*part[keys].iloc[0], *merged(part))], columns=[*keys, *state_names])
-
-    def close(part):
-        import pandas as pd
-
-        return pd.DataFrame([(*part[keys].iloc[0], *finish(merged(part)))], columns=[*keys, *result_names])
-
-    states = df.mapInPandas(partial, f"{key_schema}, {state_schema}")
-    salted = states.withColumn("__salt", F.pmod(F.xxhash64(*state_names), F.lit(salts)))
-    joined = salted.groupBy(*keys, "__salt").applyInPandas(join_states, f"{key_schema}, {state_schema}")
-    return joined.groupBy(*keys).applyInPandas(close, f"{key_schema}, {result_schema}")
+    width = len(keys)
+
+    def batch_states(batch):
+        for key, part in batch.groupby(keys, dropna=False, sort=False):
+            yield key, start(part)
+
+    def stored_states(batch):
+        for row in batch[[*keys, *state_names]].itertuples(index=False, name=None):
+            yield row[:width], row[width:]
+
+    def combine(states: Callable, close: Callable | None = None) -> Callable:
+        """Merge the states of neighbouring equal keys; input is sorted by key within a partition."""
+        names = result_names if close else state_names
+
+        def run(batches: Iterator) -> Iterator:
+            import pandas as pd
+
+            key, held = None, None
+
+            def row():
+                return (*key, *(close(held) if close else held))
+
+            for batch in batches:
+                done = []
+                for k, state in states(batch):
+                    if key is not None and all(a == b or (a != a and b != b) for a, b in zip(k, key)):
+                        held = merge(held, state)
+                        continue
+                    if key is not None:
+                        done.append(row())
+                    key, held = k, state
+                if done:
+                    yield pd.DataFrame(done, columns=[*keys, *names])
+            if key is not None:
+                yield pd.DataFrame([row()], columns=[*keys, *names])
+
+        return run
+
+    state_columns, result_columns = f"{key_schema}, {state_schema}", f"{key_schema}, {result_schema}"
+    states = df.sortWithinPartitions(*keys).mapInPandas(combine(batch_states), state_columns)
+    salted = states.repartition(*keys, F.pmod(F.xxhash64(*state_names), F.lit(salts))).sortWithinPartitions(*keys)
+    joined = salted.mapInPandas(combine(stored_states), state_columns)
+    return joined.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(combine(stored_states, finish), result_columns)
 
 
 def transform_groups(df: DataFrame, keys: list[str], folded: DataFrame, **cols: Column) -> DataFrame:

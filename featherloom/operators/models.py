@@ -134,7 +134,7 @@ def regressors(label: str, depth: int = 5, trees: int = 20, seed: int = 1) -> di
 
 def classifiers(label: str, depth: int = 5, trees: int = 20, seed: int = 1) -> dict[str, Estimator]:
     common = {"featuresCol": "features", "labelCol": label}
-    return {"svm": LinearSVC(**common, maxIter=20), "forest": RandomForestClassifier(**common, numTrees=trees, maxDepth=depth, seed=seed),
+    return {"svm": LinearSVC(**common, maxIter=20, regParam=0.01), "forest": RandomForestClassifier(**common, numTrees=trees, maxDepth=depth, seed=seed),
             "boosted": GBTClassifier(**common, maxIter=trees, maxDepth=depth, seed=seed)}
 
 

@@ -278,6 +278,14 @@ def group_quantiles(
     """
     edges = value_edges(df, value, chunks)
     freq = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    return quantiles_of_counts(freq, keys, value, "__n", probs, edges)
+
+
+def quantiles_of_counts(
+    freq: DataFrame, keys: list[str], value: str, n: str, probs: dict[str, float], edges: list[tuple] | None = None
+) -> DataFrame:
+    """:func:`group_quantiles` of a table that already holds each value once per key with its count."""
+    freq = freq.select(*keys, value, F.col(n).alias("__n"))
     run = running(freq, keys, [value], {"__hi": ("sum", F.col("__n"))}, totals=True, edges=edges)
     lo, hi = F.col("__hi") - F.col("__n"), F.col("__hi")
 

@@ -9,6 +9,7 @@ from featherloom.functions.dates import seconds_between, whole_days
 from featherloom.functions.numbers import ratio
 from featherloom.operators.ordered import known_around, positions, previous, rolling, running
 from featherloom.operators.stats import with_group_stats, with_stats
+from featherloom.session import materialize
 
 
 def rolling_stats(df: DataFrame, keys: list[str], order: list[str], value: str, rows: int, full: bool = False, **opts) -> DataFrame:
@@ -43,11 +44,12 @@ def gap_stats(df: DataFrame, keys: list[str], ts: str, tie: str, unit_seconds: f
 def switch_stats(df: DataFrame, keys: list[str], ts: str, tie: str, value: str) -> DataFrame:
     """Per key: sum of absolute steps of a numeric category, number of switches, and mean whole
     days between switches."""
-    d = previous(df, keys, [ts, tie], {"__pv": F.col(value)})
-    step = F.coalesce(F.abs(F.col(value) - F.col("__pv")), F.lit(0))
-    moved = F.coalesce(F.col(value) != F.col("__pv"), F.lit(False))
-    sums = d.groupBy(*keys).agg(F.sum(step).alias("abs_id_change"), F.count_if(moved).alias("switch_count"))
-    switches = previous(d.where(moved).select(*keys, ts, tie), keys, [ts, tie], {"__pt": F.col(ts)})
+    d = previous(df.select(*keys, ts, tie, value), keys, [ts, tie], {"__pv": F.col(value)})
+    d = materialize(d.withColumns({
+        "__step": F.coalesce(F.abs(F.col(value) - F.col("__pv")), F.lit(0)),
+        "__moved": F.coalesce(F.col(value) != F.col("__pv"), F.lit(False))}).drop(value, "__pv"), "switches")
+    sums = d.groupBy(*keys).agg(F.sum("__step").alias("abs_id_change"), F.count_if(F.col("__moved")).alias("switch_count"))
+    switches = previous(d.where(F.col("__moved")).select(*keys, ts, tie), keys, [ts, tie], {"__pt": F.col(ts)})
     gaps = switches.groupBy(*keys).agg(F.avg(whole_days(F.col(ts), F.col("__pt"))).alias("mean_switch_days"))
     return sums.join(gaps, keys, "left")
 
@@ -73,7 +75,7 @@ def drop_repeats(df: DataFrame, keys: list[str], order: list[str], value: str) -
 
 def since_last(df: DataFrame, keys: list[str], order: list[str], hit: Column, out: str) -> DataFrame:
     """Rows since the last hit (0 on a hit), or since the start when there was none."""
-    d = positions(df, keys, order, "__pos")
+    d = materialize(positions(df, keys, order, "__pos"), "positions")
     d = running(d, keys, order, {"__last": ("max", F.when(hit, F.col("__pos")))})
     return d.withColumn(out, F.col("__pos") - F.coalesce("__last", F.lit(0).cast("long"))).select(*df.columns, out)
 
@@ -94,7 +96,7 @@ def min_max(df: DataFrame, value: str, out: str) -> DataFrame:
 
 def interpolate(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Linear over row numbers between known values; the tail repeats the last one, the head stays null."""
-    d = positions(df, keys, order, "__pos")
+    d = materialize(positions(df, keys, order, "__pos"), "positions")
     v = F.col(value)
     d = known_around(d, keys, order, {"p": F.col("__pos"), "v": v}, v.isNotNull())
     share = ratio((F.col("__pos") - F.col("prev_p")).cast("double"), (F.col("next_p") - F.col("prev_p")).cast("double"))

@@ -18,6 +18,7 @@ from featherloom.operators.encode import equal_width_bin
 from featherloom.operators.ordered import group_quantiles
 from featherloom.operators.stats import join_groups, with_stats
 from featherloom.operators.windows import gap_stats, group_zscore
+from featherloom.session import materialize
 
 CLIENT = ["client"]
 PARTS = ["morning", "day", "evening", "night"]
@@ -37,7 +38,11 @@ def transaction_columns(txns: DataFrame, holidays: list[str], popular: int = 500
 
 
 def client_features(rows: DataFrame) -> DataFrame:
-    """Everything about a client: one wide aggregate, and joined blocks for the two-level statistics."""
+    """Everything about a client: one wide aggregate, and joined blocks for the two-level statistics.
+
+    The rows are written out once, because a dozen blocks read a few columns of them each.
+    """
+    rows = materialize(rows, "client_rows")
     amount = F.col("amount")
     base = rows.groupBy("client").agg(
         F.count("amount").alias("count_amount"), F.avg(amount).alias("avg_amount"), F.sum(amount.cast("decimal(18,2)")).cast("double").alias("total_amount"),
@@ -64,6 +69,7 @@ def client_features(rows: DataFrame) -> DataFrame:
 
 def optional_features(rows: DataFrame, mcc_groups: dict[str, list[str]], recent_days: int = 14) -> DataFrame:
     """Repetition, outliers, entropies in nats, the last days, and shares of code groups."""
+    rows = materialize(rows, "client_rows")
     z = group_zscore(rows.select("client", "amount"), CLIENT, "amount")
     outliers = z.groupBy("client").agg(F.avg(F.coalesce(F.abs("z") > 3, F.lit(False)).cast("int")).alias("amount_outlier_ratio"))
     entropies = [cat.category_profile(rows, CLIENT, c).select("client", F.col("entropy").alias(n))

@@ -20,6 +20,7 @@ from featherloom.functions.strings import has_digit, word_count
 from featherloom.operators.aggregates import conditional_block
 from featherloom.operators.categories import category_profile, measure_by_mode, mode_of, top_arrays
 from featherloom.operators.windows import switch_stats
+from featherloom.session import materialize
 
 # fixed values: action types and the column suffix of each
 ACTION_TYPES = {"click": "click", "view": "favorite", "purchase": "order", "signup": "to_cart"}
@@ -209,7 +210,13 @@ def search_product_comparison(search: DataFrame, product: DataFrame) -> DataFram
 
 def user_features(users: DataFrame, actions: DataFrame, products: DataFrame, searches: DataFrame, cutoff: str,
                   lookback: int, month: int = 30, week: int = 7) -> DataFrame:
-    """All blocks joined onto a list of users, with the derived columns."""
+    """All blocks joined onto a list of users, with the derived columns.
+
+    The windowed logs are written out once; every block reads the columns it needs from there.
+    """
+    longest = max(lookback, month)
+    actions = materialize(actions.where(_before(cutoff, longest)), "actions")
+    searches = materialize(searches.where(_before(cutoff, lookback)), "searches")
     used = actions.where(_before(cutoff, lookback))
     blocks = [
         users, action_features(actions, products, cutoff, lookback), search_features(searches, cutoff, lookback, month, week),
