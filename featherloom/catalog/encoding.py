@@ -120,7 +120,7 @@ def _(t):
 
 @book.add("e12_class_weights_by_category", f"""WITH {SCORED}, top AS (SELECT lang FROM scored WHERE y = 1 GROUP BY 1 ORDER BY count(*) DESC, lang LIMIT 2),
 b AS (SELECT doc_id, y, CASE WHEN lang IN (SELECT lang FROM top) THEN lang ELSE 'other' END AS bin FROM scored)
-SELECT doc_id, round(CASE WHEN y = 1 THEN count(*) FILTER (WHERE y = 0) OVER (PARTITION BY bin) / count(*) FILTER (WHERE y = 1) OVER (PARTITION BY bin) ELSE 1 END, 6) AS weight FROM b""")
+SELECT doc_id, round(CASE WHEN y = 1 AND count(*) FILTER (WHERE y = 0) OVER (PARTITION BY bin) >= 1 THEN count(*) FILTER (WHERE y = 0) OVER (PARTITION BY bin) / count(*) FILTER (WHERE y = 1) OVER (PARTITION BY bin) ELSE 1 END, 6) AS weight FROM b""")
 def _(t):
     from featherloom.operators.joins import top_entities
 

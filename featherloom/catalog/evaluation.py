@@ -12,21 +12,20 @@ from featherloom.operators.ordered import group_quantiles
 from featherloom.operators.stats import with_stats
 
 book = Book()
-Y, P = F.col("y"), F.col("p1")
 W = f"WITH {SCORED}"
 
 
 @book.add("v01_checked_mae", f"{W} SELECT round(avg(abs(y - p1)), 6) AS mae FROM scored")
 def _(t):
     pairs = checked_pairs(t.scored.select("doc_id", "y"), t.scored.select("doc_id", "p1"), "doc_id")
-    return pairs.agg(rnd(m.mae(Y, P)).alias("mae"))
+    return pairs.agg(rnd(m.mae(F.col("y"), F.col("p1"))).alias("mae"))
 
 
 @book.add("v02_rmse_by_fold", f"{W} SELECT CASE WHEN grouping(doc_id % 5) = 1 THEN -1 ELSE doc_id % 5 END AS fold, round(sqrt(avg((y - p1) ** 2)), 6) AS rmse FROM scored GROUP BY GROUPING SETS ((doc_id % 5), ())")
 def _(t):
     d = t.scored.withColumn("fold", F.col("doc_id") % 5)
-    overall = d.agg(m.rmse(Y, P).alias("rmse")).select(F.lit(-1).cast("long").alias("fold"), "rmse")
-    return d.groupBy("fold").agg(m.rmse(Y, P).alias("rmse")).unionByName(overall).withColumn("rmse", rnd("rmse"))
+    overall = d.agg(m.rmse(F.col("y"), F.col("p1")).alias("rmse")).select(F.lit(-1).cast("long").alias("fold"), "rmse")
+    return d.groupBy("fold").agg(m.rmse(F.col("y"), F.col("p1")).alias("rmse")).unionByName(overall).withColumn("rmse", rnd("rmse"))
 
 
 @book.add("v03_mape", "SELECT round(100 * avg(abs((o_totalprice - 250000) / (o_totalprice + 1e-10))), 6) AS mape FROM orders")
@@ -60,7 +59,7 @@ def _(t):
 
 @book.add("v07_confusion", f"{W} SELECT y, CASE WHEN p1 >= 0.4 THEN 1 ELSE 0 END AS p, count(*) AS n FROM scored GROUP BY 1, 2")
 def _(t):
-    return m.confusion(t.scored.withColumn("pred", (P >= 0.4).cast("int")), "y", "pred")
+    return m.confusion(t.scored.withColumn("pred", (F.col("p1") >= 0.4).cast("int")), "y", "pred")
 
 
 @book.add("v07_class_report", f"""{W}, d AS (SELECT y, CASE WHEN p1 >= 0.4 THEN 1 ELSE 0 END AS p FROM scored), k AS (SELECT unnest([0, 1]) AS class),
@@ -68,7 +67,7 @@ c AS (SELECT class, count(*) FILTER (WHERE y = class) AS support, count(*) FILTE
 SELECT class, support, round(tp / nullif(predicted, 0), 6) AS precision, round(tp / support, 6) AS recall, round(2 * tp / (support + predicted), 6) AS f1,
   round(sum(tp) OVER () / sum(support) OVER (), 6) AS accuracy, round(avg(tp / support) OVER (), 6) AS balanced_accuracy FROM c""")
 def _(t):
-    d = m.class_report(t.scored.withColumn("pred", (P >= 0.4).cast("int")), "y", "pred")
+    d = m.class_report(t.scored.withColumn("pred", (F.col("p1") >= 0.4).cast("int")), "y", "pred")
     return d.select("class", "support", *[rnd(c).alias(c) for c in ("precision", "recall", "f1", "accuracy", "balanced_accuracy")])
 
 
@@ -167,7 +166,7 @@ def _(t):
 d AS (SELECT greatest(len(list_filter(e, lambda v: v < x)) - 1, 0) AS decile, abs(y - p1) AS err FROM scored, q)
 SELECT CAST(decile AS INT) AS decile, round(quantile_cont(err, 0.25), 6) AS q25, round(median(err), 6) AS q50, round(quantile_cont(err, 0.75), 6) AS q75 FROM d GROUP BY 1""")
 def _(t):
-    d = encode.quantile_bin(t.scored.select("x", F.abs(Y - P).alias("err")), "x", "decile")
+    d = encode.quantile_bin(t.scored.select("x", F.abs(F.col("y") - F.col("p1")).alias("err")), "x", "decile")
     q = group_quantiles(d, ["decile"], "err", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     return q.select("decile", *[rnd(c).alias(c) for c in ("q25", "q50", "q75")])
 
@@ -190,12 +189,12 @@ def _(t):
 
 @book.add("v20_log_loss", f"{W} SELECT round(avg(-(y * ln(least(greatest(p1, 1e-15), 1 - 1e-15)) + (1 - y) * ln(1 - least(greatest(p1, 1e-15), 1 - 1e-15)))), 6) AS log_loss FROM scored")
 def _(t):
-    return t.scored.agg(rnd(m.log_loss(Y, P)).alias("log_loss"))
+    return t.scored.agg(rnd(m.log_loss(F.col("y"), F.col("p1"))).alias("log_loss"))
 
 
 @book.add("v21_fold_mean_and_std", f"{W}, f AS (SELECT doc_id % 5 AS fold, avg(abs(y - p1)) AS score FROM scored GROUP BY 1) SELECT fold, round(score, 6) AS score, round(avg(score) OVER (), 6) AS mean, round(stddev_pop(score) OVER (), 6) AS std FROM f")
 def _(t):
-    d = m.fold_scores(t.scored.withColumn("fold", F.col("doc_id") % 5), "fold", m.mae(Y, P))
+    d = m.fold_scores(t.scored.withColumn("fold", F.col("doc_id") % 5), "fold", m.mae(F.col("y"), F.col("p1")))
     return d.select("fold", *[rnd(c).alias(c) for c in ("score", "mean", "std")])
 
 
@@ -232,7 +231,7 @@ def _(t):
 
 @book.add("v26_segment_errors", f"{W} SELECT lang, count(*) AS n, round(avg(abs(y - p1)), 6) AS mean_error, round(sum(abs(y - p1)), 6) AS total_error, round(sum(abs(y - p1)) / sum(sum(abs(y - p1))) OVER (), 6) AS error_share FROM scored GROUP BY 1")
 def _(t):
-    d = m.segment_errors(t.scored, "lang", F.abs(Y - P))
+    d = m.segment_errors(t.scored, "lang", F.abs(F.col("y") - F.col("p1")))
     return d.select("lang", "n", *[rnd(c).alias(c) for c in ("mean_error", "total_error", "error_share")])
 
 

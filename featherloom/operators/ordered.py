@@ -274,10 +274,10 @@ def group_quantiles(
     """Exact linear-interpolation quantiles per key (whole table when ``keys`` is empty).
 
     Values are counted first, then located by running counts, so neither one key nor the whole
-    column ever sits in one task's buffer.
+    column ever sits in one task's buffer. A key without values gets nulls.
     """
     edges = value_edges(df, value, chunks)
-    freq = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    freq = df.groupBy(*keys, value).agg(F.count(value).alias("__n"))
     return quantiles_of_counts(freq, keys, value, "__n", probs, edges)
 
 
@@ -295,10 +295,9 @@ def quantiles_of_counts(
     last = F.col("__hi_total") - 1
     low = {n: F.floor(last * F.lit(float(p))) for n, p in probs.items()}
     high = {n: F.ceil(last * F.lit(float(p))) for n, p in probs.items()}
-    wanted = None
+    wanted = F.col(value).isNull()  # keeps keys that have no value at all
     for n in probs:
-        hit = at(low[n]) | at(high[n])
-        wanted = hit if wanted is None else wanted | hit
+        wanted = wanted | at(low[n]) | at(high[n])
     parts = []
     for n in probs:
         parts += [F.max(F.when(at(low[n]), F.col(value))).alias(f"__l_{n}"),
