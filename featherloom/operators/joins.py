@@ -21,9 +21,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 def left_lookup(
     df: DataFrame, right: DataFrame, left_key: str, right_key: str, dedupe_by: list[str] | None = None
 ) -> DataFrame:
-    """Left join on differently named keys; ``dedupe_by`` keeps one right row per key."""
-    r = first_per_key(right, [right_key], dedupe_by) if dedupe_by else right
-    return df.join(r, F.col(left_key) == F.col(right_key), "left")
+    """Left join on differently named keys; ``dedupe_by`` keeps one right row per key.
+
+    Without it rows fan out, and a hot key may sit on the right. A left join cannot split that side at
+    run time, an inner join can, so matched and unmatched rows are joined apart.
+    """
+    on = F.col(left_key) == F.col(right_key)
+    if dedupe_by:
+        return df.join(first_per_key(right, [right_key], dedupe_by), on, "left")
+    known = right.select(right_key).distinct()
+    return df.join(right, on).unionByName(df.join(known, on, "left_anti"), allowMissingColumns=True)
 
 
 def full_join(parts: dict[str, DataFrame], key: str) -> DataFrame:

@@ -184,12 +184,13 @@ def huber(y: Column, p: Column, delta: float) -> dict[str, Column]:
 def pick_class(probs: list[str], thresholds: list[float], weights: list[float]) -> Column:
     """Class with the largest weighted probability among those at or above their threshold; the most
     probable class when none passes. Ties go to the lower class."""
-    rows = [F.struct((F.col(c) * w).alias("s"), F.lit(-i).alias("i"), (F.col(c) >= t).alias("ok"), F.col(c).alias("p"))
-            for i, (c, t, w) in enumerate(zip(probs, thresholds, weights))]
-    allowed = F.filter(F.array(*rows), lambda r: r["ok"])
-    best = F.array_max(F.transform(allowed, lambda r: F.struct(r["s"].alias("s"), r["i"].alias("i"))))
-    plain = F.array_max(F.array(*[F.struct(F.col(c).alias("s"), F.lit(-i).alias("i")) for i, c in enumerate(probs)]))
-    return (-F.coalesce(best["i"], plain["i"])).cast("int")
+    scores = [F.when(F.col(c) >= t, F.col(c) * w) for c, t, w in zip(probs, thresholds, weights)]
+
+    def first_best(values: list[Column]) -> Column:
+        best = F.greatest(*values)  # skips nulls
+        return F.coalesce(*[F.when(v == best, F.lit(i)) for i, v in enumerate(values)])
+
+    return F.coalesce(first_best(scores), first_best([F.col(c) for c in probs]))
 
 
 def threshold_search(df: DataFrame, label: str, probs: list[str], grid: list[float], start: list[float],
