@@ -81,16 +81,16 @@ def order_edges(df: DataFrame, keys: list[str], order: list[str], chunks: int |
 def _not_after(cols: list[tuple[Column, bool]], edge: tuple) -> Column:
     """Row order key <= edge, with nulls first ascending and last descending."""
     (col, desc), value = cols[0], edge[0]
+    last = len(edge) == 1
     if value is None:
         less = col.isNotNull() if desc else F.lit(False)
         same = col.isNull()
+    elif last:
+        return F.coalesce(col >= value, F.lit(False)) if desc else F.coalesce(col <= value, F.lit(True))
     else:
-        e = F.lit(value)
-        less = (col.isNotNull() & (col > e)) if desc else (col.isNull() | (col < e))
-        same = F.coalesce(col == e, F.lit(False))
-    if len(edge) == 1:
-        return less | same
-    return less | (same & _not_after(cols[1:], edge[1:]))
+        less = F.coalesce(col > value, F.lit(False)) if desc else F.coalesce(col < value, F.lit(True))
+        same = F.coalesce(col == value, F.lit(False))
+    return less | same if last else less | (same & _not_after(cols[1:], edge[1:]))
 
 
 def _chunk_tree(cols: list[tuple[Column, bool]], edges: list[tuple], lo: int, hi: int) -> Column:
