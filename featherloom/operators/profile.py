@@ -17,15 +17,24 @@ def _is_number(kind: T.DataType) -> bool:
 
 
 def long_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """``(column, value as text, number, n)`` for every distinct value of every column, nulls included."""
-    fields = [f for f in df.schema.fields if not cols or f.name in cols]
-    cells = [
-        F.struct(F.lit(f.name).alias("column"), F.col(f.name).cast("string").alias("value"),
-                 (F.col(f.name).cast("double") if _is_number(f.dataType) else F.lit(None).cast("double")).alias("number"),
-                 F.lit(f.dataType.simpleString()).alias("dtype"))
-        for f in fields
-    ]
-    return df.select(F.inline(F.array(*cells))).groupBy("column", "dtype", "value", "number").agg(F.count("*").alias("n"))
+    """``(column, value as text, number, n)`` for every distinct value of every column, nulls included.
+
+    Numbers are counted as numbers and turned into text afterwards, once per distinct value.
+    """
+    cells = []
+    for f in df.schema.fields:
+        if cols and f.name not in cols:
+            continue
+        c, kind = F.col(f.name), f.dataType
+        whole, exact = isinstance(kind, T.IntegralType), isinstance(kind, T.DoubleType)
+        cells.append(F.struct(
+            F.lit(f.name).alias("column"), F.lit(kind.simpleString()).alias("dtype"),
+            (c.cast("long") if whole else F.lit(None).cast("long")).alias("__whole"),
+            (c.cast("double") if _is_number(kind) and not whole else F.lit(None).cast("double")).alias("__real"),
+            (F.lit(None).cast("string") if whole or exact else c.cast("string")).alias("__text")))
+    counts = df.select(F.inline(F.array(*cells))).groupBy("column", "dtype", "__whole", "__real", "__text").agg(F.count("*").alias("n"))
+    value = F.coalesce("__text", F.col("__whole").cast("string"), F.col("__real").cast("string"))
+    return counts.select("column", "dtype", value.alias("value"), F.coalesce("__real", F.col("__whole").cast("double")).alias("number"), "n")
 
 
 def _summary(counts: DataFrame, candidate: Column) -> DataFrame:

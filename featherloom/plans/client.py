@@ -47,8 +47,6 @@ def client_features(rows: DataFrame) -> DataFrame:
     base = rows.groupBy("client").agg(
         F.count("amount").alias("count_amount"), F.avg(amount).alias("avg_amount"), F.sum(amount.cast("decimal(18,2)")).cast("double").alias("total_amount"),
         F.stddev_samp(amount).alias("std_amount"), F.min(amount).alias("min_amount"), F.max(amount).alias("max_amount"),
-        F.countDistinct("mcc").alias("unique_mccs"), F.countDistinct("merchant").alias("unique_merchants"),
-        F.countDistinct("mcc_pair").alias("unique_mcc_pairs"), F.countDistinct("mcc_triplet").alias("unique_mcc_triplets"),
         F.min("ts").alias("first_txn"), F.max("ts").alias("last_txn"),
         F.avg("merchant_freq").alias("mean_merchant_freq"), F.max("merchant_freq").alias("max_merchant_freq"),
         F.avg("is_popular").alias("popular_merchant_rate"), F.avg("is_weekend").alias("weekend_rate"), F.avg("is_holiday").alias("holiday_rate"),
@@ -57,7 +55,11 @@ def client_features(rows: DataFrame) -> DataFrame:
     latest = with_stats(base, name="__all", last=F.max("last_txn"))
     base = latest.withColumn("days_since_last_txn", dates.whole_days(F.col("__all.last"), F.col("last_txn"))).drop("__all")
     top = [cat.top_columns(rows, CLIENT, c, 2, f"top_{n}") for c, n in (("mcc", "mcc"), ("merchant", "merchant"), ("time_of_day", "tod"))]
-    shares = [cat.category_profile(rows, CLIENT, c).select("client", F.col("concentration").alias(f"top_{c}_share")) for c in ("mcc", "merchant")]
+    # distinct counts come from the same (client, value) counts as shares and entropies; asking for
+    # several distinct counts in one aggregate would copy every row once per column
+    profiles = {c: cat.category_profile(rows, CLIENT, c) for c in ("mcc", "merchant", "mcc_pair", "mcc_triplet")}
+    shares = [profiles[c].select("client", F.col("unique").alias(f"unique_{c}s"), F.col("concentration").alias(f"top_{c}_share")) for c in ("mcc", "merchant")]
+    shares += [profiles[c].select("client", F.col("unique").alias(f"unique_{c}s")) for c in ("mcc_pair", "mcc_triplet")]
     blocks = [
         base, ag.weekly_counts(rows, CLIENT, "ts", "weekly_txn"), ag.monthly_trend(rows, CLIENT, "ts", "amount", "amount_trend"), *top,
         gap_stats(rows.select("client", "ts", "txn_id"), CLIENT, "ts", "txn_id"),
