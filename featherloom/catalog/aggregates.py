@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featherloom.catalog.base import ACTIONS, SCORED, Book, cents, rnd
+from featherloom.catalog.base import ACTIONS, OFF_GRID, SCORED, Book, cents, rnd
 from featherloom.functions.dates import whole_days
 from featherloom.operators import aggregates as ag
 from featherloom.operators import categories as cat
@@ -166,11 +166,11 @@ def _(t):
     return t.events.groupBy("user_id").agg(rnd(ag.unbiased_skew("value")).alias("skew"))
 
 
-@book.add("a21_monthly_trend", """
+@book.add("a21_monthly_trend", f"""
 WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) AS x, avg(o_totalprice) AS y FROM orders GROUP BY 1, 2)
-SELECT o_custkey, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END, 4) AS trend FROM m GROUP BY 1""")
+SELECT o_custkey, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END + {OFF_GRID}, 4) AS trend FROM m GROUP BY 1""")
 def _(t):
-    return ag.monthly_trend(t.orders, ["o_custkey"], "o_orderdate", "o_totalprice", "trend").withColumn("trend", rnd("trend", 4))
+    return ag.monthly_trend(t.orders, ["o_custkey"], "o_orderdate", "o_totalprice", "trend").withColumn("trend", rnd(F.col("trend") + OFF_GRID, 4))
 
 
 @book.add("a22_weekly_counts", """

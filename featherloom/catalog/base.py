@@ -115,6 +115,10 @@ def rnd(col: Column | str, places: int = 6) -> Column:
     return F.round(F.col(col) if isinstance(col, str) else col, places)
 
 
+# slopes of cent amounts often end on a rounding boundary; both sides shift them off it first
+OFF_GRID = 0.0000031
+
+
 def cents(col: Column | str) -> Column:
     """Exact money sum, returned as double."""
     c = F.col(col) if isinstance(col, str) else col

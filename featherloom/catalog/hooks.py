@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featherloom.catalog.base import ACTIONS, SCORED, Book, rnd
+from featherloom.catalog.base import ACTIONS, OFF_GRID, SCORED, Book, rnd
 from featherloom.functions import dates, rows
 from featherloom.operators import categories as cat
 from featherloom.operators import hooks
@@ -53,13 +53,13 @@ def _(t):
     return _spread(t).select("user_id", rnd("variation").alias("variation"), rnd("peak").alias("peak"))
 
 
-@book.add("ud4_group_to_rows", """
+@book.add("ud4_group_to_rows", f"""
 WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) AS x, avg(o_totalprice) AS y FROM orders GROUP BY 1, 2),
 s AS (SELECT o_custkey, max(o_orderstatus) FILTER (WHERE rk = 1) AS top_1, max(o_orderstatus) FILTER (WHERE rk = 2) AS top_2 FROM (SELECT o_custkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderstatus) AS rk FROM orders GROUP BY 1, 2) GROUP BY 1)
-SELECT o_custkey, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END, 4) AS trend, any_value(top_1) AS top_1, any_value(top_2) AS top_2 FROM m JOIN s USING (o_custkey) GROUP BY 1""")
+SELECT o_custkey, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END + {OFF_GRID}, 4) AS trend, any_value(top_1) AS top_1, any_value(top_2) AS top_2 FROM m JOIN s USING (o_custkey) GROUP BY 1""")
 def _(t):
     trend = monthly_trend(t.orders, ["o_custkey"], "o_orderdate", "o_totalprice", "trend")
-    return trend.join(cat.top_columns(t.orders, ["o_custkey"], "o_orderstatus", 2, "top"), "o_custkey").withColumn("trend", rnd("trend", 4))
+    return trend.join(cat.top_columns(t.orders, ["o_custkey"], "o_orderstatus", 2, "top"), "o_custkey").withColumn("trend", rnd(F.col("trend") + OFF_GRID, 4))
 
 
 @book.add("ud5_group_transform", "SELECT event_id, round(value / (stddev_pop(value) OVER (PARTITION BY user_id) / avg(value) OVER (PARTITION BY user_id)), 4) AS scaled FROM events")
