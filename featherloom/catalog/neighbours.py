@@ -182,14 +182,14 @@ def _(t):
     return knn.cell_nearest(t.embeddings, "vec_id", "embedding", 5, cells=8, probes=3)
 
 
-@book.add("k17_recall", f"""WITH {emb_nn(5, NOT_SELF)}, half AS (SELECT vec_id, embedding[1:32] AS embedding FROM embeddings), nn_exact AS (SELECT * FROM nn),
-{emb_nn(5, NOT_SELF, src='half').replace('nn AS', 'nn_half AS', 1)}
-SELECT e.a AS vec_id, count(h.b) AS hits, 5 - count(h.b) AS misses, count(h.b) / 5.0::DOUBLE AS recall FROM nn_exact e LEFT JOIN nn_half h ON h.a = e.a AND h.b = e.b GROUP BY 1""")
+@book.add("k17_recall", f"""WITH {emb_nn(5, NOT_SELF)}, coarse AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 10)) AS embedding FROM embeddings), nn_exact AS (SELECT * FROM nn),
+{emb_nn(5, NOT_SELF, src='coarse').replace('nn AS', 'nn_coarse AS', 1)}
+SELECT e.a AS vec_id, count(h.b) AS hits, 5 - count(h.b) AS misses, count(h.b) / 5.0::DOUBLE AS recall FROM nn_exact e LEFT JOIN nn_coarse h ON h.a = e.a AND h.b = e.b GROUP BY 1""")
 def _(t):
-    # the approximation here is exact search on the first half of the dimensions
-    half = t.embeddings.select("vec_id", F.slice("embedding", 1, 32).alias("embedding"))
+    # the approximation here is a search on vectors rounded down to tenths
+    coarse = t.embeddings.select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 10)).alias("embedding"))
     exact = knn.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 5, exclude="vec_id")
-    return knn.recall_at(exact, knn.nearest(half, half, "vec_id", "embedding", 5, exclude="vec_id"), "vec_id", 5)
+    return knn.recall_at(exact, knn.nearest(coarse, coarse, "vec_id", "embedding", 5, exclude="vec_id"), "vec_id", 5)
 
 
 @book.add("k18_cosine_nearest", f"""WITH n AS (SELECT vec_id, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE ** 2))) AS len, embedding FROM embeddings),

@@ -79,15 +79,34 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     return d.withColumns({"accuracy": s["tp"] / s["n"], "balanced_accuracy": s["balanced"]}).drop("__s", "tp")
 
 
+def _cuts_passed(x: Column, grid: list[float], inclusive: bool) -> Column:
+    """Number of sorted cut points below ``x`` (or equal to it when inclusive).
+
+    On an evenly spaced grid the place is computed and only the three cuts around it are compared.
+    """
+    cuts, n = F.array(*[F.lit(g) for g in grid]), len(grid)
+
+    def passed(g: Column) -> Column:
+        return (g <= x) if inclusive else (g < x)
+
+    step = (grid[-1] - grid[0]) / (n - 1) if n > 1 else 0.0
+    if step <= 0 or any(abs(g - grid[0] - i * step) > 1e-6 * step for i, g in enumerate(grid)):
+        return F.size(F.filter(cuts, passed))
+    place = F.least(F.greatest(F.floor((x - grid[0]) / step), F.lit(-1)), F.lit(n)).cast("int")
+    near = [F.coalesce(passed(F.when(place + j >= 0, F.get(cuts, place + j))).cast("int"), F.lit(0)) for j in (-1, 0, 1)]
+    return F.greatest(place - 1, F.lit(0)) + near[0] + near[1] + near[2]
+
+
 def counts_at(df: DataFrame, label: str, score: str, grid: list[float], at_most: bool = False) -> DataFrame:
     """True and false positives for every threshold of a grid, in one pass.
 
     Each row is counted in its grid cell; running sums over the cells give the thresholds.
     ``at_most`` predicts positive for ``score <= t`` instead of ``score >= t``.
     """
-    cuts = F.array(*[F.lit(float(g)) for g in sorted(grid)])
+    points = sorted(float(g) for g in grid)
+    cuts = F.array(*[F.lit(g) for g in points])
     x, y = F.col(score).cast("double"), F.col(label).cast("long")
-    below = F.size(F.filter(cuts, lambda g: (g < x) if at_most else (g <= x)))
+    below = _cuts_passed(x, points, inclusive=not at_most)
     cells = df.groupBy(below.alias("cell")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     by_cell = cells.agg(F.collect_list(F.struct("cell", "pos", "neg")).alias("cells"))  # at most len(grid) + 1 cells
     steps = by_cell.select("cells", F.posexplode(cuts).alias("i", "threshold"))

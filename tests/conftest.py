@@ -12,7 +12,7 @@ from featherloom.session import build_session  # noqa: E402
 def spark():
     # interpreted execution: the test tables are far too small to repay compiling every plan
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
         "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

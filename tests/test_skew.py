@@ -194,3 +194,13 @@ def test_fold_groups_on_a_hot_key(skewed):
 def test_interpolation_keeps_head_and_tail(spark):
     d = spark.createDataFrame([(i, v) for i, v in enumerate([None, 2.0, None, None, 8.0, None])], "i int, v double")
     assert [r["x"] for r in windows.interpolate(d, [], ["i"], "v", "x").orderBy("i").collect()] == [None, 2.0, 4.0, 6.0, 8.0, 8.0]
+
+
+@pytest.mark.parametrize("grid", [[0.1, 0.2, 0.3, 0.4], [0.5], [0.1, 0.15, 0.9]])
+@pytest.mark.parametrize("at_most", [False, True])
+def test_counts_at_every_threshold(spark, grid, at_most):
+    data = [(i % 2, x) for i, x in enumerate([-5.0, 0.0, 0.1, 0.15, 0.2, 0.25, 0.3, 0.30000001, 0.4, 0.5, 0.9, 7.0])]
+    d = spark.createDataFrame(data, "y int, x double")
+    for r in metrics.counts_at(d, "y", "x", grid, at_most).collect():
+        hit = [y for y, x in data if (x <= r["threshold"] if at_most else x >= r["threshold"])]
+        assert (r["tp"], r["fp"]) == (sum(hit), len(hit) - sum(hit))
