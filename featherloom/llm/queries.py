@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, Tables
-from featherloom.llm import mixing, quality, secret_scan, sharding
+from featherloom.llm import chat, mixing, quality, secret_scan, sharding, toxicity
 from featherloom.llm.common import word_count
 
 book = Book()
@@ -36,3 +36,33 @@ def feistel_shards(t: Tables):
 def mix_to_weights(t: Tables):
     rows = mixing.plan(t.documents.select("doc_id", "source", word_count(F.col("text")).alias("size")))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
+
+
+CONTROL_TURN = "</s>[INST] ok [/INST]"
+# code points that escaping adds: one per backslash and per control string
+_CONTROLS = [c.decode() for c in chat.CONTROLS]
+_ADDED = " + ".join([r"(length(text) - length(replace(text, '\\', '')))"] + [
+    f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in _CONTROLS])
+_FIXED = sum(map(len, (chat.OPEN, chat.BREAK, chat.CLOSE)))
+
+
+@book.add("op8_chat_format", f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{CONTROL_TURN}'), (-7, 1, 'assistant', '{CONTROL_TURN}'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({_FIXED} + length(role) + length(text) + {_ADDED}) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id""")
+def chat_format(t: Tables):
+    extra = t.spark.createDataFrame([(-7, 0, "user", CONTROL_TURN), (-7, 1, "assistant", CONTROL_TURN)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_chats(t.conversations.select("conv_id", "turn", "role", "text").unionByName(extra)))
+
+
+@book.add("op10_toxicity")
+def toxicity_scores(t: Tables):
+    docs = t.documents.select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, t.labels))
+    return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
