@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, Tables
-from featherloom.llm import chat, mixing, quality, secret_scan, sharding, toxicity
+from featherloom.llm import chat, mixing, quality, secret_scan, sharding, simhash, toxicity
 from featherloom.llm.common import word_count
 
 book = Book()
@@ -66,3 +66,9 @@ def toxicity_scores(t: Tables):
     docs = t.documents.select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.fit(docs, t.labels))
     return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@book.add("op2_simhash_near_dedup")
+def simhash_components(t: Tables):
+    rows = simhash.near_duplicates(t.documents.select("doc_id", "text"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
