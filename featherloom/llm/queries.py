@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, Tables
-from featherloom.llm import chat, mixing, quality, secret_scan, sharding, simhash, toxicity
+from featherloom.llm import chat, decontaminate, mixing, quality, secret_scan, sharding, simhash, toxicity
 from featherloom.llm.common import word_count
 
 book = Book()
@@ -72,3 +72,8 @@ def toxicity_scores(t: Tables):
 def simhash_components(t: Tables):
     rows = simhash.near_duplicates(t.documents.select("doc_id", "text"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@book.add("op9_decontamination")
+def benchmark_hits(t: Tables):
+    return decontaminate.contaminated(t.documents.select("doc_id", "text"), t.benchmark.select("item_id", "text"))
