@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, Tables
-from featherloom.llm import chat, decontaminate, mixing, quality, secret_scan, sharding, simhash, toxicity
+from featherloom.llm import chat, decontaminate, licenses, mixing, quality, secret_scan, sharding, simhash, toxicity
 from featherloom.llm.common import word_count
 
 book = Book()
@@ -77,3 +77,8 @@ def simhash_components(t: Tables):
 @book.add("op9_decontamination")
 def benchmark_hits(t: Tables):
     return decontaminate.contaminated(t.documents.select("doc_id", "text"), t.benchmark.select("item_id", "text"))
+
+
+@book.add("op5_license_scan")
+def license_notices(t: Tables):
+    return licenses.scan(t.documents.select("doc_id", "text")).withColumn("differences", F.array_join("differences", "; "))
