@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, Tables
-from featherloom.llm import chat, decontaminate, licenses, mixing, quality, secret_scan, sharding, simhash, toxicity
+from featherloom.llm import chat, decontaminate, licenses, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from featherloom.llm.common import word_count
 
 book = Book()
@@ -82,3 +82,10 @@ def benchmark_hits(t: Tables):
 @book.add("op5_license_scan")
 def license_notices(t: Tables):
     return licenses.scan(t.documents.select("doc_id", "text")).withColumn("differences", F.array_join("differences", "; "))
+
+
+@book.add("op4_suffix_dedup")
+def repeated_strings(t: Tables):
+    rows = suffix_dedup.remove_repeats(t.documents.select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                       F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
