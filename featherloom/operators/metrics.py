@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featherloom.functions.numbers import ratio
-from featherloom.operators.ordered import running, value_edges
+from featherloom.operators.ordered import running
 from featherloom.operators.stats import with_stats
 
 
@@ -19,9 +19,8 @@ def _score_counts(df: DataFrame, label: str, score: str, keys: list[str]) -> Dat
 def auc(df: DataFrame, label: str, score: str, keys: list[str] | None = None, out: str = "auc") -> DataFrame:
     """Exact ROC AUC with averaged ties, overall or per key; null when one class is missing."""
     keys = keys or []
-    edges = value_edges(df, score)
     d = running(_score_counts(df, label, score, keys), keys, [score],
-                {"cn": ("sum", F.col("neg")), "cp": ("sum", F.col("pos"))}, totals=True, edges=edges)
+                {"cn": ("sum", F.col("neg")), "cp": ("sum", F.col("pos"))}, totals=True)
     wins = F.sum(F.col("pos") * (F.col("cn") - F.col("neg") / 2))
     pairs = F.max("cp_total").cast("double") * F.max("cn_total")
     return d.groupBy(*keys).agg(ratio(wins, pairs).alias(out))
@@ -30,8 +29,7 @@ def auc(df: DataFrame, label: str, score: str, keys: list[str] | None = None, ou
 def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """Per distinct score used as threshold ``p >= score``: true/false positives and class totals."""
     d = running(_score_counts(df, label, score, []), [], [f"-{score}"],
-                {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}, totals=True,
-                edges=value_edges(df, score))
+                {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}, totals=True)
     return d.select(F.col(score).alias("threshold"), "tp", "fp", F.col("tp_total").alias("p"), F.col("fp_total").alias("n"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from featherloom.functions.numbers import ratio
 from featherloom.operators import knn
 
-from featherloom.operators.ordered import running, value_edges
+from featherloom.operators.ordered import running
 from featherloom.operators.splits import hash_uniform, poisson_count
 from featherloom.operators.stats import with_stats
 
@@ -242,7 +242,7 @@ def best_splits(df: DataFrame, features: list[str], label: str, kind: str = "gin
     names = [f"p{i}" for i in range(len(parts))]
     counts = long.groupBy("feature", "x").agg(F.count(F.lit(1)).cast("double").alias("n"), *[p.alias(c) for p, c in zip(parts, names)])
     aggs = {f"l_{c}": ("sum", F.col(c)) for c in ["n", *names]} | {"prev": ("max", F.col("x"))}
-    d = running(counts, ["feature"], ["x"], aggs, exclusive=True, totals=True, edges=value_edges(long, "x")).where(F.col("prev").isNotNull())
+    d = running(counts, ["feature"], ["x"], aggs, exclusive=True, totals=True).where(F.col("prev").isNotNull())
     n, left = F.col("l_n_total"), F.col("l_n")
     rest = [F.col(f"l_{c}_total") - F.col(f"l_{c}") for c in names]
     gain = (_impurity(kind, n, [F.col(f"l_{c}_total") for c in names])

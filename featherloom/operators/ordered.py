@@ -1,9 +1,12 @@
 """Order-dependent operators that never put one whole group into one task.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a hot key to one task.
-Here each key is cut into chunks along its order. Windows run per
-``(key, chunk)``; what a chunk needs from earlier chunks comes from a summary with one row
-per ``(key, chunk)``, so the hot key is spread over as many tasks as there are chunks.
+Here the rows are dealt into ranges of (key, order), sorted inside them and written once to the
+shared folder; a chunk is a stretch of at most ``chunk_rows`` rows of a range. Windows run per
+``(key, chunk)``; what a chunk needs from earlier chunks comes from a summary with one row per
+``(key, chunk)``. The number of chunks follows the number of rows, and no value, however frequent,
+is kept together. The table is written because range bounds come from a sample: rows and summary
+must see the same cut.
 
 Order specs are column names; a leading ``-`` means descending.
 """
@@ -12,10 +15,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_KEY, _CHUNK, _BLOCK = "__key", "__chunk", "__block"
-MAX_CHUNKS = 256
+from featherloom.session import materialize
+
+_KEY, _CHUNK, _AT, _BLOCK = "__key", "__chunk", "__at", "__block"
+CHUNK_ROWS = 1 << 20
 
 
 def _split(spec: str) -> tuple[str, bool]:
@@ -30,92 +34,24 @@ def sort_columns(order: list[str]) -> list[Column]:
     return out
 
 
-def order_number(df: DataFrame, name: str) -> Column:
-    """The column as something that is compared and carried as a plain literal."""
-    kind, col = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col)
-    if isinstance(kind, T.BooleanType):
-        return col.cast("int")
-    return col
-
-
-def default_chunks(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(MAX_CHUNKS, parts))
-
-
-def value_edges(df: DataFrame, name: str, chunks: int | None = None) -> list[tuple]:
-    """Cut points of one numeric, date or time column that share its rows evenly."""
-    chunks = chunks or default_chunks(df)
-    probs = [i / chunks for i in range(1, chunks)]
-    got = df.agg(F.percentile_approx(order_number(df, name), probs, 1000).alias("e")).first()["e"]
-    return [(e,) for e in sorted(set(got or []))]
+def ranged(df: DataFrame, keys: list[str], order: list[str], label: str = "ordered") -> DataFrame:
+    """``df`` in ranges of (keys, order), written, with ``__part`` and the row's place ``__at`` in it.
 
+    A running id as last range column lets even rows that tie in everything be cut.
+    """
+    sort = [*[F.col(k).asc_nulls_first() for k in keys], *sort_columns(order), F.col("__salt")]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("__salt", F.monotonically_increasing_id()).repartitionByRange(n, *sort).sortWithinPartitions(*sort).drop("__salt")
+    written = materialize(dealt.withColumn("__id", F.monotonically_increasing_id()), label)
+    return written.withColumns({"__part": F.shiftright("__id", 33), _AT: F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("__id")
 
-def order_edges(df: DataFrame, keys: list[str], order: list[str], chunks: int | None = None) -> list[tuple]:
-    """Cut points of the order, at most ``chunks - 1`` tuples over as many columns as needed.
 
-    The leading column is enough when it has many values. Otherwise (a few statuses, text) the cut
-    points come from a sample of whole order keys: the rows with the smallest hashes, of which each
-    task keeps a bounded number.
-    """
-    chunks = chunks or default_chunks(df)
-    lead, desc = _split(order[0])
-    if not isinstance(df.schema[lead].dataType, T.StringType):
-        edges = value_edges(df, lead, chunks)
-        if len(order) == 1 or len(edges) >= chunks // 2:
-            return edges[::-1] if desc else edges
-    size = max(1000, 20 * chunks)
-    names = [_split(s)[0] for s in order]
-    picked = df.select(*dict.fromkeys([*keys, *names])).orderBy(F.xxhash64(*keys, *names)).limit(size)
-    rows = picked.orderBy(*sort_columns(order)).select(
-        *[order_number(df, n).alias(f"o{i}") for i, n in enumerate(names)]).collect()
-    cuts = [tuple(rows[len(rows) * i // chunks]) for i in range(1, chunks)] if rows else []
-    width = next((w for w in range(1, len(names) + 1) if len({c[:w] for c in cuts}) == len(cuts)), len(names))
-    return list(dict.fromkeys(c[:width] for c in cuts))
-
-
-def _not_after(cols: list[tuple[Column, bool]], edge: tuple) -> Column:
-    """Row order key <= edge, with nulls first ascending and last descending."""
-    (col, desc), value = cols[0], edge[0]
-    last = len(edge) == 1
-    if value is None:
-        less = col.isNotNull() if desc else F.lit(False)
-        same = col.isNull()
-    elif last:
-        return F.coalesce(col >= value, F.lit(False)) if desc else F.coalesce(col <= value, F.lit(True))
-    else:
-        less = F.coalesce(col > value, F.lit(False)) if desc else F.coalesce(col < value, F.lit(True))
-        same = F.coalesce(col == value, F.lit(False))
-    return less | same if last else less | (same & _not_after(cols[1:], edge[1:]))
-
-
-def _chunk_tree(cols: list[tuple[Column, bool]], edges: list[tuple], lo: int, hi: int) -> Column:
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_not_after(cols, edges[mid]), _chunk_tree(cols, edges, lo, mid)).otherwise(
-        _chunk_tree(cols, edges, mid + 1, hi))
-
-
-def chunk_of(df: DataFrame, order: list[str], edges: list[tuple]) -> Column:
-    cols = [(order_number(df, n), desc) for n, desc in map(_split, order)]
-    return _chunk_tree(cols, edges, 0, len(edges))
-
-
-def _chunked(
-    df: DataFrame, keys: list[str], order: list[str], chunks: int | None, edges: list[tuple] | None = None
-) -> DataFrame:
-    if edges is None:
-        edges = order_edges(df, keys, order, chunks)
-    elif _split(order[0])[1]:
-        edges = sorted(edges, reverse=True)
+def _chunked(df: DataFrame, keys: list[str], order: list[str], chunk_rows: int | None) -> DataFrame:
     # struct keys compare equal field by field, nulls included
     key = F.struct(*keys) if keys else F.struct(F.lit(0))
-    return df.withColumns({_KEY: key, _CHUNK: chunk_of(df, order, edges)})
+    stretch = F.floor(F.col(_AT) / F.lit(chunk_rows or CHUNK_ROWS))
+    chunk = F.shiftleft("__part", 33).bitwiseOR(stretch.cast("long"))
+    return ranged(df, keys, order).withColumns({_KEY: key, _CHUNK: chunk}).drop("__part")
 
 
 _AGG = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
@@ -143,21 +79,15 @@ def running(
     *,
     exclusive: bool = False,
     totals: bool = False,
-    chunks: int | None = None,
-    edges: list[tuple] | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add running aggregates per key, up to the row (or before it when ``exclusive``).
 
-    ``aggs`` maps the new column to ``(sum|count|max|min, expression)``. ``order`` must be
-    unique per key. ``totals`` also adds ``<name>_total`` over the whole key. ``df`` is read
-    twice (rows and summary), so write an expensive input out first. ``edges`` gives cut points
-    that are already known.
+    ``aggs`` maps the new column to ``(sum|count|max|min, expression)``. Rows that tie in
+    ``order`` follow one another in some order. ``totals`` also adds ``<name>_total`` over the whole key.
     """
-    d = _chunked(df, keys, order, chunks, edges)
-    frame = (
-        Window.partitionBy(_KEY, _CHUNK).orderBy(*sort_columns(order))
-        .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    )
+    d = _chunked(df, keys, order, chunk_rows)
+    frame = Window.partitionBy(_KEY, _CHUNK).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     before = Window.partitionBy(_KEY).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(_KEY)
     per_chunk = d.groupBy(_KEY, _CHUNK).agg(*[_AGG[k](e).alias(n) for n, (k, e) in aggs.items()])
@@ -182,18 +112,12 @@ def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "pos
 
 
 def previous(
-    df: DataFrame, keys: list[str], order: list[str], cols: dict[str, Column], chunks: int | None = None
+    df: DataFrame, keys: list[str], order: list[str], cols: dict[str, Column], chunk_rows: int | None = None
 ) -> DataFrame:
     """Add the values of the row before (null on a key's first row)."""
-    ways = {_split(s)[1] for s in order}
-    if len(ways) > 1:
-        raise ValueError("order must be all ascending or all descending")
-    pick = F.min_by if ways.pop() else F.max_by
-    d = _chunked(df, keys, order, chunks).withColumn("__row", F.struct(*[e.alias(n) for n, e in cols.items()]))
-    w = Window.partitionBy(_KEY, _CHUNK).orderBy(*sort_columns(order))
-    last = d.groupBy(_KEY, _CHUNK).agg(
-        pick("__row", F.struct(*[_split(s)[0] for s in order])).alias("__last")
-    )
+    d = _chunked(df, keys, order, chunk_rows).withColumn("__row", F.struct(*[e.alias(n) for n, e in cols.items()]))
+    w = Window.partitionBy(_KEY, _CHUNK).orderBy(_AT)
+    last = d.groupBy(_KEY, _CHUNK).agg(F.max_by("__row", _AT).alias("__last"))
     carry = last.select(
         _KEY, _CHUNK, F.lag("__last").over(Window.partitionBy(_KEY).orderBy(_CHUNK)).alias("__carry")
     )
@@ -204,30 +128,38 @@ def previous(
 
 def known_around(
     df: DataFrame, keys: list[str], order: list[str], cols: dict[str, Column], present: Column,
-    chunks: int | None = None,
+    chunk_rows: int | None = None, pos: str | None = None,
 ) -> DataFrame:
     """Values of the closest row where ``present`` holds, as ``prev_<name>`` (at or before this
-    row) and ``next_<name>`` (at or after it). ``order`` is ascending.
+    row) and ``next_<name>`` (at or after it).
+
+    ``pos`` also gives the row's number per key, from 1, and the numbers ``prev_<pos>`` and ``next_<pos>`` of those
+    closest rows, in the same pass.
     """
-    row = F.when(present, F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                                   *[e.alias(n) for n, e in cols.items()]))
-    d = _chunked(df, keys, order, chunks).withColumn("__row", row)
-    up = Window.partitionBy(_KEY, _CHUNK).orderBy(*sort_columns(order))
-    till = up.rowsBetween(Window.unboundedPreceding, 0)
+    d = _chunked(df, keys, order, chunk_rows)
+    up = Window.partitionBy(_KEY, _CHUNK).orderBy(_AT)
+    d = d.withColumn("__n", F.row_number().over(up))
+    d = d.withColumn("__row", F.when(present, F.struct(F.col("__n").cast("long").alias("__n"), *[e.alias(n) for n, e in cols.items()])))
     # a descending running frame: frames that reach to the end are recomputed for every row
-    down = Window.partitionBy(_KEY, _CHUNK).orderBy(*sort_columns([f"-{c}" for c in order]))
-    after = down.rowsBetween(Window.unboundedPreceding, 0)
-    steps = Window.partitionBy(_KEY).orderBy(_CHUNK)
-    ends = d.groupBy(_KEY, _CHUNK).agg(F.max("__row").alias("hi"), F.min("__row").alias("lo"))
-    carry = ends.select(
-        _KEY, _CHUNK,
-        F.max("hi").over(steps.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
-        F.min("lo").over(steps.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
-    )
-    local = d.withColumns({"__prev": F.last("__row", True).over(till), "__next": F.last("__row", True).over(after)})
+    so_far = (Window.unboundedPreceding, 0)
+    after = Window.partitionBy(_KEY, _CHUNK).orderBy(F.desc(_AT)).rowsBetween(*so_far)
+    steps, back = (Window.partitionBy(_KEY).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc(_CHUNK), F.desc(_CHUNK)))
+    ends = d.groupBy(_KEY, _CHUNK).agg(
+        F.max_by("__row", F.when(F.col("__row").isNotNull(), F.col(_AT))).alias("hi"),
+        F.min_by("__row", F.when(F.col("__row").isNotNull(), F.col(_AT))).alias("lo"), F.count("*").alias("rows"))
+    first = F.coalesce(F.sum("rows").over(steps), F.lit(0))
+
+    def moved(row: Column, by: Column) -> Column:
+        return F.when(row.isNotNull(), row.withField("__n", row["__n"] + by))
+
+    ends = ends.withColumn("__first", first).withColumns({"hi": moved(F.col("hi"), F.col("__first")), "lo": moved(F.col("lo"), F.col("__first"))})
+    carry = ends.select(_KEY, _CHUNK, "__first", F.last("hi", True).over(steps).alias("__before"), F.last("lo", True).over(back).alias("__after"))
+    local = d.withColumns({"__prev": F.last("__row", True).over(up.rowsBetween(*so_far)), "__next": F.last("__row", True).over(after)})
     out = _keyed_join(local, carry)
-    prev, nxt = F.coalesce("__prev", "__before"), F.coalesce("__next", "__after")
-    return out.select(*df.columns, *[prev[n].alias(f"prev_{n}") for n in cols], *[nxt[n].alias(f"next_{n}") for n in cols])
+    prev = F.coalesce(moved(F.col("__prev"), F.col("__first")), F.col("__before"))
+    nxt = F.coalesce(moved(F.col("__next"), F.col("__first")), F.col("__after"))
+    numbers = [(F.col("__n") + F.col("__first")).alias(pos), prev["__n"].alias(f"prev_{pos}"), nxt["__n"].alias(f"next_{pos}")] if pos else []
+    return out.select(*df.columns, *numbers, *[prev[n].alias(f"prev_{n}") for n in cols], *[nxt[n].alias(f"next_{n}") for n in cols])
 
 
 def last_known(
@@ -247,7 +179,7 @@ def rolling(
     aggs: dict[str, Column],
     *,
     block_rows: int = 500_000,
-    chunks: int | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Aggregates over the last ``rows`` rows per key.
 
@@ -256,7 +188,7 @@ def rolling(
     ``block_rows`` rows need one block and no copies.
     """
     size = max(block_rows, 4 * rows)
-    d = positions(df, keys, order, "__pos", chunks=chunks)
+    d = positions(df, keys, order, "__pos", chunk_rows=chunk_rows)
     d = d.withColumn(_KEY, F.struct(*keys) if keys else F.struct(F.lit(0)))
     home = F.floor((F.col("__pos") - 1) / size)
     tail = (F.col("__pos") - 1) % size >= size - (rows - 1)
@@ -269,24 +201,23 @@ def rolling(
 
 
 def group_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], chunks: int | None = None
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], chunk_rows: int | None = None
 ) -> DataFrame:
     """Exact linear-interpolation quantiles per key (whole table when ``keys`` is empty).
 
     Values are counted first, then located by running counts, so neither one key nor the whole
     column ever sits in one task's buffer. A key without values gets nulls.
     """
-    edges = value_edges(df, value, chunks)
     freq = df.groupBy(*keys, value).agg(F.count(value).alias("__n"))
-    return quantiles_of_counts(freq, keys, value, "__n", probs, edges)
+    return quantiles_of_counts(freq, keys, value, "__n", probs, chunk_rows)
 
 
 def quantiles_of_counts(
-    freq: DataFrame, keys: list[str], value: str, n: str, probs: dict[str, float], edges: list[tuple] | None = None
+    freq: DataFrame, keys: list[str], value: str, n: str, probs: dict[str, float], chunk_rows: int | None = None
 ) -> DataFrame:
     """:func:`group_quantiles` of a table that already holds each value once per key with its count."""
     freq = freq.select(*keys, value, F.col(n).alias("__n"))
-    run = running(freq, keys, [value], {"__hi": ("sum", F.col("__n"))}, totals=True, edges=edges)
+    run = running(freq, keys, [value], {"__hi": ("sum", F.col("__n"))}, totals=True, chunk_rows=chunk_rows)
     lo, hi = F.col("__hi") - F.col("__n"), F.col("__hi")
 
     def at(rank: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featherloom.operators.ordered import group_quantiles, quantiles_of_counts, value_edges
+from featherloom.operators.ordered import group_quantiles, quantiles_of_counts
 
 DISTINCT_LIMIT = 55  # fixed value: fewer distinct values make a column categorical
 
@@ -93,9 +93,7 @@ def info_table(df: DataFrame, distinct_limit: int = DISTINCT_LIMIT, cols: list[s
     sums = numbers.groupBy("column").agg(F.sum(n).alias("__n"), (F.sum(x * n) / F.sum(n)).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"))
     gaps = numbers.join(sums, "column").groupBy("column").agg((F.sum(n * (x - F.col("mean")) * (x - F.col("mean"))) / (F.max("__n") - 1)).alias("__var"))
     moments = sums.join(gaps, "column").withColumn("std", F.sqrt("__var")).drop("__n", "__var")
-    numeric = [F.col(f.name).cast("double") for f in df.schema.fields if f.name in names and _is_number(f.dataType)]
-    edges = value_edges(df.select(F.explode(F.array(*numeric)).alias("number")), "number")
-    marks = quantiles_of_counts(numbers, ["column"], "number", "n", {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}, edges)
+    marks = quantiles_of_counts(numbers, ["column"], "number", "n", {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95})
     d = s.join(moments, "column", "left").join(marks, "column", "left")
     is_num = (F.col("n_values") >= distinct_limit) & F.col("mean").isNotNull()
     shown = {c: F.when(is_num, F.round(c, 1)) for c in ("mean", "std", "min", "q25", "q50", "q75", "q95", "max")}

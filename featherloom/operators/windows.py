@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from featherloom.functions.dates import seconds_between, whole_days
 from featherloom.functions.numbers import ratio
-from featherloom.operators.ordered import known_around, positions, previous, rolling, running
+from featherloom.operators.ordered import known_around, previous, rolling, running
 from featherloom.operators.stats import with_group_stats, with_stats
 from featherloom.session import materialize
 
@@ -75,9 +75,8 @@ def drop_repeats(df: DataFrame, keys: list[str], order: list[str], value: str) -
 
 def since_last(df: DataFrame, keys: list[str], order: list[str], hit: Column, out: str) -> DataFrame:
     """Rows since the last hit (0 on a hit), or since the start when there was none."""
-    d = materialize(positions(df, keys, order, "__pos"), "positions")
-    d = running(d, keys, order, {"__last": ("max", F.when(hit, F.col("__pos")))})
-    return d.withColumn(out, F.col("__pos") - F.coalesce("__last", F.lit(0).cast("long"))).select(*df.columns, out)
+    d = known_around(df, keys, order, {}, hit, pos="__pos")
+    return d.withColumn(out, F.col("__pos") - F.coalesce("prev___pos", F.lit(0).cast("long"))).select(*df.columns, out)
 
 
 def mean_percent_rank(df: DataFrame, value: str, out: str) -> DataFrame:
@@ -96,19 +95,21 @@ def min_max(df: DataFrame, value: str, out: str) -> DataFrame:
 
 def interpolate(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Linear over row numbers between known values; the tail repeats the last one, the head stays null."""
-    d = materialize(positions(df, keys, order, "__pos"), "positions")
     v = F.col(value)
-    d = known_around(d, keys, order, {"p": F.col("__pos"), "v": v}, v.isNotNull())
-    share = ratio((F.col("__pos") - F.col("prev_p")).cast("double"), (F.col("next_p") - F.col("prev_p")).cast("double"))
+    d = known_around(df, keys, order, {"v": v}, v.isNotNull(), pos="p")
+    share = ratio((F.col("p") - F.col("prev_p")).cast("double"), (F.col("next_p") - F.col("prev_p")).cast("double"))
     between = F.col("prev_v") + (F.col("next_v") - F.col("prev_v")) * F.coalesce(share, F.lit(0.0))
     value_out = F.when(v.isNotNull(), v.cast("double")).otherwise(F.coalesce(between, F.col("prev_v").cast("double")))
     return d.withColumn(out, value_out).select(*df.columns, out)
 
 
 def cumulative_product(df: DataFrame, keys: list[str], order: list[str], factor: Column, out: str) -> DataFrame:
-    """Running product of positive factors."""
-    d = running(df, keys, order, {"__l": ("sum", F.ln(factor))})
-    return d.withColumn(out, F.exp("__l")).drop("__l")
+    """Running product: logarithms of the sizes, the number of negative factors and whether there was a zero; null factors are passed over."""
+    f = factor.cast("double")
+    d = running(df, keys, order, {"__l": ("sum", F.ln(F.abs(F.nullif(f, F.lit(0.0))))), "__minus": ("sum", (f < 0).cast("long")),
+                                  "__zero": ("max", (f == 0).cast("int")), "__n": ("count", f)})
+    size = F.exp(F.coalesce("__l", F.lit(0.0))) * F.when(F.col("__minus") % 2 == 1, -1.0).otherwise(1.0)
+    return d.withColumn(out, F.when(F.col("__zero") == 1, 0.0).when(F.col("__n") > 0, size)).drop("__l", "__minus", "__zero", "__n")
 
 
 def percent_change(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:

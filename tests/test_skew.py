@@ -29,40 +29,40 @@ def same(a, b, cols):
 
 
 @pytest.mark.parametrize("order, sort", [(["t", "id"], lambda: [F.asc("t"), F.asc("id")]), (["-t", "id"], lambda: [F.desc("t"), F.asc("id")])])
-@pytest.mark.parametrize("chunks", [1, 3, 64])
+@pytest.mark.parametrize("chunks", [1 << 20, 50, 3])
 def test_running(skewed, order, sort, chunks):
-    got = ordered.running(skewed, ["k"], order, {"n": ("count", F.lit(1)), "s": ("sum", F.col("v")), "m": ("max", F.col("v"))}, totals=True, chunks=chunks)
+    got = ordered.running(skewed, ["k"], order, {"n": ("count", F.lit(1)), "s": ("sum", F.col("v")), "m": ("max", F.col("v"))}, totals=True, chunk_rows=chunks)
     w = by(*sort()).rowsBetween(Window.unboundedPreceding, 0)
     want = skewed.withColumns({"n": F.count("*").over(w), "s": F.sum("v").over(w), "m": F.max("v").over(w), "n_total": F.count("*").over(Window.partitionBy("k"))})
     same(got, want, ["n", "s", "m", "n_total"])
 
 
 def test_running_exclusive(skewed):
-    got = ordered.running(skewed, ["k"], ["t", "id"], {"n": ("count", F.lit(1)), "m": ("max", F.col("v"))}, exclusive=True, chunks=7)
+    got = ordered.running(skewed, ["k"], ["t", "id"], {"n": ("count", F.lit(1)), "m": ("max", F.col("v"))}, exclusive=True, chunk_rows=40)
     w = by("t", "id").rowsBetween(Window.unboundedPreceding, -1)
     same(got, skewed.withColumns({"n": F.count("*").over(w), "m": F.max("v").over(w)}), ["n", "m"])
 
 
-@pytest.mark.parametrize("chunks", [1, 9])
+@pytest.mark.parametrize("chunks", [1 << 20, 7])
 def test_previous(skewed, chunks):
-    got = ordered.previous(skewed, ["k"], ["t", "id"], {"p": F.col("v")}, chunks=chunks)
+    got = ordered.previous(skewed, ["k"], ["t", "id"], {"p": F.col("v")}, chunk_rows=chunks)
     same(got, skewed.withColumn("p", F.lag("v").over(by("t", "id"))), ["p"])
 
 
 def test_previous_descending(skewed):
-    got = ordered.previous(skewed, ["k"], ["-t", "-id"], {"p": F.col("v")}, chunks=9)
+    got = ordered.previous(skewed, ["k"], ["-t", "-id"], {"p": F.col("v")}, chunk_rows=9)
     same(got, skewed.withColumn("p", F.lead("v").over(by("t", "id"))), ["p"])
 
 
 @pytest.mark.parametrize("rows", [2, 7])
 def test_rolling_over_block_edges(skewed, rows):
-    got = ordered.rolling(skewed, ["k"], ["t", "id"], rows, {"m": F.avg("v"), "c": F.count("v")}, block_rows=30, chunks=5)
+    got = ordered.rolling(skewed, ["k"], ["t", "id"], rows, {"m": F.avg("v"), "c": F.count("v")}, block_rows=30, chunk_rows=70)
     w = by("t", "id").rowsBetween(-(rows - 1), 0)
     same(got, skewed.withColumns({"m": F.avg("v").over(w), "c": F.count("v").over(w)}), ["m", "c"])
 
 
 def test_known_around(skewed):
-    got = ordered.known_around(skewed, ["k"], ["t", "id"], {"v": F.col("v")}, F.col("v").isNotNull(), chunks=6)
+    got = ordered.known_around(skewed, ["k"], ["t", "id"], {"v": F.col("v")}, F.col("v").isNotNull(), chunk_rows=11)
     up, down = by("t", "id").rowsBetween(Window.unboundedPreceding, 0), by(F.desc("t"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0)
     want = skewed.withColumns({"prev_v": F.last("v", True).over(up), "next_v": F.last("v", True).over(down)})
     same(got, want, ["prev_v", "next_v"])
@@ -70,19 +70,47 @@ def test_known_around(skewed):
 
 def test_global_positions_by_text(spark, skewed):
     d = skewed.withColumn("word", F.concat(F.lit("same-prefix-"), F.lpad((F.col("id") % 7).cast("string"), 3, "0")))
-    got = ordered.positions(d, [], ["word", "-t", "id"], chunks=8)
+    got = ordered.positions(d, [], ["word", "-t", "id"], chunk_rows=100)
     want = d.withColumn("pos", F.row_number().over(Window.orderBy("word", F.desc("t"), "id")))
     same(got, want, ["pos"])
 
 
-def test_few_leading_values_are_still_cut(skewed):
-    d = skewed.withColumn("status", F.col("id") % 2)
-    edges = ordered.order_edges(d, [], ["status", "id"], 16)
-    assert len(edges) > 8 and max(map(len, edges)) == 2
+def test_one_value_on_many_rows_is_cut(spark, skewed):
+    """40 % of the rows on one time: no range far above the mean, no chunk above its bound."""
+    d = skewed.withColumn("t", F.when(F.col("id") % 5 < 2, 7).otherwise(F.col("t")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        parts = [r["count"] for r in ordered.ranged(d, [], ["t"]).groupBy("__part").count().collect()]
+        got = ordered.positions(d, [], ["t", "id"], chunk_rows=64)
+        same(got, d.withColumn("pos", F.row_number().over(Window.orderBy("t", "id"))), ["pos"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(parts) == 6000 and max(parts) <= 2 * 6000 / 20
+
+
+@pytest.mark.parametrize("partitions", ["2", "200"])
+def test_many_partitions_with_generated_code(spark, skewed, partitions):
+    names = {"spark.sql.shuffle.partitions": partitions, "spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    try:
+        test_running(skewed, ["t", "id"], lambda: [F.asc("t"), F.asc("id")], 1 << 20)
+        test_known_around(skewed)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def test_cumulative_product_signs(spark):
+    d = spark.createDataFrame([(1, None), (2, 2.0), (3, -3.0), (4, None), (5, -0.5), (6, 0.0), (7, 5.0)], "id int, f double")
+    got = {r["id"]: r["p"] for r in windows.cumulative_product(d, [], ["id"], F.col("f"), "p").collect()}
+    assert got == {1: None, 2: pytest.approx(2), 3: pytest.approx(-6), 4: pytest.approx(-6), 5: pytest.approx(3), 6: 0, 7: 0}
 
 
 def test_quantiles(skewed):
-    got = ordered.group_quantiles(skewed, ["k"], "v", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0}, chunks=5)
+    got = ordered.group_quantiles(skewed, ["k"], "v", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0}, chunk_rows=70)
     want = skewed.groupBy("k").agg(*[F.percentile("v", p).alias(n) for n, p in (("a", 0.0), ("b", 0.25), ("c", 0.5), ("d", 0.99), ("e", 1.0))])
     x, y = ({r["k"]: list(r)[1:] for r in d.collect()} for d in (got, want))
     assert x.keys() == y.keys() and all(x[k] == pytest.approx(y[k]) for k in x)
