@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featherloom.catalog.base import ACTIONS, OFF_GRID, SCORED, Book, cents, rnd
+from featherloom.catalog.base import ACTIONS, SCORED, SLOPE, Book, cents, monthly_mean, rnd
 from featherloom.functions.dates import whole_days
 from featherloom.operators import aggregates as ag
 from featherloom.operators import categories as cat
@@ -167,10 +167,10 @@ def _(t):
 
 
 @book.add("a21_monthly_trend", f"""
-WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) AS x, avg(o_totalprice) AS y FROM orders GROUP BY 1, 2)
-SELECT o_custkey, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END + {OFF_GRID}, 4) AS trend FROM m GROUP BY 1""")
+WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) AS x, {monthly_mean('o_totalprice')} AS y FROM orders GROUP BY 1, 2)
+SELECT o_custkey, {SLOPE} AS trend FROM m GROUP BY 1""")
 def _(t):
-    return ag.monthly_trend(t.orders, ["o_custkey"], "o_orderdate", "o_totalprice", "trend").withColumn("trend", rnd(F.col("trend") + OFF_GRID, 4))
+    return ag.monthly_trend(t.orders, ["o_custkey"], "o_orderdate", "o_totalprice", "trend")
 
 
 @book.add("a22_weekly_counts", """
@@ -290,7 +290,7 @@ def _(t):
 
 
 @book.add("a37_weighted_histogram", """
-SELECT b.bin, coalesce(w, 0) AS w FROM range(0, 60) b(bin) LEFT JOIN (SELECT CAST(floor(value / 10) AS BIGINT) AS bin, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS w FROM events GROUP BY 1) h ON h.bin = b.bin""")
+SELECT coalesce(b.bin, h.bin) AS bin, coalesce(w, 0) AS w FROM range(0, 60) b(bin) FULL JOIN (SELECT CAST(floor(value / 10) AS BIGINT) AS bin, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS w FROM events WHERE value IS NOT NULL GROUP BY 1) h ON h.bin = b.bin""")
 def _(t):
     d = ag.histogram(t.events, F.floor(F.col("value") / 10), 60, F.col("value").cast("decimal(18,2)"))
     return d.select("bin", F.col("w").cast("double").alias("w"))

@@ -111,12 +111,17 @@ class Book:
         return keep
 
 
-def rnd(col: Column | str, places: int = 6) -> Column:
-    return F.round(F.col(col) if isinstance(col, str) else col, places)
+# the slope of monthly means as the operator takes it: whole millionths, one division of exact numbers
+SLOPE = ("CASE WHEN count(*) < 2 THEN 0 ELSE CAST(count(*) * sum(x * y) - sum(x) * sum(y) AS DOUBLE) "
+         "/ CAST(count(*) * sum(x * x) - sum(x) * sum(x) AS DOUBLE) / 1000000.0::DOUBLE END")
+
 
+def monthly_mean(value: str) -> str:
+    return f"((2 * CAST(sum(CAST(round({value} * 1000000) AS BIGINT)) AS HUGEINT) + count(*)) // (2 * count(*)))"
 
-# slopes of cent amounts often end on a rounding boundary; both sides shift them off it first
-OFF_GRID = 0.0000031
+
+def rnd(col: Column | str, places: int = 6) -> Column:
+    return F.round(F.col(col) if isinstance(col, str) else col, places)
 
 
 def cents(col: Column | str) -> Column:

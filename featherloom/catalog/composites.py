@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featherloom.catalog.base import ACTIONS, OFF_GRID, PRODUCTS, SEARCHES, TXNS, Book, cents, rnd
+from featherloom.catalog.base import ACTIONS, PRODUCTS, SEARCHES, SLOPE, TXNS, Book, cents, monthly_mean, rnd
 from featherloom.plans import client, passengers, rules, sessions, shop
 from featherloom.plans.star import denormalize
 
@@ -13,12 +13,12 @@ book = Book()
 CUT, LOOKBACK, MONTH, WEEK = "2024-01-21", 15, 10, 5
 
 
-def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
+def _rounded(df: DataFrame, places: int = 6, exact: tuple[str, ...] = ()) -> DataFrame:
     """Presentation for comparison: rounded doubles, times as microseconds, arrays as text."""
     out = []
     for f in df.schema.fields:
         kind, c = f.dataType.simpleString(), F.col(f.name)
-        if kind == "double":
+        if kind == "double" and f.name not in exact:
             c = rnd(c, places)
         elif kind == "timestamp":
             c = F.unix_micros(c)
@@ -219,7 +219,7 @@ def _top(col, name):
 
 CLIENT = ROWS + f""", {_top('mcc', 'mcc')}, {_top('merchant', 'merchant')}, {_top('time_of_day', 'tod')},
 wk AS (SELECT client, round(avg(n), 6) AS mean_weekly_txn, round(stddev_samp(n), 6) AS std_weekly_txn, max(n) AS max_weekly_txn FROM (SELECT client, weekofyear(ts), count(*) AS n FROM rws GROUP BY 1, 2) GROUP BY 1),
-tr AS (SELECT client, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END + {OFF_GRID}, 4) AS amount_trend FROM (SELECT client, year(ts) * 12 + month(ts) AS x, avg(amount) AS y FROM rws GROUP BY 1, 2) GROUP BY 1),
+tr AS (SELECT client, {SLOPE} AS amount_trend FROM (SELECT client, year(ts) * 12 + month(ts) AS x, {monthly_mean('amount')} AS y FROM rws GROUP BY 1, 2) GROUP BY 1),
 gp AS (SELECT client, round(avg(g), 4) AS mean_txn_diff, round(stddev_samp(g), 4) AS std_txn_diff, round(min(g), 4) AS min_txn_diff, round(max(g), 4) AS max_txn_diff FROM (SELECT client, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY client ORDER BY ts, txn_id)) / 1e6 AS g FROM rws) GROUP BY 1),
 bs AS (SELECT client, count(amount) AS count_amount, round(avg(amount), 6) AS avg_amount, {_money('amount')} AS total_amount, round(stddev_samp(amount), 4) AS std_amount, min(amount) AS min_amount, max(amount) AS max_amount,
   count(DISTINCT mcc) AS unique_mccs, count(DISTINCT merchant) AS unique_merchants, count(DISTINCT mcc_pair) AS unique_mcc_pairs, count(DISTINCT mcc_triplet) AS unique_mcc_triplets, epoch_us(min(ts)) AS first_txn, epoch_us(max(ts)) AS last_txn,
@@ -230,18 +230,18 @@ bs AS (SELECT client, count(amount) AS count_amount, round(avg(amount), 6) AS av
 SELECT bs.*, wk.* EXCLUDE client, tr.amount_trend, gp.* EXCLUDE client, top_mcc_1, top_mcc_2, top_merchant_1, top_merchant_2, top_tod_1, top_tod_2, bits_mcc AS mcc_entropy, bits_merchant AS merchant_entropy, share_mcc AS top_mcc_share, share_merchant AS top_merchant_share
 FROM bs JOIN wk USING (client) JOIN tr USING (client) JOIN gp USING (client) JOIN mcc USING (client) JOIN merchant USING (client) JOIN tod USING (client)"""
 
-PLACES = {c: 4 for c in ("std_amount", "mean_merchant_freq", "amount_trend", "mean_txn_diff", "std_txn_diff", "min_txn_diff", "max_txn_diff", "amount_median", "amount_q25", "amount_q75",
+PLACES = {c: 4 for c in ("std_amount", "mean_merchant_freq", "mean_txn_diff", "std_txn_diff", "min_txn_diff", "max_txn_diff", "amount_median", "amount_q25", "amount_q75",
                          "recent_amount_mean", "recent_amount_std")}
 
 
 def _present(d):
-    return _rounded(d.withColumns({c: rnd(c, n) for c, n in PLACES.items() if c in d.columns}))
+    return _rounded(d.withColumns({c: rnd(c, n) for c, n in PLACES.items() if c in d.columns}), exact=("amount_trend",))
 
 
 @book.add("c13_client_features", CLIENT)
 def _(t):
     d = client.client_features(client.transaction_columns(t.txns, HOLIDAYS, popular=652))
-    return _present(d.withColumn("amount_trend", F.col("amount_trend") + OFF_GRID))
+    return _present(d)
 
 
 GROUPS = {"retail": ["0101", "0505", "1010"], "transport": ["0202", "2020"], "online": ["0303", "3030", "3131"]}

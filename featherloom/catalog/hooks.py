@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featherloom.catalog.base import ACTIONS, OFF_GRID, SCORED, Book, rnd
+from featherloom.catalog.base import ACTIONS, SCORED, SLOPE, Book, monthly_mean, rnd
 from featherloom.functions import dates, rows
 from featherloom.operators import categories as cat
 from featherloom.operators import hooks
@@ -32,20 +32,21 @@ def _(t):
 
 def _start(part):
     v = part["value"]
-    return float(len(v)), float(v.sum()), float((v * v).sum()), float(v.max())
+    mean = float(v.mean())
+    return float(len(v)), mean, float(((v - mean) ** 2).sum()), float(v.max())
 
 
 def _merge(a, b):
-    return a[0] + b[0], a[1] + b[1], a[2] + b[2], max(a[3], b[3])
+    n, gap = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + gap * b[0] / n, a[2] + b[2] + gap * gap * a[0] * b[0] / n, max(a[3], b[3])
 
 
 def _finish(s):
-    mean = s[1] / s[0]
-    return (s[2] / s[0] - mean * mean) ** 0.5 / mean, s[3] / mean
+    return (s[2] / s[0]) ** 0.5 / s[1], s[3] / s[1]
 
 
 def _spread(t):
-    return hooks.fold_groups(t.events.select("user_id", "value"), ["user_id"], "n double, s double, ss double, top double", _start, _merge, _finish, "variation double, peak double")
+    return hooks.fold_groups(t.events.select("user_id", "value"), ["user_id"], "n double, mean double, m2 double, top double", _start, _merge, _finish, "variation double, peak double")
 
 
 @book.add("ud3_open_aggregate", "SELECT user_id, round(stddev_pop(value) / avg(value), 6) AS variation, round(max(value) / avg(value), 6) AS peak FROM events GROUP BY 1")
@@ -54,12 +55,12 @@ def _(t):
 
 
 @book.add("ud4_group_to_rows", f"""
-WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) AS x, avg(o_totalprice) AS y FROM orders GROUP BY 1, 2),
+WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) AS x, {monthly_mean('o_totalprice')} AS y FROM orders GROUP BY 1, 2),
 s AS (SELECT o_custkey, max(o_orderstatus) FILTER (WHERE rk = 1) AS top_1, max(o_orderstatus) FILTER (WHERE rk = 2) AS top_2 FROM (SELECT o_custkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderstatus) AS rk FROM orders GROUP BY 1, 2) GROUP BY 1)
-SELECT o_custkey, round(CASE WHEN count(*) < 2 THEN 0 ELSE regr_slope(y, x) END + {OFF_GRID}, 4) AS trend, any_value(top_1) AS top_1, any_value(top_2) AS top_2 FROM m JOIN s USING (o_custkey) GROUP BY 1""")
+SELECT o_custkey, {SLOPE} AS trend, any_value(top_1) AS top_1, any_value(top_2) AS top_2 FROM m JOIN s USING (o_custkey) GROUP BY 1""")
 def _(t):
     trend = monthly_trend(t.orders, ["o_custkey"], "o_orderdate", "o_totalprice", "trend")
-    return trend.join(cat.top_columns(t.orders, ["o_custkey"], "o_orderstatus", 2, "top"), "o_custkey").withColumn("trend", rnd(F.col("trend") + OFF_GRID, 4))
+    return trend.join(cat.top_columns(t.orders, ["o_custkey"], "o_orderstatus", 2, "top"), "o_custkey")
 
 
 @book.add("ud5_group_transform", "SELECT event_id, round(value / (stddev_pop(value) OVER (PARTITION BY user_id) / avg(value) OVER (PARTITION BY user_id)), 4) AS scaled FROM events")

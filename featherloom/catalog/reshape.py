@@ -17,10 +17,14 @@ def _(t):
     return d.select("o_orderpriority", *[rnd(s, 3).alias(s) for s in STATUS])
 
 
-@book.add("r02_pivot_unique_cells", "SELECT conv_id, " + ", ".join(f"max(CASE WHEN turn = {i} THEN role END) AS t{i}" for i in range(4)) + " FROM conversations GROUP BY 1")
+TURNS = 8  # columns of the pivot; later turns are counted
+
+
+@book.add("r02_pivot_unique_cells", "SELECT conv_id, " + ", ".join(f"max(CASE WHEN turn = {i} THEN role END) AS t{i}" for i in range(TURNS)) + f", count(*) FILTER (turn >= {TURNS} OR turn < 0) AS n_more FROM conversations GROUP BY 1")
 def _(t):
-    d = rs.pivot_unique(t.conversations, ["conv_id"], "turn", [0, 1, 2, 3], "role")
-    return d.withColumnsRenamed({str(i): f"t{i}" for i in range(4)})
+    d = rs.pivot_unique(t.conversations, ["conv_id"], "turn", list(range(TURNS)), "role")
+    more = t.conversations.groupBy("conv_id").agg(F.count_if(~F.col("turn").between(0, TURNS - 1)).alias("n_more"))
+    return d.withColumnsRenamed({str(i): f"t{i}" for i in range(TURNS)}).join(more, "conv_id")
 
 
 @book.add("r03_unpivot", "SELECT l_orderkey, l_linenumber, unnest(['l_quantity', 'l_tax']) AS variable, unnest([l_quantity, l_tax]) AS value FROM lineitem")

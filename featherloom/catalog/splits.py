@@ -43,7 +43,7 @@ def _(t):
     return sp.sample_rows(_o(t), "o_orderkey", 0.25, 11)
 
 
-DRAWS = "CASE " + " ".join(f"WHEN {U} < {e!r}::DOUBLE THEN {n}" for n, e in enumerate(sp.poisson_edges(0.8))) + " ELSE 12 END"
+DRAWS = "CASE " + " ".join(f"WHEN {U} < {e!r}::DOUBLE THEN {n}" for n, e in enumerate(sp.poisson_edges(0.8))) + f" ELSE {len(sp.poisson_edges(0.8))} END"
 
 
 @book.add("x05_sample_with_replacement", f"SELECT o_orderkey, CAST({DRAWS} AS BIGINT) AS drawn FROM orders WHERE {DRAWS} > 0")

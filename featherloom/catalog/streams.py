@@ -15,10 +15,16 @@ book = Book()
 
 def _result(t, stream, label):
     path = scratch_path(t.spark, label)
-    jobs.run_to_files(stream, path)
+    jobs.run_to_files(stream, path, f"{path}-progress")
     return t.spark.read.schema(stream.schema).parquet(path)
 
 
+def _latest(t, stream, label, keys):
+    path = scratch_path(t.spark, label)
+    jobs.run_updates(stream, path, f"{path}-progress")
+    return jobs.latest(t.spark, path, stream.schema, keys)
+
+
 def _events(t, files_per_batch=None):
     """The whole table as a stream of files."""
     path = scratch_path(t.spark, "events_in")
@@ -51,13 +57,11 @@ def _(t):
     return _result(t, jobs.score_stream(model, clicklog.keep_rows(stream), "id"), "score_out").withColumn("prob", rnd("prob"))
 
 
-# windows that end after the watermark stay open; the SQL leaves them out the same way
 @book.add("st3_hourly_bars", """
-WITH w AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE AS mark FROM events)
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS start, count(*) AS n, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close
-FROM events, w GROUP BY date_trunc('hour', ts), mark HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark""")
+FROM events GROUP BY date_trunc('hour', ts)""")
 def _(t):
-    d = _result(t, jobs.hourly_bars(_events(t), "ts", "event_id", "value"), "bars_out")
+    d = _latest(t, jobs.hourly_bars(_events(t), "ts", "event_id", "value"), "bars_out", ["start"])
     return d.withColumn("start", F.date_format("start", "yyyy-MM-dd HH"))
 
 
@@ -69,24 +73,24 @@ def _(t):
 
 
 @book.add("st5_last_seen", """
-WITH w AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE AS mark FROM events)
-SELECT user_id, epoch_us(max(ts)) AS last_us FROM events, w WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= mark GROUP BY 1""")
+SELECT user_id, epoch_us(max(ts)) AS last_us FROM events GROUP BY 1""")
 def _(t):
-    d = _result(t, jobs.last_seen(_events(t), "user_id", "ts"), "seen_out")
+    d = _latest(t, jobs.last_seen(_events(t), "user_id", "ts"), "seen_out", ["day", "user_id"])
     return d.groupBy("user_id").agg(F.unix_micros(F.max("last_seen")).alias("last_us"))
 
 
 @book.add("st5_event_gaps", """
 SELECT user_id, event_id, round((epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) / 1e6, 6) AS gap_seconds FROM events""")
 def _(t):
-    d = _result(t, jobs.event_gaps(_events(t), "user_id", "ts", "event_id"), "gaps_out")
+    path = scratch_path(t.spark, "gaps_out")
+    jobs.run_event_gaps(_events(t), path, f"{path}-progress", "user_id", "ts", "event_id")
+    d = jobs.event_gaps_now(t.spark, path, "user_id", "event_id")
     return d.withColumn("gap_seconds", rnd("gap_seconds"))
 
 
 @book.add("st6_sliding_counts", """
-WITH w AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS mark FROM events),
-e AS (SELECT user_id, unnest(generate_series(date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 10 DAY, INTERVAL 1 DAY)) AS stop FROM events)
-SELECT strftime(stop, '%Y-%m-%d') AS stop, user_id, count(*) AS n FROM e, w WHERE stop <= mark GROUP BY 1, 2""")
+WITH e AS (SELECT user_id, unnest(generate_series(date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 10 DAY, INTERVAL 1 DAY)) AS stop FROM events)
+SELECT strftime(stop, '%Y-%m-%d') AS stop, user_id, count(*) AS n FROM e GROUP BY 1, 2""")
 def _(t):
-    d = _result(t, jobs.sliding_counts(_events(t), "user_id", "ts", "10 days", "1 day"), "sliding_out")
+    d = _latest(t, jobs.sliding_counts(_events(t), "user_id", "ts", "10 days", "1 day"), "sliding_out", ["end", "user_id"])
     return d.select(F.date_format("end", "yyyy-MM-dd").alias("stop"), "user_id", "n")

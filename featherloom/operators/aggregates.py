@@ -32,10 +32,18 @@ def unbiased_skew(col: str | Column) -> Column:
 
 
 def monthly_trend(df: DataFrame, keys: list[str], ts: str, value: str, out: str) -> DataFrame:
-    """Slope of monthly means over month ordinals; 0 with fewer than two months."""
-    monthly = df.groupBy(*keys, month_ordinal(F.col(ts)).alias("__m")).agg(F.avg(value).alias("__v"))
-    slope = F.when(F.count("*") > 1, F.regr_slope("__v", F.col("__m").cast("double")))
-    return monthly.groupBy(*keys).agg(F.coalesce(slope, F.lit(0.0)).alias(out))
+    """Slope of monthly means over month ordinals; 0 with fewer than two months.
+
+    Means are taken to a millionth and summed as whole numbers, so the slope is one division of exact numbers, the same in any order.
+    """
+    total, n = F.sum(F.round(F.col(value) * 1000000).cast("long")), F.count(value)
+    monthly = df.groupBy(*keys, month_ordinal(F.col(ts)).alias("__m")).agg((total * 2 + n).alias("__s"), (n * 2).alias("__n")).where("__n > 0")
+    mean = F.expr("(__s - pmod(__s, __n)) div __n").cast("decimal(20,0)")
+    x, y, k = F.col("__m").cast("decimal(10,0)"), F.col("__y"), F.count("*").cast("decimal(10,0)")
+    over = k * F.sum(x * y).cast("decimal(27,0)") - F.sum(x).cast("decimal(17,0)") * F.sum(y).cast("decimal(20,0)")
+    under = k * F.sum(x * x).cast("decimal(20,0)") - F.sum(x).cast("decimal(17,0)") * F.sum(x).cast("decimal(17,0)")
+    slope = F.when(F.count("*") > 1, over.cast("double") / under.cast("double") / 1000000.0)
+    return monthly.withColumn("__y", mean).groupBy(*keys).agg(F.coalesce(slope, F.lit(0.0)).alias(out))
 
 
 def weekly_counts(df: DataFrame, keys: list[str], ts: str, prefix: str) -> DataFrame:
@@ -58,11 +66,11 @@ def value_counts(df: DataFrame, col: str, share: str | None = None) -> DataFrame
 
 
 def histogram(df: DataFrame, bin_col: Column, bins: int, weight: Column | None = None) -> DataFrame:
-    """Count (or weight sum) of bins ``0 .. bins - 1``, empty ones included."""
+    """Count (or weight sum) per bin: bins ``0 .. bins - 1`` also when empty, and every other bin that occurs."""
     w = weight if weight is not None else F.lit(1)
     sums = df.groupBy(bin_col.cast("long").alias("bin")).agg(F.sum(w).alias("w"))
     grid = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return grid.join(sums, "bin", "left").select("bin", F.coalesce("w", F.lit(0)).alias("w"))
+    return grid.join(sums.where("bin is not null"), "bin", "full").select("bin", F.coalesce("w", F.lit(0)).alias("w"))
 
 
 def correlations(df: DataFrame, cols: list[str], above: float | None = None) -> DataFrame:

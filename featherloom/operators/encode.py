@@ -34,7 +34,7 @@ def equal_width_bin(df: DataFrame, col: str, out: str, bins: int = 10, right_clo
     lo, hi = F.col("__b.lo"), F.col("__b.hi")
     edges = [lo + (hi - lo) * i / float(bins) for i in range(1, bins)]
     x = F.col(col)
-    n = _edges_below(x, edges) if right_closed else reduce(lambda a, b: a + b, [(x >= e).cast("int") for e in edges])
+    n = F.when(x.isNotNull(), _edges_below(x, edges)) if right_closed else reduce(lambda a, b: a + b, [(x >= e).cast("int") for e in edges])
     return d.withColumn(out, n).drop("__b")
 
 

@@ -73,18 +73,21 @@ def neighbour_sum(cells: DataFrame, x: str, y: str, value: str, out: str) -> Dat
 
 
 def nearest_lookup(df: DataFrame, value: str, table: DataFrame, centre: str, cols: Sequence[str]) -> DataFrame:
-    """Add the centre and ``cols`` of the table row whose centre lies closest (ties: smaller centre).
+    """Add the centre and ``cols`` of the table row whose centre lies closest (ties: smaller centre, of
+    equal centres the one with the smallest ``cols``); null without a value.
 
     Both sides are merged into one ordered line, where the closest centre is either the last one
     before or the first one after a row, so no row is compared with every centre.
     """
     got = [centre, *cols]
+    if cols:
+        table = table.where(F.col(centre).isNotNull()).groupBy(centre).agg(F.min(F.struct(*cols)).alias("__c")).select(centre, *[F.col("__c")[c].alias(c) for c in cols])
     both = df.withColumns({"__side": F.lit(1), "__x": F.col(value).cast("double")}).unionByName(
         table.select(*got).withColumns({"__side": F.lit(0), "__x": F.col(centre).cast("double")}), allowMissingColumns=True)
     d = known_around(both, [], ["__x", "__side"], {c: F.col(c) for c in got}, F.col("__side") == 0)
     lo, hi = F.col(f"prev_{centre}"), F.col(f"next_{centre}")
     use_hi = lo.isNull() | ((hi - F.col("__x")) < (F.col("__x") - lo))
-    picked = [F.when(use_hi, F.col(f"next_{c}")).otherwise(F.col(f"prev_{c}")).alias(c) for c in got]
+    picked = [F.when(F.col("__x").isNotNull(), F.when(use_hi, F.col(f"next_{c}")).otherwise(F.col(f"prev_{c}"))).alias(c) for c in got]
     return d.where(F.col("__side") == 1).select(*df.columns, *picked)
 
 

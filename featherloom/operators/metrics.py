@@ -104,7 +104,7 @@ def counts_at(df: DataFrame, label: str, score: str, grid: list[float], at_most:
     points = sorted(float(g) for g in grid)
     cuts = F.array(*[F.lit(g) for g in points])
     x, y = F.col(score).cast("double"), F.col(label).cast("long")
-    below = _cuts_passed(x, points, inclusive=not at_most)
+    below = F.when(x.isNotNull(), _cuts_passed(x, points, inclusive=not at_most))  # a row without a score is never a hit
     cells = df.groupBy(below.alias("cell")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     by_cell = cells.agg(F.collect_list(F.struct("cell", "pos", "neg")).alias("cells"))  # at most len(grid) + 1 cells
     steps = by_cell.select("cells", F.posexplode(cuts).alias("i", "threshold"))
@@ -239,7 +239,7 @@ def error_summary(df: DataFrame, label: str, score: str, threshold: float = 0.5)
 
 def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
     """Mean score and positive rate per equal-width score bin; the last bin includes 1."""
-    i = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1))
+    i = F.when(F.col(score).isNotNull(), F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)))
     return df.groupBy(i.alias("bin")).agg(F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("positive_rate"), F.count("*").alias("n"))
 
 

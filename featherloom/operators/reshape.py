@@ -68,7 +68,12 @@ def remove_key(df: DataFrame, key: str, value) -> DataFrame:
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
-    """The first k rows per key; each task keeps k rows per key before the shuffle."""
+    """The first k rows per key, k at most 1000: each task then keeps k rows per key before the shuffle.
+
+    For longer lists number the rows with ``ordered.positions``, which cuts a hot key over many tasks.
+    """
+    if k > 1000:
+        raise ValueError("more than 1000 rows per key: use ordered.positions")
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -3,14 +3,13 @@ change with partitioning, retries or lost executors."""
 
 from __future__ import annotations
 
-import itertools
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featherloom.operators.ordered import positions
-from featherloom.operators.reshape import top_per_group
 from featherloom.operators.stats import join_groups, with_stats
 
 
@@ -54,17 +53,29 @@ def time_folds(df: DataFrame, ts: str, key: str, k: int, fold: str = "fold") ->
     return d.withColumn(fold, block.cast("int")).select(*df.columns, fold)
 
 
-def poisson_edges(mean: float, top: int = 12) -> list[float]:
-    """Probability of at most 0, 1, ... top - 1 events."""
-    return list(itertools.accumulate(math.exp(-mean) * mean**n / math.factorial(n) for n in range(top)))
+def poisson_edges(mean: float) -> list[float]:
+    """Probability of at most 0, 1, ... events, until what lies beyond is below the hash's resolution of 2 ** -52."""
+    edges, term, n = [], math.exp(-mean), 0
+    while not edges or 1 - edges[-1] > 2**-53 and (n <= mean or term > 2**-60):
+        edges.append((edges[-1] if edges else 0.0) + term)
+        n += 1
+        term *= mean / n
+    return edges
 
 
-def poisson_count(keys: list[str], seed: int, mean: float = 1.0, top: int = 12) -> Column:
-    """How often a row is drawn in a bootstrap sample: a Poisson number from its hash."""
-    u, out = hash_uniform(keys, seed), F.lit(top)
-    for n, edge in reversed(list(enumerate(poisson_edges(mean, top)))):
-        out = F.when(u < edge, F.lit(n)).otherwise(out)
-    return out
+POISSON_STEP = 8.0  # larger means are sums of independent numbers with at most this mean
+
+
+def poisson_count(keys: list[str], seed: int, mean: float = 1.0) -> Column:
+    """How often a row is drawn in a bootstrap sample: a Poisson number from its hash, without an upper bound."""
+    parts = max(1, math.ceil(mean / POISSON_STEP))
+    edges = F.array(*[F.lit(e) for e in poisson_edges(mean / parts)])
+
+    def one(i: int) -> Column:
+        u = hash_uniform(keys, seed if i == 0 else seed + 1_000_003 * i)
+        return F.size(F.filter(edges, lambda e: e <= u))
+
+    return reduce(lambda a, b: a + b, [one(i) for i in range(parts)])
 
 
 def sample_rows(df: DataFrame, key: str, share: float, seed: int, replacement: bool = False) -> DataFrame:
@@ -88,7 +99,7 @@ def one_per_class(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
 def capped_per_class(df: DataFrame, key: str, label: str, caps: dict, seed: int) -> DataFrame:
     """At most ``caps[label]`` random rows of each listed label."""
     d = df.where(F.col(label).isin(list(caps))).withColumn("__u", hash_uniform([key], seed))
-    d = top_per_group(d, [label], [F.asc("__u"), F.asc(key)], max(caps.values()))
+    d = positions(d, [label], ["__u", key], "rank")
     limit = F.lit(0)
     for value, cap in caps.items():
         limit = F.when(F.col(label) == value, F.lit(cap)).otherwise(limit)

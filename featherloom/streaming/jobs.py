@@ -4,18 +4,16 @@ driver continues where the job stopped."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from featherloom.functions.strings import int_between
 from featherloom.operators.filters import drop_header_lines
+from featherloom.operators.ordered import previous
 from featherloom.plans.clicklog import predict
-from featherloom.session import scratch_path
+from featherloom.session import materialize
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -26,14 +24,38 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_b
     return reader.parquet(path)
 
 
-def run_to_files(stream: DataFrame, path: str, kind: str = "parquet", **options: str) -> None:
-    """Process everything that is there, append the results to files, and stop."""
-    checkpoint = scratch_path(stream.sparkSession, "stream-progress")
-    query = (stream.writeStream.format(kind).options(**options).option("checkpointLocation", checkpoint)
+def run_to_files(stream: DataFrame, path: str, progress: str, kind: str = "parquet", **options: str) -> None:
+    """Process everything that is new since the last run, append the results to files, and stop.
+
+    ``progress`` is the checkpoint folder that belongs to ``path``: give the same pair to every run, and a new pair for a new sink.
+    """
+    query = (stream.writeStream.format(kind).options(**options).option("checkpointLocation", progress)
              .outputMode("append").trigger(availableNow=True).start(path))
     query.awaitTermination()
 
 
+def run_updates(stream: DataFrame, path: str, progress: str) -> None:
+    """Process everything that is new and write the changed result rows of every micro-batch under ``path``.
+
+    Groups that are still open are written too, so nothing waits for a watermark to pass; :func:`latest` gives each group's last state.
+    A micro-batch that is repeated after a failure overwrites its own folder.
+    """
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    query = (stream.writeStream.option("checkpointLocation", progress).outputMode("update")
+             .trigger(availableNow=True).foreachBatch(write).start())
+    query.awaitTermination()
+
+
+def latest(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The last written row of every group under ``path``."""
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("__r"))
+    return last.select(*keys, *[F.col("__r")[c].alias(c) for c in rest]).select(*[f.name for f in schema.fields])
+
+
 def filter_lines(lines: DataFrame, fields: list[str], first_field: str, field: str, low: int, high: int, drop: list[str]) -> DataFrame:
     """Tab-separated lines without the header, kept where ``low < int(field) < high``, without some fields.
 
@@ -51,7 +73,7 @@ def score_stream(model: PipelineModel, rows: DataFrame, key: str) -> DataFrame:
 
 
 def hourly_bars(events: DataFrame, ts: str, tie: str, value: str, late: str = "10 minutes") -> DataFrame:
-    """Count and open/high/low/close per hour; an hour is emitted once the watermark has passed it."""
+    """Count and open/high/low/close per hour; an hour's state is dropped once the watermark has passed it."""
     when = F.struct(ts, tie)
     return events.withWatermark(ts, late).groupBy(F.window(ts, "1 hour").alias("w")).agg(
         F.count("*").alias("n"), F.min_by(value, when).alias("open"), F.max(value).alias("high"), F.min(value).alias("low"),
@@ -75,25 +97,39 @@ def sliding_counts(events: DataFrame, key: str, ts: str, length: str, step: str,
         F.col("w.end").alias("end"), key, "n")
 
 
-def event_gaps(events: DataFrame, key: str, ts: str, event_id: str) -> DataFrame:
-    """Seconds from a key's previous event to each event, across micro-batches.
+def _gap_rows(rows: DataFrame, key: str, event_id: str) -> DataFrame:
+    """Gaps of held rows to the row before, the last one already given out included; cut over tasks like any ordered operator."""
+    d = previous(rows, [key], ["us", event_id], {"__us": F.col("us")})
+    return d.where("held").select(key, event_id, ((F.col("us") - F.col("__us")) / 1e6).alias("gap_seconds"))
 
-    The state is one timestamp per key. A micro-batch bounds what one key can bring at a time.
-    """
-    out = f"{key} long, {event_id} long, gap_seconds double"
 
-    def step(group: tuple, batches: Iterator, state: GroupState) -> Iterator:
-        import pandas as pd
+def run_event_gaps(events: DataFrame, path: str, progress: str, key: str, ts: str, event_id: str, late_seconds: float = 600.0) -> None:
+    """Seconds from a key's previous event to each event, across micro-batches and runs.
 
-        rows = pd.concat(list(batches)).sort_values(["us", event_id])
-        before = state.get[0] if state.exists else None
-        us = rows["us"]
-        previous = us.shift(1)
-        if before is not None:
-            previous.iloc[0] = before
-        state.update((int(us.iloc[-1]),))
-        yield pd.DataFrame({key: rows[key], event_id: rows[event_id], "gap_seconds": (us - previous) / 1e6})
+    Events wait until the newest event is ``late_seconds`` ahead of them, so events that come out of order by less are put in order.
+    What waits, and the last event given out per key, is written as ``path``/state; a repeated micro-batch overwrites its own folders.
+    An event that comes later than that has no gap if all of its key's events given out so far are newer.
+    """
+    def step(batch_rows: DataFrame, batch: int) -> None:
+        spark = batch_rows.sparkSession
+        new = batch_rows.select(key, event_id, F.unix_micros(ts).alias("us"), F.lit(True).alias("held"))
+        if batch:
+            new = new.unionByName(spark.read.schema(new.schema).parquet(f"{path}/state/batch={batch - 1}"))
+        rows = materialize(new, "gap-rows")
+        newest = rows.agg(F.max("us").alias("m")).first()["m"]
+        mark = F.lit(newest - int(late_seconds * 1e6) if newest is not None else 0)
+        ready = rows.where((F.col("us") <= mark) | ~F.col("held"))
+        _gap_rows(ready, key, event_id).write.mode("overwrite").parquet(f"{path}/gaps/batch={batch}")
+        given = ready.groupBy(key).agg(F.max(F.struct("us", event_id)).alias("l")).select(key, f"l.{event_id}", "l.us", F.lit(False).alias("held"))
+        rows.where((F.col("us") > mark) & F.col("held")).unionByName(given).write.mode("overwrite").parquet(f"{path}/state/batch={batch}")
+
+    query = events.writeStream.option("checkpointLocation", progress).trigger(availableNow=True).foreachBatch(step).start()
+    query.awaitTermination()
 
-    d = events.select(key, event_id, F.unix_micros(ts).alias("us"))
-    return d.groupBy(key).applyInPandasWithState(step, out, "last long", "append", GroupStateTimeout.NoTimeout)
 
+def event_gaps_now(spark: SparkSession, path: str, key: str, event_id: str) -> DataFrame:
+    """All gaps given out so far and, as of now, those of the events that still wait."""
+    gaps = spark.read.parquet(f"{path}/gaps")
+    states = spark.read.parquet(f"{path}/state")
+    waiting = states.where(F.col("batch") == states.agg(F.max("batch")).scalar()).drop("batch")
+    return gaps.drop("batch").unionByName(_gap_rows(waiting, key, event_id))
