@@ -337,6 +337,25 @@ def _(t):
     return clicklog.score(clicklog.predict(model, kept, "id"), kept.select("id", "label"), "id", "label")
 
 
+# the same job with a straight line as model, which SQL can fit
+@book.add("c19_filter_predict_score_line", """
+WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 6 <> 0 THEN o_custkey % 50 END AS if1, day(o_orderdate)::DOUBLE AS x, CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM orders),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM r)
+SELECT round(avg(abs(y - a - b * x)), 6) AS mae FROM r, m WHERE if1 > 20 AND if1 < 40""")
+def _(t):
+    from pyspark.ml.regression import LinearRegression
+
+    from featherloom.operators.models import fit_on
+    from featherloom.plans import clicklog
+
+    rows = t.orders.select(
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 6 != 0, (F.col("o_custkey") % 50).cast("string")).alias("if1"),
+        F.dayofmonth("o_orderdate").cast("double").alias("if3"), (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+    kept = clicklog.keep_rows(rows)
+    model = fit_on(["if3"], LinearRegression(featuresCol="features", labelCol="label", solver="normal"), rows)
+    return clicklog.score(clicklog.predict(model, kept, "id"), kept.select("id", "label"), "id", "label").withColumn("mae", rnd("mae"))
+
+
 META = """SELECT doc_id, (n_chars % 97 + 1) / 100.0::DOUBLE AS m1, (n_chars % 41 + 1) / 50.0::DOUBLE AS m2, (n_chars % 13 + 1) / 20.0::DOUBLE AS m3 FROM documents"""
 
 

@@ -71,7 +71,7 @@ def _(t):
     return d.select("class", "support", *[rnd(c).alias(c) for c in ("precision", "recall", "f1", "accuracy", "balanced_accuracy")])
 
 
-GRID = [round(i * 0.05, 2) for i in range(1, 20)]
+GRID = [0.1 + 0.8 * i / 49 for i in range(50)]
 
 
 @book.add("v08_best_f1", f"""{W}, g AS (SELECT unnest({GRID}) :: DOUBLE AS threshold), c AS (SELECT threshold, 2 * count(*) FILTER (WHERE p1 >= threshold AND y = 1) / (count(*) FILTER (WHERE p1 >= threshold) + count(*) FILTER (WHERE y = 1)) AS f1 FROM scored, g GROUP BY 1)
@@ -149,7 +149,7 @@ def _(t):
 @book.add("v15_threshold_search")
 def _(t):
     d = probs(t)
-    best = m.threshold_search(d, "y", PROBS, [0.02, 0.05, 0.1, 0.15, 0.2, 0.25], THRESHOLDS, WEIGHTS, WEIGHTS)
+    best = m.threshold_search(d, "y", PROBS, [i / 40 for i in range(1, 21)], THRESHOLDS, WEIGHTS, WEIGHTS)
     loss = m.weighted_mae(F.col("y"), m.pick_class(PROBS, best, WEIGHTS), WEIGHTS)
     return d.agg(F.lit(",".join(str(b) for b in best)).alias("thresholds"), rnd(loss).alias("wmae"))
 

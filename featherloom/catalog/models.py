@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import SCORED, Book, rnd, uniform_sql
@@ -11,6 +12,7 @@ from featherloom.operators import models as ml
 from featherloom.session import materialize
 
 book = Book()
+TREES = 100
 COLS = ["chars", "words", "digits", "lines", "mean_word"]
 
 
@@ -81,7 +83,7 @@ def _(t):
         F.col("l_extendedprice").alias("y"), F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"), F.col("p_retailprice").alias("price"))
     d = materialize(d, "lines")
     cols, rows = ["quantity", "discount", "tax", "price"], None
-    for name, model in ml.regressors("y", trees=5).items():
+    for name, model in ml.regressors("y", trees=TREES).items():
         part = ml.fit_on(cols, model, d).transform(d).agg(F.lit(name).alias("model"), metrics.rmse(F.col("y"), F.col("prediction")).alias("rmse"))
         rows = part if rows is None else rows.unionByName(part)
     return rows
@@ -90,7 +92,7 @@ def _(t):
 @book.add("m08_base_classifiers")
 def _(t):
     d, rows = materialize(texts(t), "texts"), None
-    for name, model in ml.classifiers("y", trees=5).items():
+    for name, model in ml.classifiers("y", trees=TREES).items():
         part = ml.fit_on(COLS, model, d).transform(d).agg(F.lit(name).alias("model"), F.avg((F.col("prediction") == F.col("y")).cast("int")).alias("accuracy"))
         rows = part if rows is None else rows.unionByName(part)
     return rows
@@ -110,7 +112,7 @@ def _(t):
 
 def _stacked(t):
     d = materialize(splits.random_folds(texts(t), "doc_id", 4, 5), "texts")
-    models = {"logistic": LogisticRegression(featuresCol="features", labelCol="y", maxIter=20), "forest": ml.classifiers("y", trees=5)["forest"]}
+    models = {"logistic": LogisticRegression(featuresCol="features", labelCol="y", maxIter=20), "forest": ml.classifiers("y", trees=TREES)["forest"]}
     return ml.stack(d, COLS, models, "y", "fold", 4)
 
 
@@ -169,3 +171,81 @@ def _(t):
     d = texts(t)
     model = LogisticRegression(featuresCol="features", labelCol="y", maxIter=20)
     return ml.segmented(d, F.col("chars") < 1500, COLS, "y", model, ml.positive()).select("doc_id", rnd("score").alias("score"))
+
+
+# The same jobs with parts that have a closed form, so that SQL can say what must come out.
+
+TEXTS = """texts AS (SELECT doc_id, quality::DOUBLE AS y, length(text)::DOUBLE AS chars, len(string_split(text, ' '))::DOUBLE AS words FROM documents JOIN labels USING (doc_id))"""
+
+
+def _line(label="y"):
+    return LinearRegression(featuresCol="features", labelCol=label, solver="normal")
+
+
+@book.add("m02_class_weights", f"WITH {TEXTS} SELECT doc_id, round((SELECT count(*) FROM texts) / (2 * count(*) OVER (PARTITION BY y)), 9) AS weight FROM texts")
+def _(t):
+    return ml.balanced_weights(texts(t).select("doc_id", "y"), "y").select("doc_id", rnd("weight", 9).alias("weight"))
+
+
+@book.add("m03_char_ngram_counts", r"""
+WITH w AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^\p{L}]+')) AS word FROM documents),
+g AS (SELECT word, n, unnest(range(1, length(word) - n + 2)) AS i FROM w, range(2, 5) r(n) WHERE length(word) > 1)
+SELECT substr(word, i, n) AS gram, count(*) AS n FROM g GROUP BY 1""")
+def _(t):
+    words = t.documents.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("length(word) > 1").distinct()
+    return words.select(F.explode(ml.char_ngrams(F.col("word"), 2, 4)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+
+
+@book.add("m08_line_by_fold", f"""
+WITH p AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS y, l_quantity AS x, CAST(floor({uniform_sql('l_orderkey', 6)} * 5) AS INT) AS fold FROM lineitem),
+m AS (SELECT f AS fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM p, range(0, 5) r(f) WHERE fold <> f GROUP BY 1)
+SELECT fold, round(sqrt(avg((y - a - b * x) ** 2)), 4) AS rmse, count(*) AS n FROM p JOIN m USING (fold) GROUP BY 1""")
+def _(t):
+    """Root mean squared error of rows that the model has not seen."""
+    d = t.lineitem.select("l_orderkey", F.col("l_extendedprice").alias("y"), F.col("l_quantity").alias("x"))
+    d = materialize(splits.random_folds(d, "l_orderkey", 5, 6), "lines")
+    scored = ml.out_of_fold(d, ["x"], _line(), "fold", 5, F.col("prediction"), "guess")
+    return scored.groupBy("fold").agg(rnd(metrics.rmse(F.col("y"), F.col("guess")), 4).alias("rmse"), F.count("*").alias("n"))
+
+
+def _draws(seed):
+    edges = splits.poisson_edges(1.0)
+    u = uniform_sql("doc_id", seed)
+    return "CASE " + " ".join(f"WHEN {u} < {e!r}::DOUBLE THEN {n}" for n, e in enumerate(edges)) + f" ELSE {len(edges)} END"
+
+
+@book.add("m10_bootstrap_lines", f"""
+WITH {TEXTS}, d AS (SELECT *, {_draws(3)} AS w1, {_draws(4)} AS w2 FROM texts),
+l AS (SELECT 1 AS i, y, words AS x, w1::DOUBLE AS w FROM d UNION ALL SELECT 2, y, words, w2 FROM d),
+m AS (SELECT (sum(w) * sum(w * x * y) - sum(w * x) * sum(w * y)) / (sum(w) * sum(w * x * x) - sum(w * x) ** 2) AS b, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM l GROUP BY i)
+SELECT doc_id, round((SELECT avg(my - b * mx) FROM m) + (SELECT avg(b) FROM m) * words, 6) AS score FROM texts""")
+def _(t):
+    d = materialize(texts(t), "texts")
+    return ml.bootstrap_bagging(d, d, "doc_id", ["words"], "y", models=2, seed=3, base=LinearRegression(solver="normal")).select("doc_id", rnd("score").alias("score"))
+
+
+@book.add("m11_out_of_fold_line", f"""
+WITH {TEXTS}, p AS (SELECT doc_id, y, words AS x, CAST(floor({uniform_sql('doc_id', 5)} * 4) AS INT) AS fold FROM texts),
+m AS (SELECT f AS fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM p, range(0, 4) r(f) WHERE fold <> f GROUP BY 1)
+SELECT doc_id, fold, round(a + b * x, 6) AS oof FROM p JOIN m USING (fold)""")
+def _(t):
+    d = materialize(splits.random_folds(texts(t).select("doc_id", "y", "words"), "doc_id", 4, 5), "texts")
+    return ml.out_of_fold(d, ["words"], _line(), "fold", 4, F.col("prediction"), "oof").select("doc_id", "fold", rnd("oof").alias("oof"))
+
+
+@book.add("m12_isotonic_steps", f"""
+WITH {SCORED}, s AS (SELECT p1, sum(y) AS y, count(*) AS n FROM scored GROUP BY 1),
+c AS (SELECT p1, sum(y) OVER w AS cy, sum(n) OVER w AS cn, sum(y) OVER w - y AS by, sum(n) OVER w - n AS bn FROM s WINDOW w AS (ORDER BY p1)),
+lows AS (SELECT a.p1 AS lo, x.p1 AS place, min((b.cy - a.by) / (b.cn - a.bn)) AS m FROM c a JOIN c x ON a.p1 <= x.p1 JOIN c b ON b.p1 >= x.p1 GROUP BY 1, 2)
+SELECT place AS p1, round(max(m), 9) AS calibrated FROM lows GROUP BY 1""")
+def _(t):
+    """Greatest lower mean over starts of the least mean over ends, at each distinct score."""
+    d = t.scored.select("p1", F.col("y").cast("double").alias("y"))
+    return ml.calibrate(d, "p1", "y").groupBy("p1").agg(rnd(F.max("calibrated"), 9).alias("calibrated"))
+
+
+@book.add("m15_segmented_lines", f"""
+WITH {TEXTS}, m AS (SELECT chars < 1500 AS side, regr_slope(y, words) AS b, regr_intercept(y, words) AS a FROM texts GROUP BY 1)
+SELECT doc_id, round(a + b * words, 6) AS score FROM texts JOIN m ON side = (chars < 1500)""")
+def _(t):
+    return ml.segmented(texts(t), F.col("chars") < 1500, ["words"], "y", _line(), F.col("prediction")).select("doc_id", rnd("score").alias("score"))

@@ -182,6 +182,20 @@ def _(t):
     return knn.cell_nearest(t.embeddings, "vec_id", "embedding", 5, cells=8, probes=3)
 
 
+# with enough tables of half spaces, or with every cell probed, the approximate searches must equal the exact one
+EXACT5 = f"WITH {emb_nn(5, NOT_SELF)} SELECT a AS vec_id, b AS neighbour, CAST(rk AS INT) AS rank, round(distance, 6) AS distance FROM nn"
+
+
+@book.add("k15_lsh_many_tables", EXACT5)
+def _(t):
+    return knn.lsh_nearest(t.embeddings, "vec_id", "embedding", 5, bucket_length=1e6, tables=24).withColumn("distance", rnd("distance"))
+
+
+@book.add("k16_all_cells", EXACT5)
+def _(t):
+    return knn.cell_nearest(t.embeddings, "vec_id", "embedding", 5, cells=4, probes=4).withColumn("distance", rnd("distance"))
+
+
 @book.add("k17_recall", f"""WITH {emb_nn(5, NOT_SELF)}, coarse AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 10)) AS embedding FROM embeddings), nn_exact AS (SELECT * FROM nn),
 {emb_nn(5, NOT_SELF, src='coarse').replace('nn AS', 'nn_coarse AS', 1)}
 SELECT e.a AS vec_id, count(h.b) AS hits, 5 - count(h.b) AS misses, count(h.b) / 5.0::DOUBLE AS recall FROM nn_exact e LEFT JOIN nn_coarse h ON h.a = e.a AND h.b = e.b GROUP BY 1""")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, rnd
-from featherloom.operators.models import logistic_with_medians
+from featherloom.operators.models import fit_on, logistic_with_medians
 from featherloom.plans import clicklog
 from featherloom.session import scratch_path
 from featherloom.streaming import jobs
@@ -57,6 +58,20 @@ def _(t):
     return _result(t, jobs.score_stream(model, clicklog.keep_rows(stream), "id"), "score_out").withColumn("prob", rnd("prob"))
 
 
+@book.add("st2_filter_and_score_line", """
+WITH r AS (SELECT o_orderkey AS id, o_custkey % 50 AS if1, day(o_orderdate)::DOUBLE AS x, CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM orders),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM r)
+SELECT id, round(a + b * x, 6) AS prob FROM r, m WHERE if1 > 20 AND if1 < 40""")
+def _(t):
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 50).cast("string").alias("if1"),
+                           F.dayofmonth("o_orderdate").cast("double").alias("if3"), (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+    model = fit_on(["if3"], LinearRegression(featuresCol="features", labelCol="label", solver="normal"), rows)
+    path = scratch_path(t.spark, "score_in")
+    rows.drop("label").write.parquet(path)
+    stream = jobs.read_files(t.spark, path, rows.drop("label").schema)
+    return _result(t, jobs.score_stream(model, clicklog.keep_rows(stream), "id"), "score_out").withColumn("prob", rnd("prob"))
+
+
 @book.add("st3_hourly_bars", """
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS start, count(*) AS n, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close
 FROM events GROUP BY date_trunc('hour', ts)""")

@@ -21,6 +21,7 @@ from featherloom.operators import knn
 from featherloom.operators.ordered import running
 from featherloom.operators.splits import hash_uniform, poisson_count
 from featherloom.operators.stats import with_stats
+from featherloom.session import materialize
 
 
 def _assembled(cols: list[str], out: str = "features") -> VectorAssembler:
@@ -60,11 +61,11 @@ def scaled_logistic(df: DataFrame, cols: list[str], label: str) -> PipelineModel
 
 def char_ngrams(text: Column, low: int, high: int) -> Column:
     """All substrings of ``low`` to ``high`` characters."""
-    parts = []
-    for n in range(low, high + 1):
+    def of_length(n: int) -> Column:
         starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: F.substring(text, i, F.lit(n))))
-    return F.concat(*parts)
+        return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+
+    return F.concat(*[of_length(n) for n in range(low, high + 1)])
 
 
 def word_classifier(label: str, features: int = 1 << 14) -> Pipeline:
@@ -139,7 +140,7 @@ def classifiers(label: str, depth: int = 5, trees: int = 20, seed: int = 1) -> d
 
 
 def fit_on(cols: list[str], model: Estimator, df: DataFrame) -> PipelineModel:
-    return Pipeline(stages=[_assembled(cols, model.getFeaturesCol()), model]).fit(df)
+    return Pipeline(stages=[_assembled(cols, model.getOrDefault(model.featuresCol)), model]).fit(df)
 
 
 def _mean(cols: list[str]) -> Column:
@@ -157,14 +158,23 @@ def feature_subset_bagging(train: DataFrame, df: DataFrame, cols: list[str], lab
     return d.withColumn(out, _mean(names)).drop(*names)
 
 
-def bootstrap_bagging(train: DataFrame, df: DataFrame, key: str, cols: list[str], label: str, models: int = 5, seed: int = 1, out: str = "score") -> DataFrame:
-    """Mean score of models fitted on bootstrap samples; a sample is a weight column, so no row is copied."""
+def bootstrap_bagging(train: DataFrame, df: DataFrame, key: str, cols: list[str], label: str, models: int = 5, seed: int = 1, out: str = "score",
+                      base: Estimator | None = None) -> DataFrame:
+    """Mean score of models fitted on bootstrap samples; a sample is a weight column, so no row is copied.
+
+    ``base`` is any estimator that takes weights (default: logistic regression, whose score is the probability of class 1).
+    """
+    base = base or LogisticRegression(maxIter=20)
+    own = {base.featuresCol: "__f", base.labelCol: label, base.weightCol: "__w", base.predictionCol: "__y"}
+    extra = [c for c in ("probabilityCol", "rawPredictionCol") if base.hasParam(c)]
+    own |= {base.getParam(c): f"__{c}" for c in extra}
+    score = positive("__probabilityCol") if extra else F.col("__y")
     d, names = df, []
     for i in range(models):
         sample = train.withColumn("__w", poisson_count([key], seed + i).cast("double")).where("__w > 0")
-        model = fit_on(cols, LogisticRegression(featuresCol="__f", labelCol=label, weightCol="__w", probabilityCol="__p", rawPredictionCol="__r", predictionCol="__y", maxIter=20), sample)
+        model = fit_on(cols, base.copy(own), sample)
         names.append(f"__s{i}")
-        d = model.transform(d).withColumn(names[-1], positive("__p")).drop("__f", "__p", "__r", "__y")
+        d = model.transform(d).withColumn(names[-1], score).drop("__f", "__y", *[f"__{c}" for c in extra])
     return d.withColumn(out, _mean(names)).drop(*names)
 
 
@@ -181,7 +191,8 @@ def stack(df: DataFrame, cols: list[str], models: dict[str, Estimator], label: s
     """Out-of-fold scores of every base model, and a logistic meta-model over them."""
     d = df
     for name, model in models.items():
-        d = out_of_fold(d, cols, model, fold, folds, positive(), f"oof_{name}")
+        # written out, or every later model would score all earlier ones again
+        d = materialize(out_of_fold(d, cols, model, fold, folds, positive(), f"oof_{name}"), "out-of-fold")
     names = [f"oof_{n}" for n in models]
     meta = LogisticRegression(featuresCol="__m", labelCol=label, probabilityCol="__p", rawPredictionCol="__r", predictionCol="__y")
     return fit_on(names, meta, d).transform(d).withColumn("meta", positive("__p")).select(*d.columns, "meta")

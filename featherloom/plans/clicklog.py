@@ -17,8 +17,10 @@ def keep_rows(rows: DataFrame, field: str = "if1", low: int = 20, high: int = 40
 
 
 def predict(model: PipelineModel | Transformer, rows: DataFrame, key: str) -> DataFrame:
+    """Score of every row: the probability of class 1, or the prediction of a regression."""
     scored = model.transform(rows)
-    return scored.select(key, vector_to_array("probability")[1].alias("prob"))
+    prob = vector_to_array("probability")[1] if "probability" in scored.columns else F.col("prediction")
+    return scored.select(key, prob.alias("prob"))
 
 
 def score(pred: DataFrame, truth: DataFrame, key: str, label: str) -> DataFrame:
