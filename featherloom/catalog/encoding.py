@@ -178,15 +178,15 @@ def _(t):
 
 
 @book.add("e20_uniform_quantiles", """
-WITH tr AS (SELECT l_quantity * 1.0::DOUBLE AS x FROM lineitem WHERE l_returnflag = 'A' AND l_quantity NOT IN (7, 8, 20, 50)),
+WITH tr AS (SELECT l_extendedprice AS x FROM lineitem WHERE l_returnflag = 'A'),
 m AS (SELECT x, (2 * sum(count(*)) OVER (ORDER BY x) - count(*) - 1) / (2 * (sum(count(*)) OVER () - 1))::DOUBLE AS u FROM tr GROUP BY 1),
-r AS (SELECT l_orderkey, l_linenumber, l_quantity AS x FROM lineitem WHERE l_returnflag <> 'A')
+r AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS x FROM lineitem WHERE l_returnflag <> 'A')
 SELECT l_orderkey, l_linenumber, round(CASE WHEN a.x = r.x THEN a.u WHEN a.x IS NULL THEN 0 WHEN b.x IS NULL THEN 1 ELSE a.u + (r.x - a.x) / nullif(b.x - a.x, 0) * (b.u - a.u) END, 6) AS u
 FROM r ASOF LEFT JOIN m a ON r.x >= a.x ASOF LEFT JOIN m b ON r.x <= b.x""")
 def _(t):
-    train = t.lineitem.where("l_returnflag = 'A' and l_quantity not in (7, 8, 20, 50)")
-    rest = t.lineitem.where("l_returnflag <> 'A'").select("l_orderkey", "l_linenumber", "l_quantity")
-    return enc.uniform_quantiles(train, rest, "l_quantity", "u").select("l_orderkey", "l_linenumber", rnd("u").alias("u"))
+    train = t.lineitem.where("l_returnflag = 'A'")
+    rest = t.lineitem.where("l_returnflag <> 'A'").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return enc.uniform_quantiles(train, rest, "l_extendedprice", "u").select("l_orderkey", "l_linenumber", rnd("u").alias("u"))
 
 
 RULES = [("the", 1), ("ing", 2), ("tion", 3), ("der|die|das", 4), ("eaux", 5)]

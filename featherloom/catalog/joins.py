@@ -126,11 +126,11 @@ def _(t):
 
 
 @book.add("j13_range_bins", """
-WITH b AS (SELECT p_size * 1000.0::DOUBLE AS hi, (p_size - 1) * 1000.0::DOUBLE AS lo, 'size_' || p_size AS label FROM (SELECT DISTINCT p_size FROM part WHERE p_size NOT IN (10, 20, 30)))
+WITH b AS (SELECT p_size * 1000.0::DOUBLE AS hi, (p_size - 0.75) * 1000.0::DOUBLE AS lo, 'size_' || p_size AS label FROM (SELECT DISTINCT p_size FROM part))
 SELECT l_orderkey * 10 + l_linenumber AS line, label FROM lineitem LEFT JOIN b ON l_extendedprice > lo AND l_extendedprice <= hi""")
 def _(t):
-    sizes = t.part.where("p_size not in (10, 20, 30)").select("p_size").distinct()
-    bins = sizes.select(((F.col("p_size") - 1) * 1000.0).alias("lo"), (F.col("p_size") * 1000.0).alias("hi"),
+    sizes = t.part.select("p_size").distinct()
+    bins = sizes.select(((F.col("p_size") - 0.75) * 1000.0).alias("lo"), (F.col("p_size") * 1000.0).alias("hi"),
                         F.concat(F.lit("size_"), F.col("p_size").cast("string")).alias("label"))
     lines = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), "l_extendedprice")
     return joins.range_lookup(lines, "l_extendedprice", bins, "lo", "hi", "label").select("line", "label")

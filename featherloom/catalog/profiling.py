@@ -48,6 +48,9 @@ def _(t):
     return d.select("column", "n_unique", "mode_el", *[rnd(c).alias(c) for c in ("nan_frac", "zero_frac", "empty_frac", "mode_frac", "trash_score")])
 
 
+NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
 def _table_sql(c):
     return f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 1) AS mean, round(stddev_samp({c}), 1) AS std, round(min({c}), 1) AS min, round(quantile_cont({c}, 0.25), 1) AS q25,
  round(median({c}), 1) AS q50, round(quantile_cont({c}, 0.75), 1) AS q75, round(quantile_cont({c}, 0.95), 1) AS q95, round(max({c}), 1) AS max, round(max({c}) - min({c}), 1) AS iqr, count(DISTINCT {c}) AS nunique,
@@ -55,22 +58,22 @@ def _table_sql(c):
 
 
 @book.add("q03_info_table", f"SELECT \"column\", count, nunique, mode_count, null_count, " + ", ".join(f"CASE WHEN nunique >= 20 THEN {c}::DOUBLE END AS {c}" for c in ("mean", "std", "min", "q25", "q50", "q75", "q95", "max", "iqr"))
-          + " FROM (" + " UNION ALL ".join(_table_sql(c) for c in ("l_quantity", "l_extendedprice", "l_linenumber", "l_suppkey")) + ")")
+          + " FROM (" + " UNION ALL ".join(_table_sql(c) for c in NUMBERS) + ")")
 def _(t):
-    d = pf.info_table(t.lineitem.select("l_quantity", "l_extendedprice", "l_linenumber", "l_suppkey"), distinct_limit=20)
+    d = pf.info_table(t.lineitem.select(*NUMBERS), distinct_limit=20)
     return d.select("column", "count", "nunique", "mode_count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "q95", "max", "iqr")
 
 
 @book.add("q04_classify_columns", "SELECT c AS \"column\", n AS nunique, CASE WHEN n < 55 THEN 'categorical' ELSE 'numerical' END AS kind FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS c, count(DISTINCT {c}) AS n FROM lineitem" for c in ("l_quantity", "l_discount", "l_returnflag", "l_partkey", "l_extendedprice")) + ")")
+    f"SELECT '{c}' AS c, count(DISTINCT {c}) AS n FROM lineitem" for c in [*NUMBERS, "l_returnflag", "l_linestatus", "l_shipdate"]) + ")")
 def _(t):
-    return pf.classify_columns(t.lineitem.select("l_quantity", "l_discount", "l_returnflag", "l_partkey", "l_extendedprice"))
+    return pf.classify_columns(t.lineitem)
 
 
 @book.add("q05_describe", " UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c}) AS min, max({c}) AS max,
-  round(quantile_cont({c}, 0.25), 4) AS q25, round(median({c}), 4) AS q50, round(quantile_cont({c}, 0.75), 4) AS q75 FROM lineitem""" for c in ("l_quantity", "l_discount")))
+  round(quantile_cont({c}, 0.25), 4) AS q25, round(median({c}), 4) AS q50, round(quantile_cont({c}, 0.75), 4) AS q75 FROM lineitem""" for c in NUMBERS))
 def _(t):
-    d = pf.describe(t.lineitem, ["l_quantity", "l_discount"])
+    d = pf.describe(t.lineitem, NUMBERS)
     return d.select("column", "count", "min", "max", *[rnd(c, 4).alias(c) for c in ("mean", "std", "q25", "q50", "q75")])
 
 
