@@ -49,12 +49,13 @@ def plan(rows: DataFrame, most: int = 3, seed: int = 11, weights: tuple[int, ...
     """How much of each row the mix takes. ``rows``: doc_id, source, size and further columns; ``size`` null counts as 0.
 
     Adds ``source_size``, ``target``, ``epochs`` (whole copies), ``part`` (size units of one more, cut-off copy) and ``before`` (size of the
-    source's rows that come earlier in the random order). The order is that of a keyed hash of doc_id, so reruns agree; every source takes
+    source's rows that come earlier in the random order). The order is that of an MD5 of doc_id and seed, so reruns agree; every source takes
     floor(target / source_size) copies of all its rows and cuts the next copy where its budget, rounded to a whole unit, is used up.
     A source without any size takes nothing. Rows with null doc_id or source are rows like others.
     """
     ties = ties or ["doc_id", "size"]
-    rows = rows.withColumn("size", F.coalesce("size", F.lit(0)).cast("long")).withColumn("__key", F.xxhash64(F.lit(seed), F.col("doc_id")))
+    rows = rows.withColumn("size", F.coalesce("size", F.lit(0)).cast("long")).withColumn(
+        "__key", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))))
     rows = rows.drop("source_size", "target", "epochs", "part", "before", "weight")
     sums = materialize(prefix_sums(rows, ["source"], [F.col("__key"), *[F.col(c).asc_nulls_first() for c in ties]], {"before": "size"}, "mix"), "mix")
     sources = targets(cycle_weights(sums.groupBy("source").agg(F.sum("size").alias("source_size")), weights), most)

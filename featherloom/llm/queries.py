@@ -32,7 +32,20 @@ def feistel_shards(t: Tables):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-@book.add("op7_mixing")
+# the level is found in the order of limit / weight, as the operator does; the rest is plain windows
+MIX = r"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM s),
+r AS (SELECT *, sum(cap) OVER o - cap AS caps, sum(weight) OVER o - weight AS weights, sum(source_size) OVER () AS t, sum(weight) OVER () AS tw FROM w WINDOW o AS (ORDER BY cap / weight, source NULLS LAST)),
+f AS (SELECT *, cap * (tw - weights) <= (t - caps) * weight AS is_full FROM r),
+g AS (SELECT source, source_size, CASE WHEN is_full THEN cap::DOUBLE ELSE ((t - coalesce(sum(cap) FILTER (is_full) OVER (), 0)) * weight)::DOUBLE / (tw - coalesce(sum(weight) FILTER (is_full) OVER (), 0)) END AS target FROM f),
+p AS (SELECT d.*, source_size, target, CAST(round(target) AS BIGINT) AS budget, sum(size) OVER (PARTITION BY d.source ORDER BY md5(doc_id || ':11'), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size > 0 THEN budget // source_size * size + greatest(0, least(size, budget % source_size - before)) ELSE 0 END AS BIGINT) AS taken FROM p"""
+
+
+@book.add("op7_mixing", MIX)
 def mix_to_weights(t: Tables):
     rows = mixing.plan(t.documents.select("doc_id", "source", word_count(F.col("text")).alias("size")))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"))
