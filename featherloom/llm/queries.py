@@ -11,7 +11,24 @@ from featherloom.llm.common import word_count
 book = Book()
 
 
-@book.add("op1_secret_scan")
+def _rule_sql(rank: int, rule: secret_scan.Rule) -> str:
+    text, pattern = "coalesce(text, '')", f"$${rule.pattern}$$"
+    return f"""SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, {rule.least} AS least, string_split_regex({text}, {pattern}) AS gaps,
+ regexp_extract_all({text}, {pattern}, 0) AS hits, regexp_extract_all({text}, {pattern}, {rule.group}) AS parts FROM documents"""
+
+
+SECRETS = f"""
+WITH m AS ({" UNION ALL ".join(_rule_sql(i, r) for i, r in enumerate(secret_scan.RULES))}),
+e AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+f AS (SELECT doc_id, kind, rank, length(hits[i]) AS n,
+  list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS a FROM e WHERE length(parts[i]) >= least),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(a + n AS BIGINT), ',' ORDER BY a, rank) AS spans FROM f GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN g USING (doc_id)"""
+
+
+@book.add("op1_secret_scan", SECRETS)
 def secret_findings(t: Tables):
     rows = secret_scan.summary(t.documents, "doc_id", "text")
     base = F.array_join(F.filter(F.split("spans", ","), lambda s: F.rlike(s, F.lit("^(assign|access|hex):"))), ",")
