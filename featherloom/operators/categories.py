@@ -46,6 +46,19 @@ def entropy_bits(df: DataFrame, keys: list[str], value: str, out: str, eps: floa
     return join_groups(counts, totals, keys).groupBy(*keys).agg((-F.sum(p * F.log2(p + F.lit(eps)))).alias(out))
 
 
+def summary_of_counts(counts: DataFrame, keys: list[str], value: str, top: int = 2, eps: float = 1e-9) -> DataFrame:
+    """All measures of a ``(keys, value, n)`` table at once: distinct values, largest share, entropy in nats and bits, first values.
+
+    One shuffle by key: totals and ranks are windows over a key's distinct values, and the aggregate needs no other partitioning.
+    """
+    w = Window.partitionBy(*keys)
+    d = counts.withColumns({"__t": F.sum("n").over(w), "rank": F.row_number().over(w.orderBy(F.desc("n"), F.col(value)))})
+    p = F.col("n") / F.col("__t")
+    return d.groupBy(*keys).agg(
+        F.count("*").alias("unique"), (F.max("n") / F.sum("n")).alias("concentration"), entropy().alias("entropy"),
+        (-F.sum(p * F.log2(p + F.lit(eps)))).alias("bits"), *[F.max(F.when(F.col("rank") == i, F.col(value))).alias(f"top_{i}") for i in range(1, top + 1)])
+
+
 def _ranked(df: DataFrame, keys: list[str], value: str, n: int) -> DataFrame:
     # the row_number limit is applied per map task first, so only n rows per key are shuffled
     w = Window.partitionBy(*keys).orderBy(F.desc("n"), F.col(value))

@@ -34,6 +34,6 @@ def rows_within_quantiles(df: DataFrame, entity: str, cols: list[str], prob: flo
     """All rows of entities that have a row with every column at or below its own quantile."""
     long = df.select(entity, F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("i", "v"))
     limits = group_quantiles(long, ["i"], "v", {"q": prob})
-    by_position = limits.agg(F.map_from_entries(F.collect_list(F.struct("i", "q"))).alias("m")).scalar()
-    ok = reduce(lambda a, b: a & b, [F.col(c) <= by_position[F.lit(i)] for i, c in enumerate(cols)])
+    found = {r["i"]: r["q"] for r in limits.collect()}  # one number per column; as literals they reach the scan
+    ok = reduce(lambda a, b: a & b, [F.col(c) <= F.lit(found.get(i)).cast("double") for i, c in enumerate(cols)])
     return df.join(df.where(ok).select(entity).distinct(), entity, "left_semi")

@@ -80,6 +80,17 @@ def column_info_by_threshold(df: DataFrame, threshold: float = 0.5, cols: list[s
         F.greatest(bad, F.when(share > threshold, share).otherwise(0.0)).alias("trash_score"))
 
 
+def _moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Mean, sample deviation, minimum and maximum per numeric column, from one aggregate over the rows."""
+    cells = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        cells.append(F.struct(F.lit(c).alias("column"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")))
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column string, mean double, std double, min double, max double")
+    return df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
+
+
 def info_table(df: DataFrame, distinct_limit: int = DISTINCT_LIMIT, cols: list[str] | None = None) -> DataFrame:
     """Count, moments, quantiles, range, distinct count, mode and null share per column.
 
@@ -89,10 +100,7 @@ def info_table(df: DataFrame, distinct_limit: int = DISTINCT_LIMIT, cols: list[s
     counts = long_counts(df, names)
     s = _summary(counts, F.col("value").isNotNull())
     numbers = counts.where(F.col("number").isNotNull())
-    x, n = F.col("number"), F.col("n")
-    sums = numbers.groupBy("column").agg(F.sum(n).alias("__n"), (F.sum(x * n) / F.sum(n)).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"))
-    gaps = numbers.join(sums, "column").groupBy("column").agg((F.sum(n * (x - F.col("mean")) * (x - F.col("mean"))) / (F.max("__n") - 1)).alias("__var"))
-    moments = sums.join(gaps, "column").withColumn("std", F.sqrt("__var")).drop("__n", "__var")
+    moments = _moments(df, [f.name for f in df.schema.fields if f.name in names and _is_number(f.dataType)])
     marks = quantiles_of_counts(numbers, ["column"], "number", "n", {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95})
     d = s.join(moments, "column", "left").join(marks, "column", "left")
     is_num = (F.col("n_values") >= distinct_limit) & F.col("mean").isNotNull()

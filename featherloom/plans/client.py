@@ -37,6 +37,10 @@ def transaction_columns(txns: DataFrame, holidays: list[str], popular: int = 500
     return equal_width_bin(d, "amount", "amount_bin")
 
 
+def _shares(c: str) -> dict[str, str]:
+    return {"unique": f"unique_{c}s", "concentration": f"top_{c}_share", "bits": f"{c}_entropy"}
+
+
 def client_features(rows: DataFrame) -> DataFrame:
     """Everything about a client: one wide aggregate, and joined blocks for the two-level statistics.
 
@@ -54,17 +58,17 @@ def client_features(rows: DataFrame) -> DataFrame:
         F.avg("hour").alias("mean_hour"), F.stddev_samp("hour").alias("std_hour"), ag.unbiased_skew("amount").alias("amount_skew"))
     latest = with_stats(base, name="__all", last=F.max("last_txn"))
     base = latest.withColumn("days_since_last_txn", dates.whole_days(F.col("__all.last"), F.col("last_txn"))).drop("__all")
-    top = [cat.top_columns(rows, CLIENT, c, 2, f"top_{n}") for c, n in (("mcc", "mcc"), ("merchant", "merchant"), ("time_of_day", "tod"))]
-    # distinct counts come from the same (client, value) counts as shares and entropies; asking for
-    # several distinct counts in one aggregate would copy every row once per column
-    profiles = {c: cat.category_profile(rows, CLIENT, c) for c in ("mcc", "merchant", "mcc_pair", "mcc_triplet")}
-    shares = [profiles[c].select("client", F.col("unique").alias(f"unique_{c}s"), F.col("concentration").alias(f"top_{c}_share")) for c in ("mcc", "merchant")]
-    shares += [profiles[c].select("client", F.col("unique").alias(f"unique_{c}s")) for c in ("mcc_pair", "mcc_triplet")]
+    # each category is counted once per client; shares, entropies, first values and prefixes all come from these counts
+    counts = {c: materialize(cat.category_counts(rows, CLIENT, c), "client_counts") for c in ("mcc", "merchant", "time_of_day")}
+    summary = {c: cat.summary_of_counts(d, CLIENT, c) for c, d in counts.items()}
+    top = [summary[c].select("client", F.col("top_1").alias(f"top_{n}_1"), F.col("top_2").alias(f"top_{n}_2"), *[F.col(x).alias(y) for x, y in more.items()])
+           for c, n, more in (("mcc", "mcc", _shares("mcc")), ("merchant", "merchant", _shares("merchant")), ("time_of_day", "tod", {}))]
+    prefixes = [counts["mcc"].select("client", slice_text(F.col("mcc"), 0, k).alias("v")).distinct().groupBy("client").agg(F.count("v").alias(n))
+                for k, n in ((2, "unique_mcc_pairs"), (3, "unique_mcc_triplets"))]
     blocks = [
         base, ag.weekly_counts(rows, CLIENT, "ts", "weekly_txn"), ag.monthly_trend(rows, CLIENT, "ts", "amount", "amount_trend"), *top,
         gap_stats(rows.select("client", "ts", "txn_id"), CLIENT, "ts", "txn_id"),
-        cat.entropy_bits(rows, CLIENT, "mcc", "mcc_entropy"), cat.entropy_bits(rows, CLIENT, "merchant", "merchant_entropy"),
-        group_quantiles(rows, CLIENT, "amount", {"amount_median": 0.5, "amount_q25": 0.25, "amount_q75": 0.75}), *shares,
+        group_quantiles(rows, CLIENT, "amount", {"amount_median": 0.5, "amount_q25": 0.25, "amount_q75": 0.75}), *prefixes,
     ]
     return reduce(lambda a, b: a.join(b, "client", "left"), blocks)
 
