@@ -72,16 +72,54 @@ def neighbour_sum(cells: DataFrame, x: str, y: str, value: str, out: str) -> Dat
     return cells.join(got, [x, y], "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
+SMALL_LOOKUP = 1024  # rows of a lookup table that may travel as literals
+
+
+def _small(table: DataFrame, order: str) -> list | None:
+    """The table's rows in order if they are at most SMALL_LOOKUP, which is checked."""
+    rows = table.limit(SMALL_LOOKUP + 1).collect()
+    return sorted(rows, key=lambda r: r[order]) if len(rows) <= SMALL_LOOKUP else None
+
+
+def _array(rows: list, table: DataFrame, name: str) -> Column:
+    kind = table.schema[name].dataType
+    return F.array(*[F.lit(r[name]).cast(kind) for r in rows])
+
+
+def _passed(x: Column, marks: list[float], inclusive: bool) -> Column:
+    """How many of the sorted marks lie below ``x`` (or at it), by binary search in a literal array."""
+    at = F.array(*[F.lit(float(m)) for m in marks])
+
+    def step(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        up = F.get(at, mid) <= x if inclusive else F.get(at, mid) < x
+        open_ = s["lo"] < s["hi"]
+        return F.struct(F.when(open_ & up, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(open_ & ~up, mid).otherwise(s["hi"]).alias("hi"))
+
+    turns = F.sequence(F.lit(1), F.lit(max(1, len(marks)).bit_length() + 1))
+    return F.aggregate(turns, F.struct(F.lit(0).alias("lo"), F.lit(len(marks)).alias("hi")), step, lambda s: s["lo"])
+
+
 def nearest_lookup(df: DataFrame, value: str, table: DataFrame, centre: str, cols: Sequence[str]) -> DataFrame:
     """Add the centre and ``cols`` of the table row whose centre lies closest (ties: smaller centre, of
     equal centres the one with the smallest ``cols``); null without a value.
 
-    Both sides are merged into one ordered line, where the closest centre is either the last one
-    before or the first one after a row, so no row is compared with every centre.
+    A table of at most SMALL_LOOKUP centres is searched row by row, without moving a row of ``df``. For a larger one both sides are
+    merged into one ordered line, where the closest centre is either the last one before or the first one after a row.
     """
     got = [centre, *cols]
     if cols:
         table = table.where(F.col(centre).isNotNull()).groupBy(centre).agg(F.min(F.struct(*cols)).alias("__c")).select(centre, *[F.col("__c")[c].alias(c) for c in cols])
+    table = table.where(F.col(centre).isNotNull()).select(*got)
+    rows = _small(table, centre)
+    if rows:
+        d = df.withColumn("__x", F.col(value).cast("double"))
+        d = d.withColumn("__i", F.when(F.col("__x").isNotNull(), _passed(F.col("__x"), [r[centre] for r in rows], True)))
+        cells = _array(rows, table, centre)
+        before, after = (F.get(cells, F.col("__i") - 1).cast("double"), F.get(cells, F.col("__i")).cast("double"))
+        pick = F.when(before.isNull() | ((after - F.col("__x")) < (F.col("__x") - before)), F.col("__i")).otherwise(F.col("__i") - 1)
+        d = d.withColumn("__i", F.when(F.col("__i").isNotNull(), pick))
+        return d.select(*df.columns, *[F.get(_array(rows, table, c), F.col("__i")).alias(c) for c in got])
     both = df.withColumns({"__side": F.lit(1), "__x": F.col(value).cast("double")}).unionByName(
         table.select(*got).withColumns({"__side": F.lit(0), "__x": F.col(centre).cast("double")}), allowMissingColumns=True)
     d = known_around(both, [], ["__x", "__side"], {c: F.col(c) for c in got}, F.col("__side") == 0)
@@ -94,8 +132,15 @@ def nearest_lookup(df: DataFrame, value: str, table: DataFrame, centre: str, col
 def range_lookup(df: DataFrame, value: str, bins: DataFrame, lo: str, hi: str, label: str) -> DataFrame:
     """Label of the right-closed bin ``(lo, hi]`` a value falls in; null outside all bins.
 
-    Bins must not overlap. The bin of a value is the first one that ends at or after it.
+    Bins must not overlap. The bin of a value is the first one that ends at or after it. At most SMALL_LOOKUP bins are searched row by
+    row, more of them in one ordered line with the rows.
     """
+    few = _small(bins.where(F.col(hi).isNotNull()).select(lo, hi, label), hi)
+    if few:
+        x = F.col(value).cast("double")
+        d = df.withColumn("__i", F.when(x.isNotNull(), _passed(x, [r[hi] for r in few], False)))
+        inside = x > F.get(_array(few, bins, lo), F.col("__i"))
+        return d.select(*df.columns, F.when(inside, F.get(_array(few, bins, label), F.col("__i"))).alias(label))
     rows = df.withColumns({"__side": F.lit(0), "__x": F.col(value).cast("double")})
     ends = bins.select(F.lit(1).alias("__side"), F.col(hi).cast("double").alias("__x"),
                        F.col(lo).alias("__lo"), F.col(label).alias("__label"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from featherloom.functions.arrays import unit
 from featherloom.functions.rows import row_entropy
 
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 1 << 17  # 64 MB of 64 doubles; every row is copied once per block of the other side, so blocks are as large as a task can hold
 
 
 def _block_search(k: int, skip: str | None) -> Callable:

@@ -84,7 +84,9 @@ def test_null_scores_are_no_hits(spark):
     assert bins == {None: 2, 2: 1, 8: 1}
 
 
-def test_null_gets_no_bin_and_no_centre(spark):
+@pytest.mark.parametrize("small", [1024, 1])
+def test_null_gets_no_bin_and_no_centre(spark, small, monkeypatch):
+    monkeypatch.setattr(joins, "SMALL_LOOKUP", small)
     d = spark.createDataFrame([(1, None), (2, 0.0), (3, 5.0), (4, 10.0)], "id int, x double")
     for closed in (True, False):
         assert {r["id"]: r["b"] for r in encode.equal_width_bin(d, "x", "b", 2, closed).collect()}[1] is None
@@ -105,3 +107,16 @@ def test_trend_is_exact(spark):
     d = spark.createDataFrame([(1, f"2024-0{m}-10", float(m * 3)) for m in range(1, 8)] + [(2, "2024-01-01", 5.0)], "k int, t string, v double")
     got = aggregates.monthly_trend(d.withColumn("t", F.to_timestamp("t")), ["k"], "t", "v", "s").collect()
     assert {r["k"]: r["s"] for r in got} == {1: 3.0, 2: 0.0}
+
+
+@pytest.mark.parametrize("small", [1024, 1])
+def test_lookups_small_and_large(spark, small, monkeypatch):
+    monkeypatch.setattr(joins, "SMALL_LOOKUP", small)
+    rows = [(i, None if i % 17 == 0 else i * 37 % 101 / 2) for i in range(300)]
+    d = spark.createDataFrame(rows, "id int, x double")
+    centres = [(float(c), c * 10) for c in (3, 9, 10, 27, 44)]
+    got = {r["id"]: (r["c"], r["m"]) for r in joins.nearest_lookup(d, "x", spark.createDataFrame(centres, "c double, m int"), "c", ["m"]).collect()}
+    assert got == {i: (None, None) if x is None else min(centres, key=lambda c: (abs(c[0] - x), c[0])) for i, x in rows}
+    bins = [(0.0, 5.0, "a"), (7.0, 20.5, "b"), (20.5, 40.0, "c")]
+    got = {r["id"]: r["l"] for r in joins.range_lookup(d, "x", spark.createDataFrame(bins, "lo double, hi double, l string"), "lo", "hi", "l").collect()}
+    assert got == {i: None if x is None else next((n for a, b, n in bins if a < x <= b), None) for i, x in rows}
