@@ -64,11 +64,19 @@ def _(t):
     return _rounded(shop.action_features(t.actions, t.products, CUT, LOOKBACK))
 
 
-@book.add("c02_recent_windows", f"{SHOP} SELECT user_id, " + ", ".join(
-    f"count(*) FILTER (WHERE action = 'click' AND {_win(CUT, d)}) AS num_products_click_last_{i}, coalesce(CAST(sum(CAST(price AS DECIMAL(18,2))) FILTER (WHERE action = 'purchase' AND {_win(CUT, d)}) AS DOUBLE), 0) AS sum_price_order_last_{i}"
-    for i, d in enumerate((5, 10, 15), 1)) + f" FROM actions JOIN products USING (product_id) WHERE {_win(CUT, 15)} GROUP BY 1")
+WINDOWS = (5, 10, 15)
+
+
+def windows_sql(cut):
+    cols = ", ".join(
+        f"count(*) FILTER (WHERE action = 'click' AND {_win(cut, d)}) AS num_products_click_last_{i}, coalesce(CAST(sum(CAST(price AS DECIMAL(18,2))) FILTER (WHERE action = 'purchase' AND {_win(cut, d)}) AS DOUBLE), 0) AS sum_price_order_last_{i}"
+        for i, d in enumerate(WINDOWS, 1))
+    return f"SELECT user_id, {cols} FROM actions JOIN products USING (product_id) WHERE {_win(cut, max(WINDOWS))} GROUP BY 1"
+
+
+@book.add("c02_recent_windows", f"{SHOP} {windows_sql(CUT)}")
 def _(t):
-    return shop.recent_windows(t.actions, t.products, CUT, [5, 10, 15])
+    return shop.recent_windows(t.actions, t.products, CUT, list(WINDOWS))
 
 
 def search_sql(cut, tag=""):
@@ -126,26 +134,38 @@ def _(t):
     return _rounded(shop.widget_block(t.actions.where(shop._before(CUT, LOOKBACK)), [0, 1, 2, 3]))
 
 
-@book.add("c07_time_patterns", f"""{SHOP}, d AS (SELECT user_id, ts, hour(ts) AS h, isodow(ts) >= 6 AS we, price FROM actions LEFT JOIN products USING (product_id) WHERE ts < TIMESTAMP '{CUT}'),
+def patterns_sql(cut):
+    return f"""WITH d AS (SELECT user_id, ts, hour(ts) AS h, isodow(ts) >= 6 AS we, price FROM actions LEFT JOIN products USING (product_id) WHERE ts < TIMESTAMP '{cut}'),
 e AS (SELECT user_id, n / sum(n) OVER (PARTITION BY user_id) AS p FROM (SELECT user_id, h, count(*) AS n FROM d GROUP BY 1, 2)), he AS (SELECT user_id, round(-sum(p * ln(p)), 6) + 0 AS hour_entropy FROM e GROUP BY 1)
 SELECT user_id, round(count(*) FILTER (WHERE h >= 6 AND h < 12) / count(*), 6) AS morning_activity_ratio, round(count(*) FILTER (WHERE h >= 12 AND h < 18) / count(*), 6) AS day_activity_ratio,
   round(count(*) FILTER (WHERE we) / count(*), 6) AS weekend_activity_ratio, round(count(*) FILTER (WHERE NOT we) / (count(*) FILTER (WHERE we) + 1e-6), 6) AS weekday_weekend_ratio,
-  round(coalesce(sum(price) FILTER (WHERE h >= 6 AND h < 12), 0) / (count(*) FILTER (WHERE h >= 6 AND h < 12) + 1e-6), 6) AS morning_avg_spend, any_value(hour_entropy) AS hour_entropy FROM d JOIN he USING (user_id) GROUP BY 1""")
+  round(coalesce(sum(price) FILTER (WHERE h >= 6 AND h < 12), 0) / (count(*) FILTER (WHERE h >= 6 AND h < 12) + 1e-6), 6) AS morning_avg_spend, any_value(hour_entropy) AS hour_entropy FROM d JOIN he USING (user_id) GROUP BY 1"""
+
+
+@book.add("c07_time_patterns", f"{SHOP} SELECT * FROM ({patterns_sql(CUT)})")
 def _(t):
     return _rounded(shop.time_patterns(t.actions, t.products, CUT))
 
 
-@book.add("c08_brand_category", f"""{SHOP}, d AS (SELECT user_id, brand, category, price FROM actions LEFT JOIN products USING (product_id) WHERE ts < TIMESTAMP '{CUT}'),
+def brands_sql(cut):
+    return f"""WITH d AS (SELECT user_id, brand, category, price FROM actions LEFT JOIN products USING (product_id) WHERE ts < TIMESTAMP '{cut}'),
 b AS (SELECT user_id, count(*) AS unique_brands, max(n) AS top FROM (SELECT user_id, brand, count(*) AS n FROM d WHERE brand IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
 c AS (SELECT user_id, count(*) AS unique_categories, max(n) AS favorite_category_count, arg_min(category, (-n, category)) AS main FROM (SELECT user_id, category, count(*) AS n FROM d WHERE category IS NOT NULL GROUP BY 1, 2) GROUP BY 1)
 SELECT user_id, any_value(unique_brands) AS unique_brands, round(any_value(top) / count(*), 6) AS favorite_brand_ratio, any_value(unique_categories) AS unique_categories, any_value(favorite_category_count) AS favorite_category_count,
-  round(avg(price) FILTER (WHERE category = main), 6) AS main_category_avg_price FROM d JOIN b USING (user_id) JOIN c USING (user_id) GROUP BY 1""")
+  round(avg(price) FILTER (WHERE category = main), 6) AS main_category_avg_price FROM d JOIN b USING (user_id) JOIN c USING (user_id) GROUP BY 1"""
+
+
+@book.add("c08_brand_category", f"{SHOP} SELECT * FROM ({brands_sql(CUT)})")
 def _(t):
     return _rounded(shop.brand_category(t.actions, t.products, CUT))
 
 
-@book.add("c09_search_text", f"""{SHOP} SELECT user_id, round(avg(len(string_split(query, ' '))), 6) AS avg_query_length, round(count(*) FILTER (WHERE regexp_matches(query, '[0-9]')) / count(*), 6) AS numeric_query_ratio,
-  count(*) FILTER (WHERE length(query) > 200) AS long_queries_count FROM searches WHERE ts < TIMESTAMP '{CUT}' GROUP BY 1""")
+def search_text_sql(cut):
+    return f"""SELECT user_id, round(avg(len(string_split(query, ' '))), 6) AS avg_query_length, round(count(*) FILTER (WHERE regexp_matches(query, '[0-9]')) / count(*), 6) AS numeric_query_ratio,
+  count(*) FILTER (WHERE length(query) > 200) AS long_queries_count FROM searches WHERE ts < TIMESTAMP '{cut}' GROUP BY 1"""
+
+
+@book.add("c09_search_text", f"{SHOP} SELECT * FROM ({search_text_sql(CUT)})")
 def _(t):
     return _rounded(shop.search_text(t.searches, CUT, long_chars=200))
 
@@ -199,6 +219,26 @@ def _(t):
     return parts[0].unionByName(parts[1])
 
 
+def _whole_sql(i, cut):
+    more = [windows_sql(cut), patterns_sql(cut), brands_sql(cut), search_text_sql(cut)]
+    joins = " ".join(f"LEFT JOIN {b}_{i} USING (user_id)" for b in ("act", "srch", "prod")) + " " + " ".join(f"LEFT JOIN ({q}) USING (user_id)" for q in more)
+    return f"SELECT '{cut}' AS cutoff, * FROM fun_{i} {joins}"
+
+
+@book.add("c12_whole_user_table", f"{SHOP}, " + ", ".join(_all(c, a, b, f"_{i}") for i, (c, a, b) in enumerate(TWO)) + " " + " UNION ALL ".join(_whole_sql(i, c) for i, (c, _, _) in enumerate(TWO)))
+def _(t):
+    parts = []
+    for cut, first, last in TWO:
+        d = shop.whole_user_table(shop.purchase_label(t.actions, first, last), t.actions, t.products, t.searches, cut, LOOKBACK, MONTH, WEEK, list(WINDOWS), long_chars=200)
+        # the recent and widget blocks have their own queries (c05, c06)
+        shown = [b.columns for b in (
+            shop.action_features(t.actions, t.products, cut, LOOKBACK), shop.search_features(t.searches, cut, LOOKBACK, MONTH, WEEK),
+            shop.product_cluster_features(t.actions, t.products, cut, LOOKBACK), *shop.more_blocks(t.actions, t.products, t.searches, cut, list(WINDOWS), 200))]
+        names = dict.fromkeys([*FUNNEL, *[c for b in shown for c in b]])
+        parts.append(_rounded(d.select(F.lit(cut).alias("cutoff"), *names)))
+    return parts[0].unionByName(parts[1])
+
+
 HOLIDAYS = ["1998-01-01", "1998-05-01", "1998-12-25"]
 ROWS = f"""WITH {TXNS}, b AS (SELECT min(amount) AS lo, max(amount) AS hi FROM txns), f AS (SELECT merchant, count(*) AS merchant_freq FROM txns GROUP BY 1),
 rws AS (SELECT t.*, merchant_freq, CASE WHEN merchant_freq > 652 THEN 1 ELSE 0 END AS is_popular, hour(ts) AS hour, CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END AS is_weekend,

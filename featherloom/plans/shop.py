@@ -226,6 +226,18 @@ def user_features(users: DataFrame, actions: DataFrame, products: DataFrame, sea
     return funnel_columns(_join(blocks))
 
 
+def more_blocks(actions: DataFrame, products: DataFrame, searches: DataFrame, cutoff: str, windows: list[int], long_chars: int = 20) -> list[DataFrame]:
+    return [recent_windows(actions, products, cutoff, windows), time_patterns(actions, products, cutoff), brand_category(actions, products, cutoff),
+            search_text(searches, cutoff, long_chars)]
+
+
+def whole_user_table(users: DataFrame, actions: DataFrame, products: DataFrame, searches: DataFrame, cutoff: str, lookback: int,
+                     month: int = 30, week: int = 7, windows: list[int] | None = None, long_chars: int = 20) -> DataFrame:
+    """:func:`user_features` with the recent windows and the time, brand and search-text blocks, which look at all events before the cut-off."""
+    known = user_features(users, actions, products, searches, cutoff, lookback, month, week)
+    return _join([known, *more_blocks(actions, products, searches, cutoff, windows or [5, 10, 15], long_chars)])
+
+
 def search_matches(actions: DataFrame, searches: DataFrame) -> DataFrame:
     """Per user: action clusters also searched for, and mean whole days from first such search to the action."""
     first = searches.groupBy("user_id", "cluster").agg(F.min("ts").alias("first_ts"))
