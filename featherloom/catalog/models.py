@@ -7,6 +7,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import SCORED, Book, rnd, uniform_sql
+from featherloom.catalog.neighbours import emb_nn
 from featherloom.operators import metrics, splits
 from featherloom.operators import models as ml
 from featherloom.session import materialize
@@ -249,3 +250,17 @@ WITH {TEXTS}, m AS (SELECT chars < 1500 AS side, regr_slope(y, words) AS b, regr
 SELECT doc_id, round(a + b * words, 6) AS score FROM texts JOIN m ON side = (chars < 1500)""")
 def _(t):
     return ml.segmented(texts(t), F.col("chars") < 1500, ["words"], "y", _line(), F.col("prediction")).select("doc_id", rnd("score").alias("score"))
+
+
+@book.add("m08_knn_out_of_fold", f"""WITH e AS (SELECT *, vec_id % 4 AS fold FROM embeddings), {emb_nn(5, "WHERE q.fold <> s.fold", src="e")}
+SELECT a AS vec_id, round(avg(label), 6) AS guess FROM nn JOIN e ON e.vec_id = b GROUP BY 1""")
+def _(t):
+    d = t.embeddings.select("vec_id", "embedding", "label", (F.col("vec_id") % 4).alias("fold"))
+    return ml.knn_out_of_fold(d, "vec_id", "embedding", "label", "fold").select("vec_id", rnd("guess").alias("guess"))
+
+
+@book.add("m11_soft_vote", f"""WITH {SCORED}, s AS (SELECT doc_id, p1, CASE WHEN x % 3 <> 0 THEN p2 END AS p2 FROM scored)
+SELECT doc_id, round((0.7::DOUBLE * p1 + coalesce(0.3::DOUBLE * p2, 0)) / (0.7::DOUBLE + CASE WHEN p2 IS NULL THEN 0 ELSE 0.3::DOUBLE END), 6) AS vote FROM s""")
+def _(t):
+    d = t.scored.select("doc_id", "p1", F.when(F.col("x") % 3 != 0, F.col("p2")).alias("p2"))
+    return ml.soft_vote(d, ["p1", "p2"], weights=[0.7, 0.3]).select("doc_id", rnd("vote").alias("vote"))

@@ -43,6 +43,19 @@ def _(t):
     return sp.sample_rows(_o(t), "o_orderkey", 0.25, 11)
 
 
+@book.add("x04_shuffled_stratified_folds", f"SELECT o_orderkey, o_orderstatus, CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY {U}, o_orderkey) - 1) % 5 AS INT) AS fold FROM orders")
+def _(t):
+    return sp.stratified_folds(_o(t), "o_orderkey", "o_orderstatus", 5, seed=11)
+
+
+@book.add("x05_bootstrap_of_size", f"""
+WITH p AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS pos, count(*) OVER () AS n FROM orders),
+d AS (SELECT i AS draw, CAST(floor({uniform_sql('i', 11)} * (SELECT count(*) FROM orders)) AS BIGINT) + 1 AS pick FROM range(0, 2000) r(i))
+SELECT draw, o_orderkey FROM d JOIN p ON pos = pick""")
+def _(t):
+    return sp.bootstrap_n(t.orders.select("o_orderkey"), "o_orderkey", 2000, 11)
+
+
 DRAWS = "CASE " + " ".join(f"WHEN {U} < {e!r}::DOUBLE THEN {n}" for n, e in enumerate(sp.poisson_edges(0.8))) + f" ELSE {len(sp.poisson_edges(0.8))} END"
 
 

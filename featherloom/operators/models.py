@@ -198,6 +198,21 @@ def stack(df: DataFrame, cols: list[str], models: dict[str, Estimator], label: s
     return fit_on(names, meta, d).transform(d).withColumn("meta", positive("__p")).select(*d.columns, "meta")
 
 
+def soft_vote(df: DataFrame, cols: list[str], out: str = "vote", weights: list[float] | None = None) -> DataFrame:
+    """Weighted mean of the models' probabilities; a model without a score for a row has no say in it."""
+    w = weights or [1.0] * len(cols)
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(c) * x, F.lit(0.0)) for c, x in zip(cols, w)])
+    said = reduce(lambda a, b: a + b, [F.when(F.col(c).isNotNull(), x).otherwise(0.0) for c, x in zip(cols, w)])
+    return df.withColumn(out, ratio(total, said))
+
+
+def knn_out_of_fold(df: DataFrame, key: str, vector: str, label: str, fold: str, k: int = 5, out: str = "guess") -> DataFrame:
+    """Mean label of the k nearest rows of other folds."""
+    near = knn.nearest(df, df, key, vector, k, exclude=fold)
+    mean = knn.with_neighbour_values(near, df, key, [label]).groupBy(key).agg(F.avg(f"n_{label}").alias(out))
+    return df.join(mean, key, "left")
+
+
 def calibrate(df: DataFrame, score: str, label: str, out: str = "calibrated") -> DataFrame:
     """Isotonic mapping of a score to a probability."""
     model = IsotonicRegression(featuresCol=score, labelCol=label, predictionCol=out).fit(df)

@@ -39,10 +39,11 @@ def random_folds(df: DataFrame, key: str, k: int, seed: int, fold: str = "fold")
     return df.withColumn(fold, F.floor(hash_uniform([key], seed) * k).cast("int"))
 
 
-def stratified_folds(df: DataFrame, key: str, label: str, k: int, fold: str = "fold") -> DataFrame:
-    """Rows of each label dealt out to the folds in key order."""
-    d = positions(df, [label], [key], "__pos")
-    return d.withColumn(fold, ((F.col("__pos") - 1) % k).cast("int")).drop("__pos")
+def stratified_folds(df: DataFrame, key: str, label: str, k: int, fold: str = "fold", seed: int | None = None) -> DataFrame:
+    """Rows of each label dealt out to the folds in key order, or in random order with a ``seed``."""
+    d = df if seed is None else df.withColumn("__u", hash_uniform([key], seed))
+    d = positions(d, [label], [key] if seed is None else ["__u", key], "__pos")
+    return d.withColumn(fold, ((F.col("__pos") - 1) % k).cast("int")).drop("__pos", "__u")
 
 
 def time_folds(df: DataFrame, ts: str, key: str, k: int, fold: str = "fold") -> DataFrame:
@@ -86,6 +87,14 @@ def sample_rows(df: DataFrame, key: str, share: float, seed: int, replacement: b
     return df.withColumn("__n", drawn).where("__n > 0").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n", "__i")
 
 
+def bootstrap_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """Exactly ``n`` draws with replacement, as rows with ``draw`` 0 to n - 1: each draw's random number picks a row number."""
+    numbered = with_stats(positions(df, [], [key], "__pos"), df, "__s", n=F.count("*"))
+    draws = df.sparkSession.range(n).withColumnRenamed("id", "draw").withColumn("__u", hash_uniform(["draw"], seed))
+    draws = with_stats(draws, df, "__d", n=F.count("*")).select("draw", (F.floor(F.col("__u") * F.col("__d.n")) + 1).alias("__pick"))
+    return draws.join(numbered, F.col("__pick") == F.col("__pos")).select("draw", *df.columns)
+
+
 def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.withColumn("__u", hash_uniform([key], seed)).orderBy("__u", key).limit(n).drop("__u")
 
