@@ -114,7 +114,24 @@ def license_notices(t: Tables):
     return licenses.scan(t.documents.select("doc_id", "text")).withColumn("differences", F.array_join("differences", "; "))
 
 
-@book.add("op4_suffix_dedup")
+# every window of 50 bytes beside the smallest document it starts in
+REPEATS = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, array_slice(b, i + 1, i + 50) AS s FROM (SELECT doc_id, b, unnest(range(0, n - 49)) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS first_doc FROM w GROUP BY 1 HAVING min(doc_id) < max(doc_id)),
+bad AS (SELECT doc_id, i FROM w JOIN f USING (s) WHERE doc_id > first_doc),
+r AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM bad),
+g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM r),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM g GROUP BY doc_id, run),
+e AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM runs),
+k AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(z - a) AS BIGINT) AS n_removed, max(z) AS tail,
+  string_agg(CASE WHEN a > since THEN hex(array_slice(b, since + 1, a)) ELSE '' END, '' ORDER BY a) AS head FROM e JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  CASE WHEN tail IS NULL THEN sha256(b) ELSE sha256(unhex(head || CASE WHEN n > tail THEN hex(array_slice(b, tail + 1, n)) ELSE '' END)) END AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)"""
+
+
+@book.add("op4_suffix_dedup", REPEATS)
 def repeated_strings(t: Tables):
     rows = suffix_dedup.remove_repeats(t.documents.select("doc_id", "text"))
     return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
