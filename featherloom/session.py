@@ -48,9 +48,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder for one written table."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this process wrote under :func:`scratch_path`. Call it when every result that reads it has been consumed."""
+    conf = spark._jsc.hadoopConfiguration()
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

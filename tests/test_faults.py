@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from featherloom.catalog.hooks import _finish, _merge, _start
 from featherloom.operators import aggregates, encode, joins, metrics, splits
+from featherloom import session
 from featherloom.session import scratch_path
 from featherloom.streaming import jobs
 
@@ -120,3 +121,13 @@ def test_lookups_small_and_large(spark, small, monkeypatch):
     bins = [(0.0, 5.0, "a"), (7.0, 20.5, "b"), (20.5, 40.0, "c")]
     got = {r["id"]: r["l"] for r in joins.range_lookup(d, "x", spark.createDataFrame(bins, "lo double, hi double, l string"), "lo", "hi", "l").collect()}
     assert got == {i: None if x is None else next((n for a, b, n in bins if a < x <= b), None) for i, x in rows}
+
+
+def test_scratch_is_cleared(spark, monkeypatch):
+    monkeypatch.setattr(session, "_written", [])
+    path = session.scratch_path(spark, "left")
+    spark.range(3).write.parquet(path)
+    session.clear_scratch(spark)
+    assert not session._written
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
