@@ -70,37 +70,52 @@ def fit_arrays(rows: list[np.ndarray], labels: np.ndarray, strength: float = 1e-
                least: int = 3) -> Model:
     """Logistic regression by accelerated gradient steps on distinct-bucket rows scaled by log-count ratios, each row of unit length.
 
-    Both labels weigh the same in all; buckets of fewer than ``least`` rows are left out. Without rows of both labels the model is the constant share of label 1, smoothed.
+    ``rows`` is used up, so that
+    few copies live at once. Both labels weigh the same in all; buckets of fewer than ``least`` rows are left out. Without rows of both labels the model is the constant share of label 1, smoothed.
     """
     size, y = 1 << BITS, labels.astype(np.float64)
     share = (y.sum() + 1) / (len(y) + 2)
     prior = float(np.log(share / (1 - share)))
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(size, np.float32), np.zeros(size, np.float32), prior)
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    flat = np.concatenate(rows)
-    hits, bad = np.bincount(flat, minlength=size), np.bincount(flat, y[owner], size)
+    hits, bad = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    for r, one in zip(rows, y):  # a row's buckets are distinct
+        hits[r] += 1
+        if one:
+            bad[r] += 1
     ratio = np.log((smoothing + bad) / (smoothing + y.sum())) - np.log((smoothing + hits - bad) / (smoothing + len(y) - y.sum()))
     ratio[hits < least] = 0
-    used = ratio[flat] != 0
-    flat, owner = flat[used], owner[used]
-    value = ratio[flat]
-    if not len(flat):
+    parts = []  # (buckets, values, where each row begins, the rows), a bounded number of entries each
+    held: list[tuple[int, np.ndarray]] = []
+    for i in range(len(y)):
+        r, rows[i] = rows[i][ratio[rows[i]] != 0], None
+        if len(r):
+            held.append((i, r))
+        if held and (i == len(y) - 1 or sum(len(x) for _, x in held) >= CHUNK):
+            flat, lens = np.concatenate([x for _, x in held]), np.array([len(x) for _, x in held])
+            starts = np.cumsum(lens) - lens
+            value = ratio[flat].astype(np.float32)
+            value /= np.repeat(np.sqrt(np.add.reduceat(value * value, starts)), lens)
+            parts.append((flat, value, starts, np.array([k for k, _ in held]), lens))
+            held = []
+    if not parts:
         return Model(np.zeros(size, np.float32), np.zeros(size, np.float32), prior)
-    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    norm = np.sqrt(np.bincount(owner, value * value, len(rows)))
-    value = (value / norm[owner]).astype(np.float32)
     balance = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y).mean()) / len(y)
-    heads = owner[starts]
 
     def scores(w: np.ndarray, b: float) -> np.ndarray:
-        return np.bincount(heads, np.add.reduceat(w[flat] * value, starts), len(rows)) + b
+        z = np.full(len(y), b)
+        for flat, value, starts, at, _ in parts:
+            z[at] += np.add.reduceat(w[flat] * value, starts)
+        return z
 
     def back(g: np.ndarray) -> tuple[np.ndarray, float]:
-        return np.bincount(flat, g.astype(np.float32)[owner] * value, size).astype(np.float32), float(g.sum())
+        total = np.zeros(size)
+        for flat, value, _, at, lens in parts:
+            total += np.bincount(flat, np.repeat(g[at].astype(np.float32), lens) * value, size)
+        return total.astype(np.float32), float(g.sum())
 
     # the loss curves by at most a quarter of the balanced rows' largest eigenvalue, found by power iteration
-    w, b = np.bincount(flat, minlength=size).astype(np.float32), 1.0
+    w, b = hits.astype(np.float32), 1.0
     for _ in range(8):
         length = float(np.sqrt((w * w).sum(dtype=np.float64) + b * b))
         w, b = back(balance * scores(w / np.float32(length), b / length) / 4)
@@ -141,9 +156,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
             yield pa.record_batch({"doc_id": b.column("doc_id"), "y": b.column("y"), "x": pa.array(made, pa.binary())})
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [r for b in batches for r in zip(b.column("doc_id").to_pylist(), b.column("y").to_pylist(), b.column("x").to_pylist())]
+        got = [(i, y, np.frombuffer(x, np.int32)) for b in batches for i, y, x in zip(*(b.column(c).to_pylist() for c in ("doc_id", "y", "x")))]
         got.sort(key=lambda r: r[0])
-        m = fit_arrays([np.frombuffer(r[2], np.int32) for r in got], np.array([r[1] for r in got]), **options)
+        rows, labels_ = [r[2] for r in got], np.array([r[1] for r in got])
+        del got
+        m = fit_arrays(rows, labels_, **options)
         yield pa.record_batch({"weight": pa.array([m.weight.tobytes()], pa.binary()), "square": pa.array([m.square.tobytes()], pa.binary()),
                                "bias": pa.array([m.bias])})
 
