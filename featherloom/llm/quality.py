@@ -143,13 +143,13 @@ def fit_mcd(rows: DataFrame, names: list[str], support: float = 0.75, steps: int
 FLOORS = [1.0, 0.15, 0.35, 0.6, 0.6]
 
 
-def judge(docs: DataFrame, text: str = "text", least_rows: int = 200, cutoff: float = 80.0, support: float = 0.75) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", least_rows: int = 200, cutoff: float = 49.0, support: float = 0.75) -> DataFrame:
     """``docs`` without ``text`` plus the statistics, base_failed, d2 (null without an estimate) and kept.
 
     Rows that pass the base rules enter the estimate of their (lang, source) group; groups of fewer than ``least_rows`` such rows are
     estimated together, per language and then as a whole, and a rest of fewer than ``least_rows`` is not judged. Kept: base rules passed
-    and squared distance at most ``cutoff`` (the default is far beyond the 0.999999 quantile, 38, of a normal cloud in five dimensions, as
-    clean text has heavier tails). Null languages and sources are groups of their own.
+    and squared distance at most ``cutoff`` (seven robust standard deviations; the 0.999999 quantile of a normal cloud in five
+    dimensions is 38, and clean text has heavier tails). Null languages and sources are groups of their own.
     """
     held = materialize(text_stats(docs.drop("base_failed", "kept", "d2"), text).withColumn("base_failed", base_failed()), "stats")
     named = held.withColumns(statistics()).withColumns({
