@@ -85,7 +85,7 @@ def fit_arrays(rows: list[np.ndarray], labels: np.ndarray, strength: float = 1e-
             bad[r] += 1
     ratio = np.log((smoothing + bad) / (smoothing + y.sum())) - np.log((smoothing + hits - bad) / (smoothing + len(y) - y.sum()))
     ratio[hits < least] = 0
-    parts = []  # (buckets, values, where each row begins, the rows), a bounded number of entries each
+    parts = []  # (buckets, where each row begins, the rows, their lengths in entries and as vectors), a bounded number of entries each
     held: list[tuple[int, np.ndarray]] = []
     for i in range(len(y)):
         r, rows[i] = rows[i][ratio[rows[i]] != 0], None
@@ -94,25 +94,24 @@ def fit_arrays(rows: list[np.ndarray], labels: np.ndarray, strength: float = 1e-
         if held and (i == len(y) - 1 or sum(len(x) for _, x in held) >= CHUNK):
             flat, lens = np.concatenate([x for _, x in held]), np.array([len(x) for _, x in held])
             starts = np.cumsum(lens) - lens
-            value = ratio[flat].astype(np.float32)
-            value /= np.repeat(np.sqrt(np.add.reduceat(value * value, starts)), lens)
-            parts.append((flat, value, starts, np.array([k for k, _ in held]), lens))
+            norm = np.sqrt(np.add.reduceat((ratio * ratio)[flat], starts))
+            parts.append((flat, starts, np.array([k for k, _ in held]), lens, norm))
             held = []
     if not parts:
         return Model(np.zeros(size, np.float32), np.zeros(size, np.float32), prior)
     balance = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y).mean()) / len(y)
 
     def scores(w: np.ndarray, b: float) -> np.ndarray:
-        z = np.full(len(y), b)
-        for flat, value, starts, at, _ in parts:
-            z[at] += np.add.reduceat(w[flat] * value, starts)
+        z, scaled = np.full(len(y), b), w * ratio
+        for flat, starts, at, _, norm in parts:
+            z[at] += np.add.reduceat(scaled[flat], starts) / norm
         return z
 
     def back(g: np.ndarray) -> tuple[np.ndarray, float]:
         total = np.zeros(size)
-        for flat, value, _, at, lens in parts:
-            total += np.bincount(flat, np.repeat(g[at].astype(np.float32), lens) * value, size)
-        return total.astype(np.float32), float(g.sum())
+        for flat, _, at, lens, norm in parts:
+            total += np.bincount(flat, np.repeat(g[at] / norm, lens), size)
+        return (total * ratio).astype(np.float32), float(g.sum())
 
     # the loss curves by at most a quarter of the balanced rows' largest eigenvalue, found by power iteration
     w, b = hits.astype(np.float32), 1.0
