@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherloom.llm import decontaminate, mixing, sharding, simhash, toxicity
+from featherloom.llm import decontaminate, mixing, near_copies, sharding, toxicity
 from featherloom.llm.common import word_count
 from featherloom.session import apply_settings, materialize
 
@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.deduplicated(docs)
+    return near_copies.deduplicated(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,151 @@
+"""Near copies by exact Jaccard similarity of word shingles, on candidates from MinHash buckets, together with the SimHash links."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from featherloom.llm import simhash
+from featherloom.llm.components import star_roots
+from featherloom.session import materialize
+
+SHINGLE, LEAST = 5, (4, 5)  # words, and the least similarity as a fraction
+BANDS, ROWS = 40, 5  # a pair of similarity 0.8 shares no bucket with probability (1 - 0.8^5)^40, about 10^-7
+_STEP, _SLICE = 1 << 10, 256
+_DRAW = np.random.default_rng(7)
+_FACTOR = _DRAW.integers(0, 1 << 32, (BANDS * ROWS, 1), np.uint32) | np.uint32(1)
+_SHIFT = _DRAW.integers(0, 1 << 32, (BANDS * ROWS, 1), np.uint32)
+_MIX = _DRAW.integers(0, 1 << 63, (1, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: bytes) -> np.ndarray:
+    """Sorted distinct XXH64 of the text's runs of SHINGLE lower-case words; a shorter text is one run, a wordless one has none."""
+    words = text.lower().split()
+    n = len(words)
+    if not n:
+        return np.empty(0, np.uint64)
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    if n <= SHINGLE:
+        return np.array([digest(joined)], np.uint64)
+    starts = np.zeros(n + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1, out=starts[1:])
+    ends = starts[SHINGLE:] - 1
+    return np.unique(np.fromiter((digest(joined[a:b]) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(ends)))
+
+
+def buckets(found: np.ndarray) -> np.ndarray:
+    """One key per band from the least values of ROWS hash functions; a text without shingles has no keys."""
+    if not len(found):
+        return np.empty(0, np.int64)
+    h, low = (found >> np.uint64(32)).astype(np.uint32), np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(h), _STEP):
+        np.minimum(low, (h[None, i:i + _STEP] * _FACTOR + _SHIFT).min(axis=1), out=low)
+    return (low.astype(np.uint64).reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def _sketches(rows: DataFrame) -> DataFrame:
+    """rid, fp, two words that stand for the set of shingles, and the bucket keys, for rows (rid, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _SLICE):
+                b = whole.slice(at, _SLICE)
+                texts = [(t or "").encode() for t in b.column("text").to_pylist()]
+                sets = [shingles(t) for t in texts]
+                name = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) for s in sets])
+                yield pa.record_batch({
+                    "rid": b.column("rid"), "fp": pa.array(np.array([simhash.fingerprint(t) for t in texts], np.uint64).view(np.int64)),
+                    "d1": pa.array(name[:, 0].copy()), "d2": pa.array(name[:, 1].copy()), "keys": pa.array([buckets(s) for s in sets], pa.list_(pa.int64()))})
+
+    return rows.mapInArrow(run, "rid long, fp long, d1 long, d2 long, keys array<long>")
+
+
+def _sets(rows: DataFrame) -> DataFrame:
+    """node and its set of shingles, for rows (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _SLICE):
+                b = whole.slice(at, _SLICE)
+                found = [shingles((t or "").encode()).view(np.int64) for t in b.column("text").to_pylist()]
+                yield pa.record_batch({"node": b.column("node"), "found": pa.array(found, pa.list_(pa.int64()))})
+
+    return rows.mapInArrow(run, "node long, found array<long>")
+
+
+def _judged(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) plus ``near``: whether the sets' exact Jaccard similarity is LEAST or more."""
+    one, other = (sets.select(F.col("node").alias(c), F.col("found").alias(f"f{c}")) for c in "ab")
+    both = F.size(F.array_intersect("fa", "fb"))
+    near = both * LEAST[1] >= (F.size("fa") + F.size("fb") - both) * LEAST[0]
+    return pairs.join(one, "a").join(other, "b").select("a", "b", near.alias("near"))
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _similar(shared: DataFrame, sets: DataFrame, links: DataFrame, rounds: int) -> DataFrame:
+    """(node, root) of the components of ``links`` and of all pairs in a bucket of ``shared`` (s, key, node) that are similar enough.
+
+    A pair whose ends already hang together need not be compared. So ``rounds`` times every node is first compared with one member, drawn
+    anew, of each of its buckets, which is linear in the rows and joins up large groups; then all pairs between different components are.
+    """
+    roots = materialize(star_roots(links), "roots")
+    refuted = None
+    for turn in range(rounds + 1):
+        of = shared.join(roots.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left").select(
+            "s", "key", "node", F.coalesce("root", "node").alias("root"))
+        drawn = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("m")
+        mixed = of.groupBy("s", "key").agg(drawn, F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        if turn < rounds:
+            met = of.join(mixed, ["s", "key"]).select("node", "root", F.col("m.node").alias("other"), F.col("m.root").alias("other_root"))
+        else:
+            left = of.join(mixed.select("s", "key"), ["s", "key"])
+            met = left.join(left.select("s", "key", F.col("node").alias("other"), F.col("root").alias("other_root")), ["s", "key"]).where("node < other")
+        pairs = met.where("root <> other_root").select(*_pair("node", "other")).distinct()
+        if refuted is not None:
+            pairs = pairs.join(refuted, ["a", "b"], "left_anti")
+        judged = materialize(_judged(pairs, sets), "judged")
+        no = judged.where("not near").select("a", "b")
+        refuted = no if refuted is None else refuted.unionByName(no)
+        tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = star_roots(tree.unionByName(judged.where("near").select("a", "b")))
+    return roots
+
+
+def deduplicated(docs: DataFrame, rounds: int = 2) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest doc_id (null last, then any one of equal ids).
+
+    Groups are chains of texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more, or whose fingerprints are as near
+    as ``simhash`` asks. Equal sets are one node, so copies cost no pairs.
+    """
+    held = materialize(docs.withColumn("__rid", F.monotonically_increasing_id()), "to-deduplicate")
+    rows = materialize(_sketches(held.select(F.col("__rid").alias("rid"), "text")), "sketches")
+    nodes = rows.groupBy("d1", "d2").agg(F.min("rid").alias("node"))
+    named = materialize(rows.select("rid", "fp", "d1", "d2").join(nodes, ["d1", "d2"]).select("rid", "fp", "node"), "named")
+
+    by_fp = named.select("fp", "node").distinct()
+    prints = materialize(by_fp.groupBy("fp").agg(F.min("node").alias("first")), "prints")
+    equal = by_fp.join(prints, "fp").where("node <> first").select(*_pair("node", "first"))
+    first = [prints.select(F.col("fp").alias(c), F.col("first").alias(f"n{c}")) for c in "ab"]
+    close = simhash.links(prints.select("fp")).join(first[0], "a").join(first[1], "b").select(*_pair("na", "nb"))
+    links = materialize(equal.unionByName(close).distinct(), "links")
+
+    own = rows.join(named.where("rid = node").select("node"), F.col("rid") == F.col("node"), "left_semi")
+    dealt = own.select(F.col("rid").alias("node"), F.posexplode("keys").alias("s", "key"))
+    several = dealt.groupBy("s", "key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("s", "key")
+    shared = materialize(dealt.join(several, ["s", "key"]), "shared")
+    texts = held.select(F.col("__rid").alias("node"), "text").join(shared.select("node").distinct(), "node", "left_semi")
+    roots = _similar(shared, materialize(_sets(texts), "sets"), links, rounds)
+
+    group = named.join(roots.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left").select(
+        F.col("rid").alias("__rid"), F.coalesce("root", "node").alias("root"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("__rid").alias("rid"))
+    stay = held.select("__rid", "doc_id").join(group, "__rid").groupBy("root").agg(F.min(key).alias("k")).select(F.col("k.rid").alias("__stay"))
+    return held.join(stay, F.col("__rid") == F.col("__stay"), "left_semi").select(*docs.columns)

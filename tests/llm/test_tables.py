@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from featherloom.catalog.base import Tables
-from featherloom.llm import decontaminate, mixing, sharding, simhash
+from featherloom.llm import decontaminate, mixing, near_copies, sharding, simhash
 from featherloom.llm.common import number_rows, prefix_sums, word_count
 from featherloom.llm.components import star_roots
 from featherloom.llm.queries import book
@@ -140,3 +140,35 @@ def test_pipeline_stages(spark, folder):
     assert {r["doc_id"] for r in kept["decontamination"].collect()} == clean
     sharded = kept["sharding"].groupBy("shard").count().collect()
     assert kept["sharding"].count() == kept["mixing"].count() and max(r["count"] for r in sharded) - min(r["count"] for r in sharded) <= 1
+
+
+def runs(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_near_copies_go(spark, rounds):
+    """The near-duplicate stage against Jaccard of all pairs; copies with scattered edits differ in more bits than op2 links."""
+    texts = []
+    for g in range(40):
+        words = [f"t{g}x{i}" for i in range(60 + 5 * g)]
+        for c in range(5):  # edits that lie apart
+            edits = {(13 * c + 31 * j) % len(words) for j in range(c)}
+            texts.append(" ".join(f"e{c}" if i in edits else w for i, w in enumerate(words)))
+    texts += [None, "", "  ", "one two", "ONE two", "one three"]
+    df = spark.createDataFrame([(len(texts) - i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"] for r in near_copies.deduplicated(df, rounds).collect()}
+
+    sets, fps = [runs(t) for t in texts], [simhash.fingerprint((t or "").encode()) for t in texts]
+    label, far = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            same = len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4
+            bits = (fps[i] ^ fps[j]).bit_count()
+            far += same and bits > simhash.DISTANCE
+            if same or bits <= simhash.DISTANCE:
+                label = [label[j] if x == label[i] else x for x in label]
+    last = {c: i for i, c in enumerate(label)}
+    assert far > 10 and got == {len(texts) - i for i in last.values()}
+    assert simhash.deduplicated(df).count() > len(got)
