@@ -182,6 +182,21 @@ def _(t):
     return knn.cell_nearest(t.embeddings, "vec_id", "embedding", 5, cells=8, probes=3)
 
 
+def recall_of(t, approx):
+    exact = knn.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 5, exclude="vec_id")
+    return knn.recall_at(exact, approx, "vec_id", 5)
+
+
+@book.add("k15_lsh_recall")
+def _(t):
+    return recall_of(t, book.queries["k15_lsh_nearest"](t))
+
+
+@book.add("k16_cell_recall")
+def _(t):
+    return recall_of(t, book.queries["k16_cell_nearest"](t))
+
+
 # with enough tables of half spaces, or with every cell probed, the approximate searches must equal the exact one
 EXACT5 = f"WITH {emb_nn(5, NOT_SELF)} SELECT a AS vec_id, b AS neighbour, CAST(rk AS INT) AS rank, round(distance, 6) AS distance FROM nn"
 

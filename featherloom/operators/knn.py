@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from featherloom.functions.arrays import unit
 from featherloom.functions.rows import row_entropy
+from featherloom.session import materialize
 
 BLOCK_ROWS = 1 << 17  # 64 MB of 64 doubles; every row is copied once per block of the other side, so blocks are as large as a task can hold
 
@@ -199,9 +200,20 @@ def normalized(df: DataFrame, vector: str) -> DataFrame:
 
 # approximate search ------------------------------------------------------------------------
 
+SAMPLE, MARGIN = 512, 0.02  # queries whose recall is measured, and what it must have above the one asked for
+
+
+def _completed(found: DataFrame, rows: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+    """``found`` with the lists of rows that met fewer than ``k`` neighbours replaced by those of an exact search."""
+    found = materialize(found, "neighbours")
+    full = found.where(F.col("rank") == k).select(key)
+    short = materialize(rows.select(key, vector).join(full, key, "left_anti"), "short")
+    exact = nearest(short, rows, key, vector, k, exclude=key)
+    return found.join(full, key, "left_semi").unionByName(exact)
+
 
 def lsh_nearest(df: DataFrame, key: str, vector: str, k: int, *, bucket_length: float, tables: int = 4, seed: int = 1) -> DataFrame:
-    """Neighbours among rows that share a random-projection bucket in at least one table."""
+    """Neighbours among rows that share a random-projection bucket in at least one table; rows with fewer than ``k`` are searched exactly."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
@@ -209,11 +221,29 @@ def lsh_nearest(df: DataFrame, key: str, vector: str, k: int, *, bucket_length:
     model = BucketedRandomProjectionLSH(inputCol="__v", outputCol="__h", bucketLength=bucket_length, numHashTables=tables, seed=seed).fit(rows)
     hashed = model.transform(rows).select(key, vector, F.posexplode("__h").alias("__t", "__b"))
     cells = hashed.withColumn("__cell", F.xxhash64("__t", vector_to_array("__b")))
-    return nearest(cells, cells, key, vector, k, exclude=key, cell="__cell")
+    return _completed(nearest(cells, cells, key, vector, k, exclude=key, cell="__cell"), df, key, vector, k)
+
 
+def _probes_for(recall: float, ranked: DataFrame, base: DataFrame, key: str, vector: str, k: int, least: int, cells: int, seed: int) -> int:
+    """How many of the cells in ``near`` a query must probe so that SAMPLE queries find the share ``recall`` of their true neighbours."""
+    some = materialize(ranked.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(SAMPLE), "sample")
+    exact = nearest(some, base, key, vector, k, exclude=key).select(key, "neighbour")
+    place = F.array_position(F.transform("near", lambda s: s["c"]), F.col("__cell"))
+    hits = exact.join(base.select(F.col(key).alias("neighbour"), "__cell"), "neighbour").join(some.select(key, "near"), key)
+    counts = {r["p"]: r["n"] for r in hits.groupBy(place.alias("p")).agg(F.count("*").alias("n")).collect()}  # one row per cell at most
+    need, got = min(1.0, recall + MARGIN) * sum(counts.values()), 0
+    for p in range(1, cells + 1):
+        got += counts.get(p, 0)
+        if p >= least and got >= need:
+            return p
+    return cells
 
-def cell_nearest(df: DataFrame, key: str, vector: str, k: int, *, cells: int, probes: int, seed: int = 1) -> DataFrame:
-    """Neighbours from the ``probes`` k-means cells closest to each row."""
+
+def cell_nearest(df: DataFrame, key: str, vector: str, k: int, *, cells: int, probes: int, seed: int = 1, recall: float = 0.9) -> DataFrame:
+    """Neighbours from the k-means cells closest to each row: ``probes`` cells, or as many more as ``recall`` takes.
+
+    The recall is measured by an exact search for a sample of rows. Rows with fewer than ``k`` neighbours in their cells are searched exactly.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -226,6 +256,7 @@ def cell_nearest(df: DataFrame, key: str, vector: str, k: int, *, cells: int, pr
         F.struct(F.aggregate(F.zip_with(vector, F.array(*[F.lit(x) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x).alias("d"),
                  F.lit(i).alias("c")) for i, c in enumerate(centres)
     ]
-    near = F.slice(F.array_sort(F.array(*gaps)), 1, probes)
-    queries = rows.select(key, vector, F.explode(F.transform(near, lambda s: s["c"])).alias("__cell"))
-    return nearest(queries, base, key, vector, k, exclude=key, cell="__cell")
+    ranked = rows.select(key, vector, F.array_sort(F.array(*gaps)).alias("near"))
+    probes = _probes_for(recall, ranked, base, key, vector, k, min(probes, len(centres)), len(centres), seed)
+    queries = ranked.select(key, vector, F.explode(F.transform(F.slice("near", 1, probes), lambda s: s["c"])).alias("__cell"))
+    return _completed(nearest(queries, base, key, vector, k, exclude=key, cell="__cell"), rows, key, vector, k)

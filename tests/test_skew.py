@@ -1,5 +1,7 @@
 """Hot keys, ties, nulls and changed partitioning against plain window functions."""
 
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -159,6 +161,17 @@ def test_cell_search_with_all_probes_is_exact(spark):
     assert 0.5 < some <= 1.0
 
 
+def test_approximate_search_reaches_its_recall(spark):
+    """Vectors without clusters, where few cells lose many neighbours, and rows that are alone in their buckets."""
+    rng = random.Random(9)
+    d = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(24)]) for i in range(1200)], "id long, vec array<double>")
+    exact = knn.nearest(d, d, "id", "vec", 5, exclude="id").cache()
+    found = knn.cell_nearest(d, "id", "vec", 5, cells=8, probes=1)
+    assert knn.recall_at(exact, found, "id", 5).agg(F.avg("recall")).first()[0] >= 0.9
+    lonely = knn.lsh_nearest(d, "id", "vec", 5, bucket_length=1e-6, tables=1)
+    assert knn.recall_at(exact, lonely, "id", 5).agg(F.min("recall")).first()[0] == 1.0
+
+
 def test_random_choices_do_not_depend_on_partitions(skewed):
     for fn in (lambda d: splits.sample_rows(d, "id", 0.3, 5), lambda d: splits.sample_n(d, "id", 50, 5),
                lambda d: splits.exact_split(d, "id", 0.3, 5).where("is_train = 1"), lambda d: splits.capped_per_class(d, "id", "k", {0: 5, 1: 2}, 5)):
