@@ -150,6 +150,22 @@ def _(t):
     return d.select("vec_id", *[rnd(c).alias(c) for c in d.columns[1:]])
 
 
+ABS = "probs AS (SELECT vec_id, list_transform(embedding, lambda x: abs(x::DOUBLE)) AS embedding FROM embeddings)"
+
+
+@book.add("k12_probability_stats_all", f"""WITH {ABS}, {emb_nn(5, NOT_SELF, src='probs')}, h AS (SELECT vec_id, embedding, list_sum(embedding) AS total FROM probs),
+u AS (SELECT vec_id, embedding, -list_sum(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN x / total * ln(x / total) ELSE 0 END)) AS e FROM h),
+l AS (SELECT a, unnest(embedding) AS p, e FROM nn JOIN u ON vec_id = b)
+SELECT a AS vec_id, round(avg(p), 6) AS p_mean, round(stddev_pop(p), 6) AS p_std, round(min(p), 6) AS p_min, round(max(p), 6) AS p_max, round(median(p), 6) AS p_median, round(avg(e), 6) AS p_entropy FROM l GROUP BY 1""")
+def _(t):
+    dims = t.embeddings.agg(F.max(F.size("embedding")).alias("n")).first()["n"] or 1
+    names = [f"m{i + 1}" for i in range(dims)]
+    p = t.embeddings.select("vec_id", F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("embedding"))
+    p = p.select("vec_id", "embedding", *[F.get("embedding", F.lit(i)).alias(m) for i, m in enumerate(names)])
+    d = knn.probability_stats(knn.nearest(p, p, "vec_id", "embedding", 5, exclude="vec_id"), p, "vec_id", names)
+    return d.select("vec_id", *[rnd(c).alias(c) for c in d.columns[1:]])
+
+
 @book.add("k13_sentinel_aware", f"WITH {emb_nn(6, NOT_SELF)}, s AS (SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN -1 ELSE label END AS x FROM embeddings), " + """
 c AS (SELECT a, x, count(*) AS n FROM nn JOIN s ON vec_id = b WHERE x <> -1 GROUP BY 1, 2), m AS (SELECT a, arg_min(x, (-n, x)) AS x_mode FROM c GROUP BY 1)
 SELECT nn.a AS vec_id, coalesce(round(avg(nullif(x, -1)), 6), -1) AS x_mean, max(nullif(x, -1)) AS x_max, min(nullif(x, -1)) AS x_min, round(stddev_samp(nullif(x, -1)), 6) AS x_std,

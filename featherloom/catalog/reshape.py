@@ -66,6 +66,16 @@ def _(t):
     return rs.fill_periods(d, "m", "1 month").select(F.date_format("m", "yyyy-MM").alias("month"), rnd("mean").alias("mean"))
 
 
+# every order counts; months without orders are gaps only where the table has some
+@book.add("r08_resample_monthly_all", """
+WITH m AS (SELECT date_trunc('month', o_orderdate) AS m, avg(o_totalprice) AS mean FROM orders GROUP BY 1),
+b AS (SELECT min(m) lo, max(m) hi FROM m)
+SELECT strftime(g.m, '%Y-%m') AS month, round(mean, 6) AS mean FROM (SELECT unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 MONTH)) AS m FROM b) g LEFT JOIN m ON m.m = g.m""")
+def _(t):
+    d = t.orders.groupBy(F.date_trunc("month", "o_orderdate").alias("m")).agg(F.avg("o_totalprice").alias("mean"))
+    return rs.fill_periods(d, "m", "1 month").select(F.date_format("m", "yyyy-MM").alias("month"), rnd("mean").alias("mean"))
+
+
 @book.add("r09_resample_four_months", "SELECT year(o_orderdate) AS year, (month(o_orderdate) - 1) // 4 AS third, max(o_totalprice) AS top FROM orders GROUP BY 1, 2")
 def _(t):
     return t.orders.groupBy(F.year("o_orderdate").alias("year"), rs.third_of_year(F.col("o_orderdate")).alias("third")).agg(F.max("o_totalprice").alias("top"))

@@ -74,6 +74,18 @@ def _(t):
         rnd(F.avg("reward")).alias("mean_reward"), F.max(F.size("features")).alias("dims"))
 
 
+@book.add("s07_vector_log_all", """
+SELECT label AS arm, CAST(i - 1 AS INT) AS pos, count(*) AS n, round(avg(embedding[i]::DOUBLE), 6) AS mean
+FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY 1, 2""")
+def _(t):
+    path = scratch_path(t.spark, "vector_log")
+    vec = F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), "  ")
+    line = F.concat_ws(" ", F.col("label").cast("string"), (F.col("vec_id") % 2).cast("string"), vec)
+    t.embeddings.select(line).write.text(path)
+    log = files.read_vector_log(t.spark, path).select("arm", F.posexplode("features").alias("pos", "x"))
+    return log.groupBy("arm", "pos").agg(F.count("*").alias("n"), rnd(F.avg("x")).alias("mean"))
+
+
 @book.add("s08_chunked_csv_predict", """
 SELECT o_orderkey AS id, round(1 / (1 + exp(-(o_totalprice - 250000) / 100000)), 6) AS prob FROM orders""")
 def _(t):

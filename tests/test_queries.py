@@ -35,3 +35,12 @@ def test_query_matches_sql(spark, folder, con, name):
 def test_every_section_is_registered():
     letters = {name[0] for name in QUERIES}
     assert letters >= set("spjawtufrqeckmvx")
+
+
+def test_whole_tables_are_used(spark, folder):
+    """The full-table queries take every order, vector position and element."""
+    t = Tables(spark, folder)
+    june = QUERIES["r08_resample_monthly_all"][0](t).where("month like '%-06'").collect()
+    assert june and all(r["mean"] is not None for r in june)
+    seen = QUERIES["s07_vector_log_all"][0](t).groupBy().sum("n").first()[0]
+    assert seen == sum(len(r["embedding"]) for r in t.embeddings.collect())
