@@ -19,10 +19,13 @@ def calendar(bounds: DataFrame, first: str, last: str) -> DataFrame:
 
 
 def grid(bounds: DataFrame, width: Column, height: Column) -> DataFrame:
-    """All cells ``(x, y)`` with ``0 <= x < width`` and ``0 <= y < height`` of a one-row table."""
-    size = bounds.select(width.cast("long").alias("w"), height.cast("long").alias("h"))
-    cells = size.select("h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("w") * F.col("h") - 1)).alias("i"))
-    return cells.select(F.expr("i div h").alias("x"), (F.col("i") % F.col("h")).alias("y"))
+    """All cells ``(x, y)`` with ``0 <= x < width`` and ``0 <= y < height`` of a one-row table, which is read when the plan is built.
+
+    Cells are numbers of a range, which Spark deals over its tasks.
+    """
+    size = bounds.select(width.cast("long").alias("w"), height.cast("long").alias("h")).first()
+    w, h = (max(0, n or 0) for n in (size or (0, 0)))
+    return bounds.sparkSession.range(w * h).select(F.expr(f"id div {max(1, h)}L").alias("x"), (F.col("id") % max(1, h)).alias("y"))
 
 
 def linspace(lo: Column, hi: Column, intervals: int) -> Column:

@@ -3,9 +3,11 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from featherloom.catalog import all_books
 from featherloom.catalog.base import Tables
+from featherloom.sources import generated
 from tools.check import compare, connect
 
 BOOKS = list(all_books())
@@ -44,3 +46,11 @@ def test_whole_tables_are_used(spark, folder):
     assert june and all(r["mean"] is not None for r in june)
     seen = QUERIES["s07_vector_log_all"][0](t).groupBy().sum("n").first()[0]
     assert seen == sum(len(r["embedding"]) for r in t.embeddings.collect())
+
+
+def test_grid_is_dealt_over_tasks(spark):
+    bounds = spark.range(1)
+    cells = generated.grid(bounds, F.lit(70), F.lit(30))
+    assert {tuple(r) for r in cells.collect()} == {(x, y) for x in range(70) for y in range(30)}
+    assert max(n for n in cells.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) < 70 * 30
+    assert generated.grid(bounds, F.lit(0), F.lit(30)).count() == generated.grid(bounds, F.lit(None), F.lit(30)).count() == 0
