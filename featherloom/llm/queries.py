@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, Tables
-from featherloom.llm import chat, decontaminate, licenses, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
+from featherloom.llm import chat, decontaminate, licenses, merkle, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from featherloom.llm.common import word_count
 
 book = Book()
@@ -136,3 +136,42 @@ def repeated_strings(t: Tables):
     rows = suffix_dedup.remove_repeats(t.documents.select("doc_id", "text"))
     return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
                        F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# crc32 bit by bit over the decimal digits; trees level by level; the way to the root level by level
+_FIELD = "coalesce(CAST(octet_length(encode(CAST({0} AS VARCHAR))) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+_BITS = ", ".join(["CAST(0 AS BIGINT)"] * 8)
+MERKLE = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, {_LEAF.format("text")} AS leaf, {_LEAF.format("replace(text, chr(10), '')")} AS cut,
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, c: list_reduce(list_concat([xor(a, c)], [{_BITS}]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) AS crc FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d),
+up AS (SELECT source, 0 AS h, i, leaf AS x, n FROM o
+  UNION ALL SELECT source, h + 1, i // 3, sha256(string_agg(x, '' ORDER BY i)), (any_value(n) + 2) // 3 FROM up WHERE n > 1 GROUP BY source, h, i // 3),
+s AS (SELECT source, x AS subroot, h AS top, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+over AS (SELECT 0 AS h, i, subroot AS x, n FROM s
+  UNION ALL SELECT h + 1, i // 3, sha256(string_agg(x, '' ORDER BY i)), (any_value(n) + 2) // 3 FROM over WHERE n > 1 GROUP BY h, i // 3),
+inner_side AS (SELECT a.source, a.h, a.i, coalesce(string_agg(b.x, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, coalesce(string_agg(b.x, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM up a JOIN up b ON a.source IS NOT DISTINCT FROM b.source AND a.h = b.h AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY 1, 2, 3),
+over_side AS (SELECT a.h, a.i, coalesce(string_agg(b.x, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, coalesce(string_agg(b.x, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM over a JOIN over b ON a.h = b.h AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY 1, 2),
+w AS (SELECT o.source, o.i AS leaf_no, 0 AS h, o.i, CASE WHEN crc % 2 = 0 THEN cut ELSE leaf END AS x, '' AS p FROM o
+  UNION ALL SELECT w.source, leaf_no, w.h + 1, w.i // 3, sha256(l || x || r), p || l || r FROM w JOIN inner_side k ON k.source IS NOT DISTINCT FROM w.source AND k.h = w.h AND k.i = w.i),
+v AS (SELECT w.source, leaf_no, 0 AS h, s.i, x, p FROM w JOIN s ON s.source IS NOT DISTINCT FROM w.source AND w.h = s.top
+  UNION ALL SELECT v.source, leaf_no, v.h + 1, v.i // 3, sha256(l || x || r), p || l || r FROM v JOIN over_side k ON k.h = v.h AND k.i = v.i),
+z AS (SELECT x AS root, h AS top FROM over WHERE n = 1)
+SELECT o.doc_id, o.leaf, s.subroot, z.root, sha256(v.p) AS proof_sha256, v.x AS folded_root, v.x = z.root AS verified
+FROM o JOIN s ON s.source IS NOT DISTINCT FROM o.source CROSS JOIN z JOIN v ON v.source IS NOT DISTINCT FROM o.source AND v.leaf_no = o.i AND v.h = z.top"""
+
+
+@book.add("op13_merkle_manifest", MERKLE)
+def manifest(t: Tables):
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    cut = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
+    rows = t.documents.select("doc_id", "source", merkle.leaf(*fields, F.col("text")).alias("leaf"),
+                              F.when(cut, merkle.leaf(*fields, F.replace("text", F.lit("\n"), F.lit("")))).alias("tampered"))
+    proved = merkle.proofs(rows, "source", "doc_id", "leaf")
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return proved.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
