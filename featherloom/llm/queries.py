@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, Tables
-from featherloom.llm import chat, decontaminate, licenses, merkle, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
+from featherloom.llm import chat, collocations, decontaminate, licenses, merkle, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from featherloom.llm.common import word_count
 
 book = Book()
@@ -175,3 +175,29 @@ def manifest(t: Tables):
     folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
     return proved.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
                          folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_GRAMS = " UNION ALL ".join(f"SELECT lang, {k} AS k, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))) AS p FROM w WHERE len(w) >= {k}"
+                            for k in range(1, 6))
+_CUTS = " UNION ALL ".join(f"SELECT lang, phrase, a, k, {m} AS m, array_to_string(w[1:{m}], ' ') AS p, array_to_string(w[{m + 1}:], ' ') AS q FROM c WHERE k > {m}" for m in range(1, 5))
+_PARTS = " UNION ALL ".join(f"SELECT lang, a, array_to_string(w[{i}:{i + m - 1}], ' ') AS phrase FROM c WHERE k > {m} AND k >= {i + m - 1}" for m in range(2, 5) for i in range(1, 7 - m))
+PHRASES = rf"""
+WITH s AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS w FROM s),
+f AS (SELECT lang, k, p AS phrase, count(*) AS a FROM ({_GRAMS}) GROUP BY 1, 2, 3),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 100),
+cuts AS ({_CUTS}),
+scored AS (SELECT cuts.lang, cuts.phrase, cuts.a, m, l.a AS l, r.a AS r, n, CAST(CAST(1000 AS HUGEINT) * cuts.a * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = cuts.p JOIN f r ON r.lang = cuts.lang AND r.phrase = cuts.q JOIN n ON n.lang = cuts.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, m) = 1),
+inside AS (SELECT lang, phrase, max(a) AS longer FROM ({_PARTS}) GROUP BY 1, 2)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR longer < a
+QUALIFY rank <= 2000"""
+
+
+@book.add("op12_phrase_collocations", PHRASES)
+def phrase_collocations(t: Tables):
+    return collocations.collocations(t.documents.select("lang", "text"))
