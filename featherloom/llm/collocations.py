@@ -17,7 +17,7 @@ from featherloom.llm.common import number_rows, partitions, shuffles_dropped
 from featherloom.session import materialize
 
 LONGEST, LEAST, BEST = 5, 100, 2000
-WORDS_PER_SHARD = 1 << 21
+WORDS_PER_SHARD = 1 << 19
 ENTRIES_PER_BLOCK = 1 << 21
 UNKNOWN = "und"
 # a byte that UTF-8 never has stands for the end of a piece
@@ -170,7 +170,7 @@ def _chain(parts: pd.DataFrame, k: int, bits: dict[int, int], word_bits: int) ->
 
     ``parts`` has the shard's word ids (kind 1, 0 for rare words and ends of pieces) and, per shorter length, the frequent keys with their ids.
     """
-    seq = np.frombuffer(parts["a"][parts["kind"] == 1].iloc[0], "<i8").astype(np.uint64)
+    seq = np.frombuffer(parts["a"][parts["kind"] == 1].iloc[0], "<u4").astype(np.uint64)
     ids = seq
     for length in range(2, k + 1):
         at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0) & (np.arange(len(ids) - 1) + length - 1 < len(seq)))
@@ -195,8 +195,7 @@ def count_filters(state: DataFrame, k: int, bits: dict[int, int], word_bits: int
     span = -(-total // blocks)
 
     def run(parts: pd.DataFrame) -> pd.DataFrame:
-        key = np.sort(_chain(parts, k, bits, word_bits)[1])
-        key, counts = merge_counts([key], [np.ones(len(key), np.int64)])
+        key, counts = np.unique(_chain(parts, k, bits, word_bits)[1], return_counts=True)
         edges = np.searchsorted(key, np.array([min(b * span, (1 << 64) - 1) for b in range(blocks)], np.uint64))
         edges = np.r_[edges, len(key)]
         full = [b for b in range(blocks) if edges[b] < edges[b + 1]]
@@ -272,6 +271,8 @@ def _frequent(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, Dat
     vocabulary = materialize(vocabulary, "phrase-vocabulary")
     all_words, known = (x or 0 for x in totals.agg(F.sum("n")).first() + vocabulary.agg(F.max("id")).first())
     word_bits = max(1, known.bit_length())
+    if word_bits > 32:
+        raise ValueError(f"{known} frequent words, word ids have 32 bits")
     blocks = max(partitions(docs.sparkSession), -(-all_words // ENTRIES_PER_BLOCK))
     named = local.join(vocabulary.select("lang", "w", "id"), ["lang", "w"]).groupBy("shard").agg(F.collect_list(F.struct("i", "id")).alias("ids"))
 
@@ -282,7 +283,7 @@ def _frequent(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, Dat
                 to = np.zeros(int(seq.max(initial=0)) + 1, np.int64)
                 to[np.array(i, np.int64)] = ids
                 yield pa.record_batch({"shard": pa.array([shard], pa.int64()), "kind": pa.array([1], pa.int32()),
-                                       "a": pa.array([to[seq].tobytes()], pa.binary()), "b": pa.array([b""], pa.binary())})
+                                       "a": pa.array([to.astype("<u4")[seq].tobytes()], pa.binary()), "b": pa.array([b""], pa.binary())})
 
     state = materialize(coded.select("shard", "seq").join(named, "shard").select("shard", "seq", F.col("ids.i").alias("i"), F.col("ids.id").alias("id")).mapInArrow(
         renumber, "shard long, kind int, a binary, b binary"), "phrase-state")
