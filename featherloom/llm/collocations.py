@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,11 +13,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featherloom.llm.common import number_rows, partitions, shuffles_dropped
-from featherloom.session import materialize
+from featherloom.llm.common import delete_table, partitions, shuffles_dropped, written
 
 LONGEST, LEAST, BEST = 5, 100, 2000
-WORDS_PER_SHARD = 1 << 19
+WORDS_PER_SHARD = 1 << 20
 ENTRIES_PER_BLOCK = 1 << 21
 UNKNOWN = "und"
 # a byte that UTF-8 never has stands for the end of a piece
@@ -114,6 +113,17 @@ def merge_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.n
     return k[start], np.add.reduceat(c, start) if len(start) else c
 
 
+def blob(numbers: np.ndarray) -> bytes:
+    """Numbers from 0, in as many bits each as the largest takes."""
+    bits = int(numbers.max()).bit_length() if len(numbers) else 0
+    return np.array([len(numbers), bits], "<i8").tobytes() + pack(numbers, bits)
+
+
+def unblob(data: bytes) -> np.ndarray:
+    n, bits = (int(x) for x in np.frombuffer(data, "<i8", 2))
+    return unpack(data[16:], bits, n).astype(np.int64)
+
+
 # ---- corpus to shards
 
 def tokens(text: bytes) -> list[bytes]:
@@ -121,27 +131,42 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().translate(_ENDS).replace(_STOP, b" " + _STOP + b" ").split()
 
 
-def encode(docs: DataFrame) -> DataFrame:
-    """``docs`` (lang, text) as shards (shard, lang, words, counts, seq): local word numbers from 1 in order of occurrence, 0 where a piece ends.
+SEQ, VOCABULARY = 0, 1
+SHARDS = "kind int, shard long, lang string, block long, a binary, b binary"
 
-    A shard is what one task read of a language up to WORDS_PER_SHARD words and the rest of the text that reached them.
+
+def encode(docs: DataFrame, blocks: int) -> DataFrame:
+    """``docs`` (lang, text) as shards: what one task read of a language, up to WORDS_PER_SHARD words and the rest of the text that reached them.
+
+    One row of kind SEQ per shard has its local word numbers from 1, 0 where a piece ends (a). Per block (checksum of the word) one row of kind
+    VOCABULARY has the shard's words of that block (a) and their counts (b). Numbers follow the blocks, then the first occurrence.
     """
     most = WORDS_PER_SHARD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), itertools.count()
         books: dict[str, tuple[dict, list]] = {}
+        size: dict[str, int] = {}
 
         def flush(lang: str) -> pa.RecordBatch:
             book, parts = books.pop(lang)
-            seq = np.concatenate(parts)
+            del size[lang]
+            shard = (task << 32) + next(made)
+            words = np.array([*book, b""], object)[:-1]
+            block = np.fromiter((zlib.crc32(w) % blocks for w in book), np.int64, len(book))
+            order = np.argsort(block, kind="stable")
+            number = np.zeros(len(book) + 1, np.int64)
+            number[order + 1] = np.arange(1, len(book) + 1)
+            seq = number[np.concatenate(parts)]
             counts = np.bincount(seq, minlength=len(book) + 1)[1:]
-            # 0 is not a word
-            return pa.record_batch({"shard": pa.array([(task << 32) + next(made)], pa.int64()), "lang": pa.array([lang]),
-                                    "words": pa.array([[w.decode() for w in book]], pa.list_(pa.string())), "counts": pa.array([counts], pa.list_(pa.int64())),
-                                    "seq": pa.array([seq.astype("<i4").tobytes()], pa.binary())})
+            words, block = words[order], block[order]
+            at = np.r_[np.flatnonzero(np.r_[True, block[1:] != block[:-1]]), len(block)] if len(block) else np.zeros(1, np.int64)
+            rows = [(SEQ, -1, blob(seq), b"")] + [
+                (VOCABULARY, int(block[i]), _STOP.join(words[i:j]), blob(counts[i:j])) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+            kind, block, a, b = zip(*rows)
+            return pa.record_batch({"kind": pa.array(kind, pa.int32()), "shard": pa.array([shard] * len(rows), pa.int64()), "lang": pa.array([lang] * len(rows)),
+                                    "block": pa.array(block, pa.int64()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-        size: dict[str, int] = {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 found = tokens(text.encode()) if text else []
@@ -149,92 +174,156 @@ def encode(docs: DataFrame) -> DataFrame:
                     continue
                 book, parts = books.setdefault(lang, ({}, []))
                 number = book.setdefault
-                seq = np.fromiter((0 if w == _STOP else number(w, len(book) + 1) for w in found), np.int32, len(found))
-                parts.append(np.r_[seq, np.int32(0)])
+                parts.append(np.fromiter((0 if w == _STOP else number(w, len(book) + 1) for w in itertools.chain(found, (_STOP,))), np.int32, len(found) + 1))
                 size[lang] = size.get(lang, 0) + len(found)
                 if size[lang] >= most or sum(size.values()) >= 2 * most:
                     for full in [lang] if size[lang] >= most else list(size):
                         yield flush(full)
-                        del size[full]
         for lang in list(size):
             yield flush(lang)
 
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    return rows.mapInArrow(run, "shard long, lang string, words array<string>, counts array<long>, seq binary")
+    return rows.mapInArrow(run, SHARDS)
 
 
-# ---- one pass per phrase length
+FOUND, BACK = 0, 1
+
 
-def _chain(parts: pd.DataFrame, k: int, bits: dict[int, int], word_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and permuted keys of all phrases of ``k`` words in a shard whose both parts of k - 1 words are frequent.
+def merge_words(shards: DataFrame, blocks: int, least: int) -> DataFrame:
+    """Words counted over all shards, block by block; those of at least ``least`` occurrences get ids, unique over all blocks and languages.
 
-    ``parts`` has the shard's word ids (kind 1, 0 for rare words and ends of pieces) and, per shorter length, the frequent keys with their ids.
+    Rows of kind FOUND hold, per block and language, the frequent words (a), ids (b), counts (c) and the number of all words (n). Rows of kind
+    BACK hold the ids of a shard's words of the block (b), 0 for rare ones.
     """
-    seq = np.frombuffer(parts["a"][parts["kind"] == 1].iloc[0], "<u4").astype(np.uint64)
-    ids = seq
-    for length in range(2, k + 1):
-        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0) & (np.arange(len(ids) - 1) + length - 1 < len(seq)))
-        key = Permutation(bits[length])((ids[at] << np.uint64(word_bits)) | seq[at + length - 1])
-        if length == k:
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        block = int(rows["block"].iloc[0])
+        total: dict[str, dict[bytes, int]] = {}
+        read = [(int(s), g, w.split(_STOP), unblob(c)) for s, g, w, c in zip(rows["shard"], rows["lang"], rows["a"], rows["b"])]
+        for _, lang, words, counts in read:
+            own = total.setdefault(lang, {})
+            for w, c in zip(words, counts.tolist()):
+                own[w] = own.get(w, 0) + c
+        out, ids, rank = [], {}, itertools.count()
+        for lang in sorted(total):
+            frequent = sorted(w for w, c in total[lang].items() if c >= least)
+            ids[lang] = {w: next(rank) * blocks + block + 1 for w in frequent}
+            out.append((FOUND, -1, block, lang, _STOP.join(frequent), blob(np.array([*ids[lang].values()], np.int64)),
+                        blob(np.array([total[lang][w] for w in frequent], np.int64)), sum(total[lang].values())))
+        for shard, lang, words, _ in read:
+            get = ids[lang].get
+            out.append((BACK, shard, block, lang, b"", blob(np.fromiter((get(w, 0) for w in words), np.int64, len(words))), b"", 0))
+        return pd.DataFrame(out, columns=["kind", "shard", "block", "lang", "a", "b", "c", "n"])
+
+    rows = shards.where(F.col("kind") == VOCABULARY).select("block", "shard", "lang", "a", "b")
+    return rows.groupBy("block").applyInPandas(run, "kind int, shard long, block long, lang string, a binary, b binary, c binary, n long")
+
+
+# ---- one pass per phrase length
+
+PART_SEQ, PART_WORDS, PART_STATE = 0, 1, 2  # rows that make up what a shard knows; PART_STATE + k: which of its phrases of k words are frequent
+PARTS = "shard long, kind int, block long, a binary, b binary"
+FILTER = -1
+
+
+class Layout:
+    """Per phrase length: bits of a packed key, and how its quotients fall into blocks."""
+
+    def __init__(self, bits: int, blocks: int):
+        self.bits, self.blocks = bits, max(1, min(blocks, 1 << min(bits, 40)))
+        self.span = -(-(1 << bits) // self.blocks)
+
+    def edges(self, keys: np.ndarray) -> np.ndarray:
+        """Where in sorted ``keys`` each block starts, and their end."""
+        starts = np.array([min(b * self.span, (1 << 64) - 1) for b in range(self.blocks)], np.uint64)
+        return np.r_[np.searchsorted(keys, starts), len(keys)]
+
+
+def _ids(parts: pd.DataFrame, k: int, keys: np.ndarray, layout: Layout) -> np.ndarray:
+    """Ids of a shard's sorted phrases of ``k`` words, 0 for rare ones."""
+    ids, edges = np.zeros(len(keys), np.int64), layout.edges(keys)
+    rows = parts[parts["kind"] == PART_STATE + k]
+    for block, mask, named in zip(rows["block"], rows["a"], rows["b"]):
+        own = slice(edges[block], edges[block + 1])
+        ids[own][unblob(mask).astype(bool)] = unblob(named)
+    return ids
+
+
+def _candidates(parts: pd.DataFrame, k: int, layouts: dict[int, Layout], word_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and permuted keys of all phrases of ``k`` words in a shard whose both parts of k - 1 words are frequent."""
+    low = np.uint64((1 << word_bits) - 1)
+    if k <= 3:
+        rows = parts[parts["kind"] == PART_WORDS].sort_values("block")
+        named = np.concatenate([[0], *map(unblob, rows["b"])])
+        words = named[unblob(parts["a"][parts["kind"] == PART_SEQ].iloc[0])]
+        at = np.flatnonzero((words[:-1] > 0) & (words[1:] > 0))
+        key = Permutation(layouts[2].bits)((words[at].astype(np.uint64) << np.uint64(word_bits)) | words[at + 1].astype(np.uint64))
+        if k == 2:
             return at, key
-        rows = parts[parts["kind"] == length]
-        known = np.concatenate([np.frombuffer(x, "<u8") for x in rows["a"]] or [np.empty(0, np.uint64)])
-        named = np.concatenate([np.frombuffer(x, "<i8") for x in rows["b"]] or [np.empty(0, np.int64)])
-        order = np.argsort(known)
-        known, named = known[order], named[order]
-        place = np.searchsorted(known, key)
-        hit = (place < len(known)) & (known[np.minimum(place, len(known) - 1)] == key) if len(known) else np.zeros(len(key), bool)
-        ids = np.zeros(len(seq), np.uint64)
-        ids[at[hit]] = named[place[hit]].astype(np.uint64)
-    raise ValueError("phrases have two words or more")
-
-
-def count_filters(state: DataFrame, k: int, bits: dict[int, int], word_bits: int, blocks: int) -> DataFrame:
-    """Per shard and block of quotients one counting quotient filter of the shard's candidates of ``k`` words: (block, shard, filter)."""
-    total = 1 << bits[k]
-    span = -(-total // blocks)
-
-    def run(parts: pd.DataFrame) -> pd.DataFrame:
-        key, counts = np.unique(_chain(parts, k, bits, word_bits)[1], return_counts=True)
-        edges = np.searchsorted(key, np.array([min(b * span, (1 << 64) - 1) for b in range(blocks)], np.uint64))
-        edges = np.r_[edges, len(key)]
-        full = [b for b in range(blocks) if edges[b] < edges[b + 1]]
-        return pd.DataFrame({"block": pd.Series(full, dtype="int64"), "shard": pd.Series([int(parts["shard"].iloc[0])] * len(full), dtype="int64"),
-                             "filter": [write_filter(key[edges[b]:edges[b + 1]], counts[edges[b]:edges[b + 1]], bits[k], b * span, span) for b in full]})
-
-    return state.groupBy("shard").applyInPandas(run, "block long, shard long, filter binary")
+        keys, index = np.unique(key, return_inverse=True)
+    else:
+        state = parts[parts["kind"] == PART_STATE]
+        if not len(state):
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        at, index = unblob(state["a"].iloc[0]), unblob(state["b"].iloc[0])
+        keys = np.frombuffer(state["a"].iloc[1], "<u8") if len(state) > 1 else np.empty(0, np.uint64)
+    ids = _ids(parts, k - 1, keys, layouts[k - 1])[index]
+    last = (Permutation(layouts[k - 1].bits).inverse(keys) & low)[index]
+    j = np.flatnonzero((at[1:] == at[:-1] + 1) & (ids[1:] > 0) & (ids[:-1] > 0))
+    return at[j], Permutation(layouts[k].bits)((ids[j].astype(np.uint64) << np.uint64(word_bits)) | last[j + 1])
+
+
+def count_filters(parts: DataFrame, k: int, layouts: dict[int, Layout], word_bits: int, more: bool) -> DataFrame:
+    """Per shard and block of quotients a counting quotient filter (kind FILTER, a) of the shard's candidates of ``k`` words.
+
+    With ``more`` and from three words on also rows of kind PART_STATE, from which the next length is found: positions (a) and the numbers of
+    their keys (b), and the keys.
+    """
+    layout = layouts[k]
 
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        shard = int(rows["shard"].iloc[0])
+        at, key = _candidates(rows.sort_values(["kind", "block"], kind="stable"), k, layouts, word_bits)
+        keys, index, counts = np.unique(key, return_inverse=True, return_counts=True)
+        edges = layout.edges(keys)
+        out = [(shard, FILTER, b, write_filter(keys[edges[b]:edges[b + 1]], counts[edges[b]:edges[b + 1]], layout.bits, b * layout.span, layout.span), b"")
+               for b in range(layout.blocks) if edges[b] < edges[b + 1]]
+        if more and k > 2 and len(at):
+            out += [(shard, PART_STATE, 0, blob(at), blob(index)), (shard, PART_STATE, 1, keys.astype("<u8").tobytes(), b"")]
+        return pd.DataFrame(out, columns=["shard", "kind", "block", "a", "b"])
 
-FOUND, BACK = 0, 1
+    return parts.groupBy("shard").applyInPandas(run, PARTS)
 
 
-def merge_filters(filters: DataFrame, k: int, bits: int, blocks: int, least: int) -> DataFrame:
+def merge_filters(filters: DataFrame, layout: Layout, least: int) -> DataFrame:
     """Filters of all shards merged block by block; keys of at least ``least`` occurrences get ids, unique over all blocks.
 
-    Rows of kind FOUND hold a block's keys (a, unpermuted), ids (b) and counts (c); rows of kind BACK hold for a shard the permuted keys (a) and
-    ids (b) that it has of them.
+    Rows of kind FOUND hold a block's keys (a, unpermuted), ids (b) and counts (c). Rows of kind BACK tell a shard which of the keys it sent are
+    frequent (a, one bit each) and their ids (b).
     """
-    span = -(-(1 << bits) // blocks)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         block = int(rows["block"].iloc[0])
-        read = [read_filter(x, block * span) for x in rows["filter"]]
+        read = [read_filter(x, block * layout.span) for x in rows["a"]]
         keys, counts = merge_counts([r[0] for r in read], [r[1] for r in read])
         keep = counts >= least
         keys, counts = keys[keep], counts[keep]
-        ids = np.arange(len(keys), dtype=np.int64) * blocks + block + 1
-        out = [(FOUND, -1, Permutation(bits).inverse(keys).astype("<u8").tobytes(), ids.tobytes(), counts.astype("<i8").tobytes())]
+        ids = np.arange(len(keys), dtype=np.int64) * layout.blocks + block + 1
+        out = [(FOUND, -1, block, Permutation(layout.bits).inverse(keys).astype("<u8").tobytes(), blob(ids), blob(counts))]
         for shard, (own, _) in zip(rows["shard"], read):
+            if not len(keys):
+                break
             place = np.searchsorted(keys, own)
-            hit = (place < len(keys)) & (keys[np.minimum(place, len(keys) - 1)] == own) if len(keys) else np.zeros(len(own), bool)
+            hit = (place < len(keys)) & (keys[np.minimum(place, len(keys) - 1)] == own)
             if hit.any():
-                out.append((BACK, int(shard), own[hit].astype("<u8").tobytes(), ids[place[hit]].tobytes(), b""))
-        return pd.DataFrame(out, columns=["kind", "shard", "a", "b", "c"])
+                out.append((BACK, int(shard), block, blob(hit.astype(np.int64)), blob(ids[place[hit]]), b""))
+        return pd.DataFrame(out, columns=["kind", "shard", "block", "a", "b", "c"])
 
-    return filters.groupBy("block").applyInPandas(run, "kind int, shard long, a binary, b binary, c binary")
+    return filters.where(F.col("kind") == FILTER).select("shard", "block", "a").groupBy("block").applyInPandas(
+        run, "kind int, shard long, block long, a binary, b binary, c binary")
 
 
-def _rows(found: DataFrame, word_bits: int) -> DataFrame:
+def _phrase_rows(found: DataFrame, word_bits: int) -> DataFrame:
     """(id, first, word, f) of the rows of kind FOUND: the id of all words but the last, the id of the last, and the count."""
     low = np.uint64((1 << word_bits) - 1)
 
@@ -242,68 +331,74 @@ def _rows(found: DataFrame, word_bits: int) -> DataFrame:
         for batch in batches:
             for a, b, c in zip(*(batch.column(x).to_pylist() for x in "abc")):
                 key = np.frombuffer(a, "<u8")
-                yield pa.record_batch({"id": pa.array(np.frombuffer(b, "<i8")), "first": pa.array((key >> np.uint64(word_bits)).astype(np.int64)),
-                                       "word": pa.array((key & low).astype(np.int64)), "f": pa.array(np.frombuffer(c, "<i8"))})
+                yield pa.record_batch({"id": pa.array(unblob(b)), "first": pa.array((key >> np.uint64(word_bits)).astype(np.int64)),
+                                       "word": pa.array((key & low).astype(np.int64)), "f": pa.array(unblob(c))})
 
     return found.where(F.col("kind") == FOUND).select("a", "b", "c").mapInArrow(run, "id long, first long, word long, f long")
 
 
+def _word_rows(found: DataFrame) -> DataFrame:
+    """(lang, id, w, f) of the rows of kind FOUND."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("lang", "a", "b", "c"))):
+                ids = unblob(b)
+                if len(ids):
+                    yield pa.record_batch({"lang": pa.array([lang] * len(ids)), "id": pa.array(ids), "w": pa.array([w.decode() for w in a.split(_STOP)]),
+                                           "f": pa.array(unblob(c))})
+
+    return found.where(F.col("kind") == FOUND).select("lang", "a", "b", "c").mapInArrow(run, "lang string, id long, w string, f long")
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``longest`` words with at least ``least`` occurrences, (lang, words, f), and (lang, n), the words of each language.
 
     Words get ids (one for each word and language). A phrase is packed as (id of all its words but the last, id of the last), both dense, in one
     integer of at most 64 bits. Each shard sorts its permuted keys into quotient filters, one per block of quotients; a block's filters of all
     shards are merged, and the shards get back which of their keys are frequent, so that the next length is counted only where both its parts of
-    one word less are. Blocks follow the number of words, and the permutation spreads keys evenly over them whatever their counts.
+    one word less are. Blocks follow the number of words, and the permutation spreads keys evenly over them whatever their counts. A table that no
+    later step reads is deleted from the shared folder once its successor is written.
     """
     with shuffles_dropped(docs.sparkSession):
         return _frequent(docs, least, longest)
 
 
 def _frequent(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame]:
-    coded = materialize(encode(docs), "phrase-shards")
-    local = coded.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w")).select(
-        "shard", "lang", (F.col("i") + 1).alias("i"), F.col("w.words").alias("w"), F.col("w.counts").alias("c"))
-    words = local.groupBy("lang", "w").agg(F.sum("c").alias("f"))
-    totals = materialize(local.groupBy("lang").agg(F.sum("c").alias("n")), "phrase-words")
-    vocabulary = number_rows(words.where(F.col("f") >= least), [F.col("lang"), F.col("w")], "no", "phrase-vocabulary").select(
-        "lang", "w", "f", (F.col("no") + 1).alias("id"))
-    vocabulary = materialize(vocabulary, "phrase-vocabulary")
-    all_words, known = (x or 0 for x in totals.agg(F.sum("n")).first() + vocabulary.agg(F.max("id")).first())
-    word_bits = max(1, known.bit_length())
-    if word_bits > 32:
-        raise ValueError(f"{known} frequent words, word ids have 32 bits")
-    blocks = max(partitions(docs.sparkSession), -(-all_words // ENTRIES_PER_BLOCK))
-    named = local.join(vocabulary.select("lang", "w", "id"), ["lang", "w"]).groupBy("shard").agg(F.collect_list(F.struct("i", "id")).alias("ids"))
-
-    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, seq, i, ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "seq", "i", "id"))):
-                seq = np.frombuffer(seq, "<i4")
-                to = np.zeros(int(seq.max(initial=0)) + 1, np.int64)
-                to[np.array(i, np.int64)] = ids
-                yield pa.record_batch({"shard": pa.array([shard], pa.int64()), "kind": pa.array([1], pa.int32()),
-                                       "a": pa.array([to.astype("<u4")[seq].tobytes()], pa.binary()), "b": pa.array([b""], pa.binary())})
-
-    state = materialize(coded.select("shard", "seq").join(named, "shard").select("shard", "seq", F.col("ids.i").alias("i"), F.col("ids.id").alias("id")).mapInArrow(
-        renumber, "shard long, kind int, a binary, b binary"), "phrase-state")
+    spark = docs.sparkSession
+    blocks = partitions(spark)
+    shards, shards_at = written(encode(docs, blocks), "phrase-shards")
+    merged, _ = written(merge_words(shards, blocks, least), "phrase-words")
+    vocabulary, _ = written(_word_rows(merged), "phrase-vocabulary")
+    totals = merged.where(F.col("kind") == FOUND).groupBy("lang").agg(F.sum("n").alias("n"))
+    all_words = totals.agg(F.sum("n")).first()[0] or 0
+    last = vocabulary.agg(F.max("id")).first()[0] or 0
+    word_bits = max(1, last.bit_length())
+    blocks = max(blocks, -(-all_words // ENTRIES_PER_BLOCK))
+    parts = shards.where(F.col("kind") == SEQ).select("shard", F.lit(PART_SEQ).alias("kind"), "block", "a", "b").unionByName(
+        merged.where(F.col("kind") == BACK).select("shard", F.lit(PART_WORDS).alias("kind"), "block", "a", "b"))
     phrases = vocabulary.select("lang", "id", F.array("w").alias("words"), "f")
-    every = [phrases]
-    last, bits = known, {}
+    every, layouts, done = [phrases], {}, []
     for k in range(2, longest + 1):
-        bits[k] = max(1, last.bit_length()) + word_bits
-        held = blocks if bits[k] > 40 else max(1, min(blocks, 1 << max(0, bits[k] - 4)))
-        filters = materialize(count_filters(state, k, dict(bits), word_bits, held), "phrase-filters")
-        merged = materialize(merge_filters(filters, k, bits[k], held, least), "phrase-merged")
-        rows = materialize(_rows(merged, word_bits), "phrase-rows")
+        layouts[k] = Layout(max(1, last.bit_length()) + word_bits, blocks)
+        counted, counted_at = written(count_filters(parts, k, dict(layouts), word_bits, k < longest), "phrase-filters")
+        for path in done:
+            delete_table(spark, path)
+        merged, merged_at = written(merge_filters(counted, layouts[k], least), "phrase-merged")
+        rows, _ = written(_phrase_rows(merged, word_bits), "phrase-rows")
         last = rows.agg(F.max("id")).first()[0] or 0
         firsts = phrases.select(F.col("id").alias("first"), "lang", "words")
         ends = vocabulary.select(F.col("id").alias("word"), "w")
-        phrases = materialize(rows.join(firsts, "first").join(ends, "word").select("lang", "id", F.concat("words", F.array("w")).alias("words"), "f"), "phrases")
+        phrases, _ = written(rows.join(firsts, "first").join(ends, "word").select("lang", "id", F.concat("words", F.array("w")).alias("words"), "f"), "phrases")
         every.append(phrases)
         if not last:
             break
-        state = state.unionByName(merged.where(F.col("kind") == BACK).select("shard", F.lit(k).alias("kind"), "a", "b"))
+        back = merged.where(F.col("kind") == BACK).select("shard", F.lit(PART_STATE + k).alias("kind"), "block", "a", "b")
+        if k == 2:
+            parts, done = parts.unionByName(back), [shards_at, merged_at]
+            delete_table(spark, counted_at)
+        else:
+            parts, done = counted.where(F.col("kind") == PART_STATE).unionByName(back), [counted_at, merged_at]
     out = every[0]
     for p in every[1:]:
         out = out.unionByName(p)

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featherloom.session import materialize
+from featherloom.session import materialize, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -39,6 +39,19 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and its path, for :func:`delete_table`."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing will read any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ordered(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     """``df`` dealt into ranges of ``order``, sorted within them and written, with ``__part`` and ``__at`` (place within the range).
 
