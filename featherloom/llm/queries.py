@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, Tables
-from featherloom.llm import chat, collocations, decontaminate, licenses, merkle, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
+from featherloom.llm import chat, collocations, decontaminate, jaccard, licenses, merkle, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from featherloom.llm.common import word_count
 
 book = Book()
@@ -183,7 +183,8 @@ _CUTS = " UNION ALL ".join(f"SELECT lang, phrase, a, k, {m} AS m, array_to_strin
 _PARTS = " UNION ALL ".join(f"SELECT lang, a, array_to_string(w[{i}:{i + m - 1}], ' ') AS phrase FROM c WHERE k > {m} AND k >= {i + m - 1}" for m in range(2, 5) for i in range(1, 7 - m))
 PHRASES = rf"""
 WITH s AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece FROM documents),
+-
+]')) AS piece FROM documents),
 w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS w FROM s),
 f AS (SELECT lang, k, p AS phrase, count(*) AS a FROM ({_GRAMS}) GROUP BY 1, 2, 3),
 n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
@@ -201,3 +202,8 @@ QUALIFY rank <= 2000"""
 @book.add("op12_phrase_collocations", PHRASES)
 def phrase_collocations(t: Tables):
     return collocations.collocations(t.documents.select("lang", "text"))
+
+
+@book.add("op11_jaccard_join")
+def jaccard_components(t: Tables):
+    return jaccard.components(t.documents.select("doc_id", "text"))
