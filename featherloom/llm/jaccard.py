@@ -17,7 +17,9 @@ from featherloom.llm.components import star_roots
 SHINGLE = 5  # words; sets link at 100 * intersection >= 80 * union
 SAMPLED = 5  # sixteenths of all shingles that the first round looks at
 BAND = 1.26  # sizes in a band differ by less than this factor, so linked sets lie in the same or in neighbouring bands
-LEAST_BITS, MOST_BITS = 64, 8192
+LEAST_BITS, MOST_BITS = 64, 1 << 15
+ROUNDS = 2  # in which each set is checked against its likeliest partner only
+HOPS = 4  # over which labels spread between rounds
 TILE = 2048  # rows of a tile that one task compares with each other
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -38,8 +40,9 @@ def shingle_set(text: bytes) -> np.ndarray:
 
 
 def bits_of(band: int) -> int:
-    """Bits of the signatures of a band: a power of two that follows the sizes in it."""
-    return min(MOST_BITS, max(LEAST_BITS, 1 << int(np.ceil((band + 1) * np.log2(BAND)))))
+    """Bits of the signatures of a band: a power of two, four times the sizes in it or more. Few shingles then share a bit, so that of the pairs
+    that cannot link only those at a similarity close to 0.8 pass."""
+    return min(MOST_BITS, max(LEAST_BITS, 4 << int(np.ceil((band + 1) * np.log2(BAND)))))
 
 
 def band_of(n: int) -> int:
@@ -152,10 +155,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, bounded: bool) -> DataFrame:
     return pairs.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(exact, "a long, b long")
 
 
-def _compared(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) that the signatures leave, of rows sorted by tile (h, tile, i, j) within partitions.
+def _compared(rows: DataFrame, best: bool) -> DataFrame:
+    """Pairs (a, b, room) that the signatures leave, of rows sorted by tile (h, tile, i, j) within partitions.
 
-    Rows of a tile are compared by distance in the sorted order, so a task holds one batch and the rows of one unfinished tile.
+    room: how many more differing shingles, times 9, the pair could have. With ``best`` a set of a tile gives at most one pair (itself first),
+    that of most room. Rows of a tile are compared by distance in the sorted order, so a task holds one batch and the rows of one unfinished tile.
     """
     keys, rest = ("h", "tile", "i", "j"), ("node", "label", "n", "guest", "block")
 
@@ -170,6 +174,7 @@ def _compared(rows: DataFrame) -> DataFrame:
                 run_no, n = number[at], len(at)
                 words = np.concatenate([fold(np.frombuffer(b, "<u8")[None, :], width) for b in x["bitmap"]])
                 found = []
+                most, other = np.full(n, -1), np.zeros(n, np.int64)
                 first = np.arange(n)
                 for k in range(1, n):
                     first = first[:np.searchsorted(first, n - k)]
@@ -182,13 +187,25 @@ def _compared(rows: DataFrame) -> DataFrame:
                     step = max(1, (1 << 21) // int(width))
                     for p in range(0, len(s), step):
                         u, v = s[p:p + step], t[p:p + step]
-                        ok = may_link(x["n"][u], x["n"][v], np.bitwise_count(words[u] ^ words[v]).sum(axis=1, dtype=np.int64))
-                        found.append(np.stack([x["node"][u[ok]], x["node"][v[ok]]]))
+                        differing = np.bitwise_count(words[u] ^ words[v]).sum(axis=1, dtype=np.int64)
+                        ok = may_link(x["n"][u], x["n"][v], differing) & (x["node"][u] != x["node"][v])
+                        u, v = u[ok], v[ok]
+                        room = x["n"][u] + x["n"][v] - 9 * differing[ok]
+                        if not best:
+                            found.append(np.stack([x["node"][u], x["node"][v], room]))
+                            continue
+                        for one, two in ((u, v), (v, u)):  # within a distance k no row is twice on one side
+                            more = room > most[one]
+                            most[one[more]], other[one[more]] = room[more], x["node"][two[more]]
+                if best:
+                    found = [np.stack([x["node"], other, most])[:, most >= 0]]
                 if found:
-                    two = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
-                    two = two[:, two[0] != two[1]]
-                    if two.shape[1]:
-                        yield pa.record_batch({"a": pa.array(two[0]), "b": pa.array(two[1])})
+                    three = np.concatenate(found, axis=1)
+                    if not best:
+                        three[:2] = np.sort(three[:2], axis=0)
+                        three = np.unique(three, axis=1)
+                    if three.shape[1]:
+                        yield pa.record_batch({"a": pa.array(three[0]), "b": pa.array(three[1]), "room": pa.array(three[2])})
 
         for batch in batches:
             if not batch.num_rows:
@@ -207,11 +224,21 @@ def _compared(rows: DataFrame) -> DataFrame:
         if held:
             yield from pairs(held, np.zeros(len(held["h"]), np.int64))
 
-    return rows.select(*keys, *rest, "bitmap").mapInArrow(run, "a long, b long")
+    return rows.select(*keys, *rest, "bitmap").mapInArrow(run, "a long, b long, room long")
 
 
-def _candidates(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of different labels that share a prefix shingle and that sizes and signatures let pass.
+def _spread(links: DataFrame) -> DataFrame:
+    """(node, label) for the nodes of ``links`` (a, b): the smallest node found within HOPS links. Nodes of one label are connected."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    for _ in range(HOPS - 1):
+        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
+        labels = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("label", "near").alias("label"))
+    return labels
+
+
+def _candidates(prefixes: DataFrame, labels: DataFrame, sets: DataFrame, best: bool) -> DataFrame:
+    """Distinct pairs (a, b) of different labels that share a prefix shingle and that sizes and signatures let pass, with ``best`` at most one per set.
 
     A tile is a prefix shingle and a band of sizes, home of the sets of that band; those of the next band are its guests. Tiles whose rows all have one label
     are done. A tile of more than TILE rows is cut into blocks by a hash of the set, and every two blocks meet in a tile of their own.
@@ -226,7 +253,10 @@ def _candidates(prefixes: DataFrame, labels: DataFrame, sets: DataFrame) -> Data
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).join(sets.select("node", "n", "bitmap"), "node")
     n = partitions(prefixes.sparkSession)
-    return _compared(rows.repartition(n, "h", "tile", "i", "j").sortWithinPartitions("h", "tile", "i", "j")).distinct()
+    found = _compared(rows.repartition(n, "h", "tile", "i", "j").sortWithinPartitions("h", "tile", "i", "j"), best)
+    if best:
+        found = found.groupBy("a").agg(F.max(F.struct("room", "b")).alias("x")).select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b"))
+    return found.select("a", "b").distinct()
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -239,11 +269,13 @@ def components(docs: DataFrame) -> DataFrame:
     1. A linked set has at most a fifth of its shingles to itself. Five sixteenths of all hashes are counted; sets with more than that many
        shingles found in no other set, among these hashes alone, link with nothing.
     2. The shingles of the rest are counted in full and ordered by frequency, then hash. Linked sets share one of the first 0.2 n + 1 (the prefix).
-    3. Each set is compared with one set of its band per tile of its two most frequent prefix shingles; sets that link get that one's label.
+    3. Each set is checked against one set of its band for each of its two most frequent prefix shingles. Labels spread over the links found.
     4. Tiles: sets of different labels under one prefix shingle and in neighbouring bands are compared by signature; a pair goes on if the
-       bit count leaves room for the intersection it needs. Pairs that are left are checked on the sorted sets.
+       bit count leaves room for the intersection it needs. Pairs that are left are checked on the sorted sets. In the first ROUNDS rounds a set
+       gives its likeliest partner only, which joins large groups without writing their pairs; the last round gives every pair that is left.
 
-    Steps 1, 2 and 4 drop only pairs that cannot link, and pairs of one label are connected, so components are exact (up to equal 64-bit hashes).
+    Steps 1, 2 and the last round drop only pairs that cannot link, and sets of one label are connected, so components are exact (up to equal
+    64-bit hashes).
     """
     spark = docs.sparkSession
     keyed = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("key"), "text")
@@ -273,9 +305,11 @@ def components(docs: DataFrame) -> DataFrame:
         centre = stars.groupBy("h", "band").agg(F.min("node").alias("a"))
         first = stars.join(centre, ["h", "band"]).where("a < node").select("a", F.col("node").alias("b")).distinct()
         first, _ = written(_verified(first, sets, bounded=False), "jaccard-links")
-        labels = first.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
-        pairs, _ = written(_candidates(prefixes, labels, sets), "jaccard-pairs")
-        links, _ = written(first.unionByName(_verified(pairs, sets, bounded=True)), "jaccard-links")
+        links = first
+        for r in range(ROUNDS + 1):
+            labels, _ = written(_spread(links), "jaccard-labels")
+            pairs, _ = written(_candidates(prefixes, labels, sets, best=r < ROUNDS), "jaccard-pairs")
+            links, _ = written(links.unionByName(_verified(pairs, sets, bounded=True)), "jaccard-links")
         roots = star_roots(links)
         member = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
         least = member.join(nodes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("cid"))
