@@ -18,8 +18,8 @@ SHINGLE = 5  # words; sets link at 100 * intersection >= 80 * union
 SAMPLED = 5  # sixteenths of all shingles that the first round looks at
 BAND = 1.26  # sizes in a band differ by less than this factor, so linked sets lie in the same or in neighbouring bands
 LEAST_BITS, MOST_BITS = 64, 1 << 15
-ROUNDS = 2  # in which each set is checked against its likeliest partner only
-HOPS = 4  # over which labels spread between rounds
+ROUNDS = 4  # in which each set is checked against its likeliest partner only
+HOPS = 6  # over which labels spread between rounds
 TILE = 2048  # rows of a tile that one task compares with each other
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
