@@ -1,7 +1,7 @@
 """From raw documents to a sharded training mix: five stages, each written as Parquet and read again by the next.
 
 toxicity         documents that the classifier rejects go
-near_dedup       one document of each near-duplicate group stays
+near_dedup       one document of each group stays that SimHash fingerprints of 4-word shingles link at 4 or fewer differing bits
 decontamination  documents that contain a benchmark item go
 mixing           sources are brought to their target weights; documents repeat as often as the mix takes them
 sharding         every row gets its shard and slot
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featherloom.llm import decontaminate, mixing, near_copies, sharding, toxicity
+from featherloom.llm import decontaminate, mixing, sharding, simhash, toxicity
 from featherloom.llm.common import word_count
 from featherloom.session import apply_settings, materialize
 
@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.deduplicated(docs)
+    return simhash.deduplicated(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
