@@ -23,13 +23,15 @@ NOT_SELF = "WHERE q.vec_id <> s.vec_id"
 
 @book.add("j14_nearest_topk", f"WITH {emb_nn(5)} SELECT a AS vec_id, b AS neighbour, round(distance, 6) AS distance FROM nn")
 def _(t):
-    d = knn.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 5)
+    vectors = t.embeddings
+    d = knn.pivot_nearest(vectors, vectors, "vec_id", "embedding", 5)
     return d.select("vec_id", "neighbour", rnd("distance").alias("distance"))
 
 
 @book.add("k01_exact_nearest", f"WITH {emb_nn(10, NOT_SELF)} SELECT a AS vec_id, b AS neighbour, CAST(rk AS INT) AS rank, round(distance * distance, 6) AS squared FROM nn")
 def _(t):
-    d = knn.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 10, exclude="vec_id")
+    vectors = t.embeddings
+    d = knn.pivot_nearest(vectors, vectors, "vec_id", "embedding", 10, exclude="vec_id")
     return d.select("vec_id", "neighbour", "rank", rnd(F.col("distance") * F.col("distance")).alias("squared"))
 
 
@@ -124,7 +126,8 @@ def _(t):
 
 @book.add("k10_self_excluded", f"WITH {emb_nn(3, NOT_SELF)} SELECT a AS vec_id, b AS neighbour, CAST(rk AS INT) AS rank FROM nn")
 def _(t):
-    return knn.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 3, exclude="vec_id").drop("distance")
+    vectors = t.embeddings
+    return knn.pivot_nearest(vectors, vectors, "vec_id", "embedding", 3, exclude="vec_id").drop("distance")
 
 
 @book.add("k11_cumulative_stats", f"WITH {emb_nn(4, NOT_SELF)} SELECT a AS vec_id, " + ", ".join(
@@ -242,7 +245,7 @@ unit AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE / len) AS
 SELECT a AS vec_id, b AS neighbour, round(1 - distance * distance / 2, 6) AS cosine FROM nn""")
 def _(t):
     u = knn.normalized(t.embeddings.select("vec_id", "embedding"), "embedding")
-    d = knn.nearest(u, u, "vec_id", "embedding", 5, exclude="vec_id")
+    d = knn.pivot_nearest(u, u, "vec_id", "embedding", 5, exclude="vec_id")
     return d.select("vec_id", "neighbour", rnd(1 - F.col("distance") * F.col("distance") / 2).alias("cosine"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from featherloom.catalog.base import ACTIONS, Book, rnd
 from featherloom.functions import arrays, dates, numbers, strings
 from featherloom.operators import reshape
-from featherloom.operators.ordered import group_quantiles
+from featherloom.operators.quantiles import column_quantiles
 from featherloom.operators.stats import with_stats
 
 book = Book()
@@ -157,10 +157,8 @@ def _(t):
 
 @book.add("f24_clip", "SELECT event_id, greatest(5, least(100, value)) AS fixed, round(least(greatest(value, (SELECT quantile_cont(value, 0.01) FROM events)), (SELECT quantile_cont(value, 0.99) FROM events)), 6) AS clipped FROM events")
 def _(t):
-    q = group_quantiles(t.events, [], "value", {"lo": 0.01, "hi": 0.99})
-    d = with_stats(t.events.select("event_id", "value"), q, lo=F.max("lo"), hi=F.max("hi"))
-    return d.select("event_id", numbers.clip(F.col("value"), 5.0, 100.0).alias("fixed"),
-                    rnd(numbers.clip(F.col("value"), F.col("stats.lo"), F.col("stats.hi"))).alias("clipped"))
+    lo, hi = (F.lit(x).cast("double") for x in column_quantiles(t.events, {"value": [0.01, 0.99]})["value"])
+    return t.events.select("event_id", numbers.clip(F.col("value"), 5.0, 100.0).alias("fixed"), rnd(numbers.clip(F.col("value"), lo, hi)).alias("clipped"))
 
 
 @book.add("f25_rounding", """

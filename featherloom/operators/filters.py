@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featherloom.operators.ordered import group_quantiles
+from featherloom.operators.quantiles import column_quantiles
 
 
 def time_split(df: DataFrame, ts: str, cutoff: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -32,8 +32,6 @@ def drop_header_lines(lines: DataFrame, first_field: str) -> DataFrame:
 
 def rows_within_quantiles(df: DataFrame, entity: str, cols: list[str], prob: float = 0.99) -> DataFrame:
     """All rows of entities that have a row with every column at or below its own quantile."""
-    long = df.select(entity, F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("i", "v"))
-    limits = group_quantiles(long, ["i"], "v", {"q": prob})
-    found = {r["i"]: r["q"] for r in limits.collect()}  # one number per column; as literals they reach the scan
-    ok = reduce(lambda a, b: a & b, [F.col(c) <= F.lit(found.get(i)).cast("double") for i, c in enumerate(cols)])
+    limits = column_quantiles(df, {c: [prob] for c in cols})  # one number per column; as literals they reach the scan
+    ok = reduce(lambda a, b: a & b, [F.col(c) <= F.lit(limits[c][0]).cast("double") for c in cols])
     return df.join(df.where(ok).select(entity).distinct(), entity, "left_semi")

@@ -106,6 +106,122 @@ def nearest(
     return ranked.select(F.col("q").alias(key), "neighbour", "rank", F.sqrt("d2").alias("distance"))
 
 
+# exact search that skips far blocks ----------------------------------------------------------
+
+PIVOTS, RINGS, PIVOT_SAMPLE = 64, 4, 2048
+ROWS_PER_PIVOT = 4096  # small tables get fewer pivots, as every cell that is visited costs a copy of the query
+
+
+def _choose_pivots(base: DataFrame, key: str, vector: str, pivots: int, rings: int):
+    """Vectors far apart from each other, from PIVOT_SAMPLE rows at most, and per pivot the distances that part its rows into rings."""
+    import numpy as np
+
+    some = base.select(F.col(vector).cast("array<double>").alias("v")).orderBy(F.xxhash64(key), key).limit(PIVOT_SAMPLE).collect()
+    if not some:
+        return None
+    sample = np.array([r["v"] for r in some])
+    at = [int(((sample - sample.mean(0)) ** 2).sum(1).argmin())]
+    gap = np.sqrt(((sample - sample[at[0]]) ** 2).sum(1))
+    while len(at) < pivots and gap.max() > 0:
+        at.append(int(gap.argmax()))
+        gap = np.minimum(gap, np.sqrt(((sample - sample[at[-1]]) ** 2).sum(1)))
+    chosen = sample[at]
+    far = np.sqrt(((sample[:, None, :] - chosen[None]) ** 2).sum(2))
+    home = far.argmin(1)
+    edges = np.array([np.quantile(far[home == p, p], np.arange(1, rings) / rings) for p in range(len(at))]).reshape(len(at), rings - 1)
+    return chosen, edges
+
+
+def _in_cells(side: DataFrame, pivots, edges) -> DataFrame:
+    """``side`` (id, vec, skip) with the distances to all pivots and the cell: closest pivot and ring around it."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.array(batch.column("vec").to_pylist(), dtype="float64")
+            far = np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in pivots], axis=1)
+            home = far.argmin(1)
+            ring = (far[np.arange(len(x)), home][:, None] > edges[home]).sum(1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("vec"), batch.column("skip"), pa.array(home * (edges.shape[1] + 1) + ring, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype="int32") * len(pivots)), pa.array(far.ravel()))],
+                names=["id", "vec", "skip", "cell", "far"])
+
+    return side.select("id", "vec", "skip").mapInArrow(run, "id long, vec array<double>, skip long, cell long, far array<double>")
+
+
+def pivot_search(
+    queries: DataFrame, base: DataFrame, key: str, vector: str, k: int,
+    *, exclude: str | None = None, pivots: int | None = None, rings: int = RINGS, block_rows: int = BLOCK_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """The result of :func:`nearest` and the cells each query was compared with, (id, cell, rows), without comparing far cells.
+
+    Cells are rings around pivots. Each cell knows its smallest and largest distance to every pivot. A query first meets its own cell,
+    which bounds its k-th distance from above. By the triangle inequality the difference of the distances to a pivot bounds every distance
+    to a cell from below, so only cells whose bound does not exceed the k-th distance are visited. A query whose own cell has too few rows
+    visits all. Cells may have any size: :func:`nearest` cuts them into blocks. What the driver holds has ``pivots`` times ``rings`` rows.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    if pivots is None:
+        pivots = min(PIVOTS, 1 + base.count() // ROWS_PER_PIVOT)
+    chosen = _choose_pivots(base, key, vector, pivots, rings)
+    if chosen is None:
+        return nearest(queries, base, key, vector, k, exclude=exclude), queries.select(
+            F.col(key).alias("id"), F.lit(0).alias("cell"), F.lit(0).alias("rows")).limit(0)
+    b = materialize(_in_cells(_side(base, key, vector, None, exclude), *chosen), "cells")
+    q = b if queries is base else materialize(_in_cells(_side(queries, key, vector, None, exclude), *chosen), "cells")
+    skip = None if not exclude else ("id" if exclude == key else "skip")
+    spans = b.select("cell", F.posexplode("far").alias("p", "d")).groupBy("cell", "p").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.count("*").alias("n"))
+    found = spans.collect()  # cells x pivots rows
+    cells = sorted({r["cell"] for r in found})
+    place = {c: i for i, c in enumerate(cells)}
+    lo, hi, rows = np.zeros((len(cells), len(chosen[0]))), np.zeros((len(cells), len(chosen[0]))), np.zeros(len(cells), "int64")
+    for r in found:
+        lo[place[r["cell"]], r["p"]], hi[place[r["cell"]], r["p"]], rows[place[r["cell"]]] = r["lo"], r["hi"], r["n"]
+    numbers = np.array(cells, "int64")
+
+    first = materialize(nearest(q, b, "id", "vec", k, exclude=skip, cell="cell", block_rows=block_rows), "neighbours")
+    reach = first.groupBy(F.col("id").alias("__id")).agg(F.when(F.count("*") >= k, F.max("distance")).alias("reach"))
+
+    def visits(batches):
+        for batch in batches:
+            far = np.array(batch.column("far").to_pylist(), dtype="float64").reshape(batch.num_rows, -1)
+            own = batch.column("cell").to_numpy()
+            kth = batch.column("reach").to_numpy(zero_copy_only=False).astype("float64")
+            kth = np.where(np.isnan(kth), np.inf, kth * (1 + 1e-9) + 1e-12)  # room for rounding
+            least = np.zeros((len(own), len(numbers)))
+            for p in range(far.shape[1]):
+                np.maximum(least, lo[None, :, p] - far[:, p:p + 1], out=least)
+                np.maximum(least, far[:, p:p + 1] - hi[None, :, p], out=least)
+            # the bounds carry rounding errors of the size of the distances
+            at, cell = np.nonzero((least <= kth[:, None] + 1e-9 * far.max(1, initial=0)[:, None]) & (numbers[None, :] != own[:, None]))
+            for i in range(0, len(at), 20_000):
+                part = pa.array(at[i:i + 20_000])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).take(part) for c in ("id", "vec", "skip")] + [pa.array(numbers[cell[i:i + 20_000]]), pa.array(rows[cell[i:i + 20_000]])],
+                    names=["id", "vec", "skip", "cell", "rows"])
+
+    more = q.join(reach, F.col("id") == F.col("__id"), "left").select("id", "vec", "skip", "cell", "far", "reach").mapInArrow(
+        visits, "id long, vec array<double>, skip long, cell long, rows long")
+    more = materialize(more, "visits")
+    second = nearest(more, b, "id", "vec", k, exclude=skip, cell="cell", block_rows=block_rows)
+    w = Window.partitionBy("id").orderBy("distance", "neighbour")
+    best = first.drop("rank").unionByName(second.drop("rank")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    sizes = b.groupBy("cell").agg(F.count("*").alias("rows"))
+    seen = more.select("id", "cell", "rows").unionByName(q.join(sizes, "cell").select("id", "cell", "rows"))
+    return best.select(F.col("id").alias(key), "neighbour", "rank", "distance"), seen
+
+
+def pivot_nearest(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, *, exclude: str | None = None) -> DataFrame:
+    """:func:`nearest`, by :func:`pivot_search`."""
+    return pivot_search(queries, base, key, vector, k, exclude=exclude)[0]
+
+
 # features over neighbour lists -------------------------------------------------------------
 
 
