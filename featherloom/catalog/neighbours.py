@@ -139,27 +139,17 @@ def _(t):
     return d.select("vec_id", *[rnd(c).alias(c) for c in d.columns[1:]])
 
 
-PROB = "probs AS (SELECT vec_id, abs(embedding[1]::DOUBLE) AS m1, abs(embedding[2]::DOUBLE) AS m2, abs(embedding[3]::DOUBLE) AS m3, [abs(embedding[1]::DOUBLE), abs(embedding[2]::DOUBLE), abs(embedding[3]::DOUBLE)] AS embedding FROM embeddings)"
-
-
-@book.add("k12_probability_stats", f"""WITH {PROB}, {emb_nn(5, NOT_SELF, src='probs')},
-l AS (SELECT a, unnest([m1, m2, m3]) AS p, -(m1/(m1+m2+m3)*ln(m1/(m1+m2+m3)) + m2/(m1+m2+m3)*ln(m2/(m1+m2+m3)) + m3/(m1+m2+m3)*ln(m3/(m1+m2+m3))) AS e FROM nn JOIN probs ON vec_id = b)
-SELECT a AS vec_id, round(avg(p), 6) AS p_mean, round(stddev_pop(p), 6) AS p_std, round(min(p), 6) AS p_min, round(max(p), 6) AS p_max, round(median(p), 6) AS p_median, round(avg(e), 6) AS p_entropy FROM l GROUP BY 1""")
-def _(t):
-    e = F.col("embedding").cast("array<double>")
-    p = t.embeddings.select("vec_id", *[F.abs(F.get(e, F.lit(i))).alias(f"m{i + 1}") for i in range(3)]).withColumn("embedding", F.array("m1", "m2", "m3"))
-    nn = knn.nearest(p, p, "vec_id", "embedding", 5, exclude="vec_id")
-    d = knn.probability_stats(nn, p, "vec_id", ["m1", "m2", "m3"])
-    return d.select("vec_id", *[rnd(c).alias(c) for c in d.columns[1:]])
-
-
 ABS = "probs AS (SELECT vec_id, list_transform(embedding, lambda x: abs(x::DOUBLE)) AS embedding FROM embeddings)"
 
 
-@book.add("k12_probability_stats_all", f"""WITH {ABS}, {emb_nn(5, NOT_SELF, src='probs')}, h AS (SELECT vec_id, embedding, list_sum(embedding) AS total FROM probs),
+PROBABILITY_STATS = f"""WITH {ABS}, {emb_nn(5, NOT_SELF, src='probs')}, h AS (SELECT vec_id, embedding, list_sum(embedding) AS total FROM probs),
 u AS (SELECT vec_id, embedding, -list_sum(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN x / total * ln(x / total) ELSE 0 END)) AS e FROM h),
 l AS (SELECT a, unnest(embedding) AS p, e FROM nn JOIN u ON vec_id = b)
-SELECT a AS vec_id, round(avg(p), 6) AS p_mean, round(stddev_pop(p), 6) AS p_std, round(min(p), 6) AS p_min, round(max(p), 6) AS p_max, round(median(p), 6) AS p_median, round(avg(e), 6) AS p_entropy FROM l GROUP BY 1""")
+SELECT a AS vec_id, round(avg(p), 6) AS p_mean, round(stddev_pop(p), 6) AS p_std, round(min(p), 6) AS p_min, round(max(p), 6) AS p_max, round(median(p), 6) AS p_median, round(avg(e), 6) AS p_entropy FROM l GROUP BY 1"""
+
+
+@book.add("k12_probability_stats", PROBABILITY_STATS)
+@book.add("k12_probability_stats_all", PROBABILITY_STATS)
 def _(t):
     dims = t.embeddings.agg(F.max(F.size("embedding")).alias("n")).first()["n"] or 1
     names = [f"m{i + 1}" for i in range(dims)]

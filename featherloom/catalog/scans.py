@@ -60,7 +60,7 @@ def _(t):
 
 
 @book.add("s07_vector_log", """
-SELECT label AS arm, count(*) AS n, round(avg(embedding[1]::DOUBLE), 6) AS mean_f1, round(avg(vec_id % 2), 6) AS mean_reward,
+SELECT label AS arm, count(*) AS n, round(avg(list_sum(list_transform(embedding, lambda x: x::DOUBLE))), 6) AS mean_sum, round(avg(vec_id % 2), 6) AS mean_reward,
        CAST(max(len(embedding)) AS INT) AS dims
 FROM embeddings GROUP BY 1""")
 def _(t):
@@ -70,7 +70,7 @@ def _(t):
     t.embeddings.select(line).write.text(path)
     log = files.read_vector_log(t.spark, path)
     return log.groupBy("arm").agg(
-        F.count("*").alias("n"), rnd(F.avg(F.col("features")[0])).alias("mean_f1"),
+        F.count("*").alias("n"), rnd(F.avg(F.aggregate("features", F.lit(0.0), lambda a, x: a + x))).alias("mean_sum"),
         rnd(F.avg("reward")).alias("mean_reward"), F.max(F.size("features")).alias("dims"))
 
 

@@ -104,8 +104,9 @@ def _(t):
 
 
 @book.add("st6_sliding_counts", """
-WITH e AS (SELECT user_id, unnest(generate_series(date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 10 DAY, INTERVAL 1 DAY)) AS stop FROM events)
+WITH e AS (SELECT user_id, unnest(generate_series(date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS stop FROM events)
 SELECT strftime(stop, '%Y-%m-%d') AS stop, user_id, count(*) AS n FROM e GROUP BY 1, 2""")
 def _(t):
-    d = _latest(t, jobs.sliding_counts(_events(t), "user_id", "ts", "10 days", "1 day"), "sliding_out", ["end", "user_id"])
+    panes = _latest(t, jobs.daily_counts(_events(t), "user_id", "ts"), "panes_out", ["day", "user_id"])
+    d = jobs.sliding_from_panes(panes, "user_id", 30)
     return d.select(F.date_format("end", "yyyy-MM-dd").alias("stop"), "user_id", "n")

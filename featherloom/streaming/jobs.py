@@ -91,10 +91,19 @@ def last_seen(events: DataFrame, key: str, ts: str, late: str = "10 minutes") ->
         F.col("w.start").alias("day"), key, "last_seen")
 
 
-def sliding_counts(events: DataFrame, key: str, ts: str, length: str, step: str, late: str = "1 day") -> DataFrame:
-    """Activity counts per key over sliding windows."""
-    return events.withWatermark(ts, late).groupBy(F.window(ts, length, step).alias("w"), key).agg(F.count("*").alias("n")).select(
-        F.col("w.end").alias("end"), key, "n")
+def daily_counts(events: DataFrame, key: str, ts: str, late: str = "1 day") -> DataFrame:
+    """Events per key and day: the panes of :func:`sliding_from_panes`. An event touches the state of one pane."""
+    return events.withWatermark(ts, late).groupBy(F.window(ts, "1 day").alias("w"), key).agg(F.count("*").alias("n")).select(
+        F.col("w.start").alias("day"), key, "n")
+
+
+def sliding_from_panes(panes: DataFrame, key: str, days: int) -> DataFrame:
+    """Counts per key over windows of ``days`` days, one starting each day, from daily panes (day, key, n).
+
+    A pane is part of ``days`` windows, so panes are copied that often, events never. Windows that are still open count what has come so far.
+    """
+    ends = F.explode(F.transform(F.sequence(F.lit(1), F.lit(days)), lambda i: F.col("day") + F.make_dt_interval(i)))
+    return panes.select(key, "n", ends.alias("end")).groupBy("end", key).agg(F.sum("n").alias("n"))
 
 
 def _gap_rows(rows: DataFrame, key: str, event_id: str) -> DataFrame:

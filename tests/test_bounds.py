@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featherloom.operators import knn, quantiles
+from featherloom.streaming import jobs
 
 SHARES = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
 
@@ -78,3 +79,17 @@ def test_pivot_search_is_exact(spark, name, x):
 def test_pivot_search_of_empty_tables(spark):
     none = spark.createDataFrame([], "id long, vec array<double>")
     assert knn.pivot_nearest(none, none, "id", "vec", 3).count() == 0
+
+
+def test_sliding_counts_from_panes(spark):
+    """30-day windows from daily panes equal windows over the events."""
+    rnd = random.Random(4)
+    day = np.datetime64("2024-01-01")
+    rows = [(rnd.randrange(3), int(d), rnd.randrange(1, 5)) for d in sorted(rnd.sample(range(90), 40))]
+    df = spark.createDataFrame([(str(day + d), u, n) for u, d, n in rows], "day string, user_id long, n long").withColumn("day", F.col("day").cast("timestamp"))
+    got = {(r["end"].date().isoformat(), r["user_id"]): r["n"] for r in jobs.sliding_from_panes(df, "user_id", 30).collect()}
+    want = {}
+    for u, d, n in rows:
+        for i in range(1, 31):
+            want[str(day + d + i), u] = want.get((str(day + d + i), u), 0) + n
+    assert got == want
