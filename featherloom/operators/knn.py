@@ -109,6 +109,7 @@ def nearest(
 # exact search that skips far blocks ----------------------------------------------------------
 
 PIVOTS, RINGS, PIVOT_SAMPLE = 64, 4, 2048
+ALL = -1  # in place of a cell: the whole base
 ROWS_PER_PIVOT = 4096  # small tables get fewer pivots, as every cell that is visited costs a copy of the query
 
 
@@ -162,7 +163,8 @@ def pivot_search(
     Cells are rings around pivots. Each cell knows its smallest and largest distance to every pivot. A query first meets its own cell,
     which bounds its k-th distance from above. By the triangle inequality the difference of the distances to a pivot bounds every distance
     to a cell from below, so only cells whose bound does not exceed the k-th distance are visited. A query whose own cell has too few rows
-    visits all. Cells may have any size: :func:`nearest` cuts them into blocks. What the driver holds has ``pivots`` times ``rings`` rows.
+    visits all. A query that must visit cells with over half of all rows is compared with the whole base instead, which takes one copy of it
+    per block and not one per cell. Cells may have any size: :func:`nearest` cuts them into blocks. What the driver holds has ``pivots`` times ``rings`` rows.
     """
     import numpy as np
     import pyarrow as pa
@@ -199,19 +201,24 @@ def pivot_search(
                 np.maximum(least, lo[None, :, p] - far[:, p:p + 1], out=least)
                 np.maximum(least, far[:, p:p + 1] - hi[None, :, p], out=least)
             # the bounds carry rounding errors of the size of the distances
-            at, cell = np.nonzero((least <= kth[:, None] + 1e-9 * far.max(1, initial=0)[:, None]) & (numbers[None, :] != own[:, None]))
+            met = (least <= kth[:, None] + 1e-9 * far.max(1, initial=0)[:, None]) & (numbers[None, :] != own[:, None])
+            wide = 2 * (met @ rows) > rows.sum()
+            at, cell = np.nonzero(met & ~wide[:, None])
+            at, cell, count = np.r_[at, np.flatnonzero(wide)], np.r_[numbers[cell], np.full(wide.sum(), ALL)], np.r_[rows[cell], np.full(wide.sum(), rows.sum())]
             for i in range(0, len(at), 20_000):
                 part = pa.array(at[i:i + 20_000])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(part) for c in ("id", "vec", "skip")] + [pa.array(numbers[cell[i:i + 20_000]]), pa.array(rows[cell[i:i + 20_000]])],
+                    [batch.column(c).take(part) for c in ("id", "vec", "skip")] + [pa.array(cell[i:i + 20_000]), pa.array(count[i:i + 20_000])],
                     names=["id", "vec", "skip", "cell", "rows"])
 
     more = q.join(reach, F.col("id") == F.col("__id"), "left").select("id", "vec", "skip", "cell", "far", "reach").mapInArrow(
         visits, "id long, vec array<double>, skip long, cell long, rows long")
     more = materialize(more, "visits")
-    second = nearest(more, b, "id", "vec", k, exclude=skip, cell="cell", block_rows=block_rows)
+    wide = more.where(F.col("cell") == ALL).drop("cell")
+    second = nearest(more.where(F.col("cell") != ALL), b, "id", "vec", k, exclude=skip, cell="cell", block_rows=block_rows)
+    whole = nearest(wide, b, "id", "vec", k, exclude=skip, block_rows=block_rows)
     w = Window.partitionBy("id").orderBy("distance", "neighbour")
-    best = first.drop("rank").unionByName(second.drop("rank")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    best = first.join(wide.select("id"), "id", "left_anti").drop("rank").unionByName(second.drop("rank")).unionByName(whole.drop("rank")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     sizes = b.groupBy("cell").agg(F.count("*").alias("rows"))
     seen = more.select("id", "cell", "rows").unionByName(q.join(sizes, "cell").select("id", "cell", "rows"))
     return best.select(F.col("id").alias(key), "neighbour", "rank", "distance"), seen
