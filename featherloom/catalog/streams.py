@@ -103,6 +103,15 @@ def _(t):
     return d.withColumn("gap_seconds", rnd("gap_seconds"))
 
 
+@book.add("st5_pane_gaps", """
+SELECT user_id, event_id, round((epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) / 1e6, 6) AS gap_seconds FROM events""")
+def _(t):
+    path = scratch_path(t.spark, "pane_gaps_out")
+    jobs.run_pane_gaps(_events(t), path, f"{path}-progress", "user_id", "ts", "event_id")
+    d = jobs.pane_gaps_now(t.spark, path, f"{path}-progress", "user_id", "event_id")
+    return d.withColumn("gap_seconds", rnd("gap_seconds"))
+
+
 @book.add("st6_sliding_counts", """
 WITH e AS (SELECT user_id, unnest(generate_series(date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS stop FROM events)
 SELECT strftime(stop, '%Y-%m-%d') AS stop, user_id, count(*) AS n FROM e GROUP BY 1, 2""")

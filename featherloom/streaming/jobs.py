@@ -4,10 +4,13 @@ driver continues where the job stopped."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from featherloom.functions.strings import int_between
 from featherloom.operators.filters import drop_header_lines
@@ -142,3 +145,93 @@ def event_gaps_now(spark: SparkSession, path: str, key: str, event_id: str) -> D
     states = spark.read.parquet(f"{path}/state")
     waiting = states.where(F.col("batch") == states.agg(F.max("batch")).scalar()).drop("batch")
     return gaps.drop("batch").unionByName(_gap_rows(waiting, key, event_id))
+
+
+# keyed state with timers -------------------------------------------------------------------
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+_GAP = Row("key", "pane", "id", "us", "gap_seconds", "head", "late")
+
+
+class PaneGaps(StatefulProcessor):
+    """Holds a key's events of one pane until the watermark has passed the pane's end, then gives them out with their gaps.
+
+    Events come as (key, pane, id, us); the first event of a pane has no gap yet (``head``), as the event before lies in another pane.
+    """
+
+    def __init__(self, waiting: T.StructType, pane_us: int):
+        self.schema, self.pane_us = waiting, pane_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        pane = key[1]
+        end_ms = None if pane is None else -(-(pane + 1) * self.pane_us // 1000)
+        if end_ms is None or end_ms <= timerValues.getCurrentWatermarkInMs():
+            for r in rows:
+                yield _GAP(key[0], pane, r[2], r[3], None, False, True)
+            return
+        self.waiting.appendList([(r[3], r[2]) for r in rows])
+        self.handle.registerTimer(end_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        before = None
+        for us, i in sorted((r[0], r[1]) for r in self.waiting.get()):
+            yield _GAP(key[0], key[1], i, us, None if before is None else (us - before) / 1e6, before is None, False)
+            before = us
+        self.waiting.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def run_pane_gaps(events: DataFrame, path: str, progress: str, key: str, ts: str, event_id: str, late_seconds: int = 600,
+                  pane_seconds: int = 86400) -> None:
+    """Seconds from a key's previous event to each event, with keyed state and timers instead of rewritten state files.
+
+    State is kept per (key, pane of ``pane_seconds``) in the state store and dropped when the pane's timer fires, so a batch touches the panes
+    its events fall into and nothing else, and a hot key is spread over its panes. Take panes short enough for one key's events of one pane
+    to fit a task. An event that comes after its pane was given out, or that has no time, gets no gap and is no other event's predecessor
+    (``late``). Read the result with :func:`pane_gaps_now`.
+    """
+    spark, fields = events.sparkSession, events.schema
+    pane_us = pane_seconds * 1_000_000
+    us = F.unix_micros(ts)
+    # the time column itself stays behind: with it Spark would drop late rows before the processor sees them
+    rows = events.withWatermark(ts, f"{late_seconds} seconds").select(
+        F.col(key).alias("key"), F.floor(us / F.lit(pane_us)).alias("pane"), F.col(event_id).alias("id"), us.alias("us"))
+    waiting = T.StructType([T.StructField("us", T.LongType()), T.StructField("id", fields[event_id].dataType)])
+    out = T.StructType([T.StructField("key", fields[key].dataType), T.StructField("pane", T.LongType()), T.StructField("id", fields[event_id].dataType),
+                        T.StructField("us", T.LongType()), T.StructField("gap_seconds", T.DoubleType()), T.StructField("head", T.BooleanType()),
+                        T.StructField("late", T.BooleanType())])
+    old = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, _ROCKS)
+    try:
+        run_to_files(rows.groupBy("key", "pane").transformWithState(PaneGaps(waiting, pane_us), out, "Append", "EventTime"), path, progress)
+    finally:
+        spark.conf.set(_STORE, old)
+
+
+def pane_gaps_now(spark: SparkSession, path: str, progress: str, key: str, event_id: str) -> DataFrame:
+    """All gaps as of now: those of closed panes, and of events that still wait in the state store.
+
+    The first event of each pane is linked to the last one of the key's pane before; that pass handles one row per (key, pane).
+    """
+    given = spark.read.parquet(path)
+    held = spark.read.format("statestore").option("stateVarName", "waiting").load(progress)
+    held = held.select("key.key", "key.pane", "list_element.id", "list_element.us")
+    w = Window.partitionBy("key", "pane").orderBy("us", "id")
+    held = held.withColumn("__us", F.lag("us").over(w)).select(
+        "key", "pane", "id", "us", ((F.col("us") - F.col("__us")) / 1e6).alias("gap_seconds"), F.col("__us").isNull().alias("head"), F.lit(False).alias("late"))
+    rows = given.unionByName(held)
+    ends = rows.where(~F.col("late")).groupBy("key", "pane").agg(
+        F.min_by("id", F.struct("us", "id")).alias("id"), F.min("us").alias("us"), F.max("us").alias("last"))
+    heads = previous(ends, ["key"], ["pane"], {"__us": F.col("last")})
+    heads = heads.select("key", "id", ((F.col("us") - F.col("__us")) / 1e6).alias("gap_seconds"))
+    rest = rows.where(~F.col("head")).select("key", "id", "gap_seconds")
+    return rest.unionByName(heads).withColumnsRenamed({"key": key, "id": event_id})

@@ -46,6 +46,33 @@ def test_open_windows_are_kept_over_runs(spark, feed):
     assert got == max(r[2] for r in rows)
 
 
+def test_pane_gaps_hold_open_panes_and_flag_late_events(spark, feed):
+    """Three runs over hourly panes; the state store keeps only open panes, and what comes after its pane is given out has no gap."""
+    add, rows = feed
+    out = scratch_path(spark, "out")
+    waiting = []
+    for new in (minutes(0, 10, 30, 25, 70), minutes(65, 62, 190, start=10) + minutes(150, 155, start=20, key=2), minutes(5, 200, 400, start=30)):
+        jobs.run_pane_gaps(add(new), out, f"{out}-progress", "k", "ts", "id", late_seconds=600, pane_seconds=3600)
+        state = spark.read.format("statestore").option("stateVarName", "waiting").load(f"{out}-progress")
+        waiting.append({r["id"] for r in state.select("list_element.id").collect()})
+    got = {r["id"]: r["gap_seconds"] for r in jobs.pane_gaps_now(spark, out, f"{out}-progress", "k", "id").collect()}
+    late = {30}  # minute 5 comes when the watermark stands at minute 180
+    want = dict.fromkeys(late)
+    for key in (1, 2):
+        at = sorted((us, i) for i, k, us in rows if k == key and i not in late)
+        want |= {i: None if n == 0 else (us - at[n - 1][0]) / 1e6 for n, (us, i) in enumerate(at)}
+    assert got == want and len(got) == len(rows)
+    assert waiting == [{4}, {12}, {32}]
+
+
+def test_pane_gaps_without_events_or_times(spark, feed):
+    add, _ = feed
+    out = scratch_path(spark, "out")
+    jobs.run_pane_gaps(add([(1, 1, None), (2, None, 60_000_000), (3, None, 90_000_000)]), out, f"{out}-progress", "k", "ts", "id")
+    got = {r["id"]: (r["k"], r["gap_seconds"]) for r in jobs.pane_gaps_now(spark, out, f"{out}-progress", "k", "id").collect()}
+    assert got == {1: (1, None), 2: (None, None), 3: (None, 30.0)}
+
+
 def test_gaps_across_runs_put_late_events_in_order(spark, feed):
     add, rows = feed
     out = scratch_path(spark, "out")
