@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from featherloom.catalog.base import SCORED, Book, rnd, uniform_sql
 from featherloom.catalog.neighbours import emb_nn
-from featherloom.operators import metrics, splits
+from featherloom.operators import metrics, spectral, splits, textspace
 from featherloom.operators import models as ml
 from featherloom.session import materialize
 
@@ -55,9 +55,32 @@ def _(t):
     return out.groupBy("lang").agg(F.count("*").alias("words"), F.avg((F.col("label_index") == F.col("prediction")).cast("int")).alias("recall"))
 
 
+# fixed values: words left out of the text vectors
+STOP = "a an and are as at be but by for from has have he her his i if in into is it its no not of on or our she so such that the their them then there these they this to was we were which who will with you your".split()
+
+
 @book.add("m04_text_mixture_clusters")
 def _(t):
-    return ml.text_clusters(t.documents.select("doc_id", "text"), "text", 4).select("doc_id", "cluster", "cluster_probability")
+    return ml.text_clusters(t.documents, "doc_id", "text", 4, STOP)
+
+
+@book.add("m04_text_components")
+def _(t):
+    _, found = textspace.text_components(t.documents, "doc_id", "text", 2, STOP)
+    rows = [(i, float(x), len(found.mean)) for i, x in enumerate(found.singular)]
+    return t.spark.createDataFrame(rows, "component int, singular_value double, terms int").withColumn("singular_value", rnd("singular_value"))
+
+
+@book.add("m04_vocabulary", f"""
+WITH w AS (SELECT list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda x: x NOT IN ({", ".join(f"'{x}'" for x in STOP)})) AS w FROM documents),
+g AS (SELECT list_concat(w, list_transform(list_zip(w[1:-2], w[2:]), lambda p: p[1] || ' ' || p[2])) AS g FROM w),
+n AS (SELECT term, count(*) AS n FROM (SELECT unnest(g) AS term FROM g) GROUP BY 1),
+d AS (SELECT term, count(*) AS docs FROM (SELECT unnest(list_distinct(g)) AS term FROM g) GROUP BY 1)
+SELECT term, n, docs, round(ln((1 + (SELECT count(*) FROM documents)) / (1 + docs)) + 1, 6) AS idf FROM n JOIN d USING (term) ORDER BY n DESC, term LIMIT 10000""")
+def _(t):
+    grams = t.documents.select(textspace.word_grams(F.col("text"), STOP).alias("grams"))
+    rows = t.documents.agg(F.count("*")).scalar()
+    return textspace.vocabulary(grams, "grams").withColumn("idf", rnd(F.log((1 + rows) / (1 + F.col("docs"))) + 1))
 
 
 @book.add("m05_graph_clusters")
@@ -65,6 +88,12 @@ def _(t):
     return ml.graph_clusters(t.embeddings, "vec_id", "embedding", 4)
 
 
+@book.add("m05_graph_eigenvalues")
+def _(t):
+    _, values = spectral.leading_eigenvectors(ml.neighbour_graph(t.embeddings, "vec_id", "embedding"), 4)
+    return t.spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "component int, eigenvalue double").withColumn("eigenvalue", rnd("eigenvalue"))
+
+
 @book.add("m06_principal_components")
 def _(t):
     d = ml.principal_components(texts(t), COLS, 2)

@@ -8,16 +8,15 @@ from random import Random
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import GaussianMixture, KMeans, PowerIterationClustering
-from pyspark.ml.feature import IDF, PCA, HashingTF, Imputer, NGram, RegexTokenizer, StandardScaler, StopWordsRemover, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.feature import IDF, PCA, HashingTF, Imputer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featherloom.functions.numbers import ratio
-from featherloom.operators import knn
-
+from featherloom.operators import knn, spectral, textspace
 from featherloom.operators.ordered import running
 from featherloom.operators.splits import hash_uniform, poisson_count
 from featherloom.operators.stats import with_stats
@@ -79,28 +78,29 @@ def word_classifier(label: str, features: int = 1 << 14) -> Pipeline:
 # text clusters ---------------------------------------------------------------------------
 
 
-def text_clusters(df: DataFrame, text: str, clusters: int, features: int = 256, seed: int = 1) -> DataFrame:
-    """Word 1-2-gram TF-IDF, two principal components, Gaussian mixture cluster and its probability.
+def text_clusters(df: DataFrame, key: str, text: str, clusters: int, stop_words: list[str], terms: int = 10_000, seed: int = 1) -> DataFrame:
+    """Word 1-2-gram TF-IDF over the ``terms`` most frequent grams, two principal components, Gaussian mixture cluster and its probability."""
+    rows, _ = textspace.text_components(df, key, text, 2, stop_words, terms)
+    rows = materialize(rows.withColumn("__p", array_to_vector("components")), "components")
+    out = GaussianMixture(featuresCol="__p", k=clusters, seed=seed, maxIter=20, predictionCol="cluster").fit(rows).transform(rows)
+    return out.select(key, "cluster", F.array_max(vector_to_array("probability")).alias("cluster_probability"))
 
-    The component analysis keeps a ``features`` x ``features`` matrix, which bounds its size.
-    """
-    words = RegexTokenizer(inputCol=text, outputCol="w1", pattern=r"\W+")
-    plain = StopWordsRemover(inputCol="w1", outputCol="w2")
-    pairs = NGram(n=2, inputCol="w2", outputCol="w3")
-    tokens = Pipeline(stages=[words, plain, pairs]).fit(df).transform(df).withColumn("tokens", F.concat("w2", "w3")).drop("w1", "w2", "w3")
-    stages = [HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="tfidf"),
-              PCA(k=2, inputCol="tfidf", outputCol="pca"), GaussianMixture(featuresCol="pca", k=clusters, seed=seed, maxIter=20, predictionCol="cluster")]
-    out = Pipeline(stages=stages).fit(tokens).transform(tokens)
-    return out.withColumn("cluster_probability", F.array_max(vector_to_array("probability"))).drop("tokens", "tf", "tfidf", "pca", "probability")
-
-
-def graph_clusters(df: DataFrame, key: str, vector: str, clusters: int, k: int = 5) -> DataFrame:
-    """Power iteration clustering of the k-nearest-neighbour graph."""
+
+def neighbour_graph(df: DataFrame, key: str, vector: str, k: int = 5) -> DataFrame:
+    """Undirected edges (src, dst, weight) to the k nearest neighbours; nearer ones weigh more."""
     nn = knn.nearest(df, df, key, vector, k, exclude=key)
-    edges = nn.select(F.least(key, "neighbour").alias("src"), F.greatest(key, "neighbour").alias("dst"),
-                      (1 / (1 + F.col("distance"))).alias("weight")).groupBy("src", "dst").agg(F.max("weight").alias("weight"))
-    pic = PowerIterationClustering(k=clusters, maxIter=10, srcCol="src", dstCol="dst", weightCol="weight")
-    return pic.assignClusters(edges).select(F.col("id").alias(key), "cluster")
+    return nn.select(F.least(key, "neighbour").alias("src"), F.greatest(key, "neighbour").alias("dst"),
+                     (1 / (1 + F.col("distance"))).alias("weight")).groupBy("src", "dst").agg(F.max("weight").alias("weight"))
+
+
+def graph_clusters(df: DataFrame, key: str, vector: str, clusters: int, k: int = 5, seed: int = 1) -> DataFrame:
+    """Spectral clusters of the k-nearest-neighbour graph: k-means over the leading eigenvectors of the normalised graph, scaled by degree."""
+    rows, values = spectral.leading_eigenvectors(neighbour_graph(df, key, vector, k), clusters)
+    if len(values) == 0:
+        return rows.select(F.col("id").alias(key), F.lit(None).cast("int").alias("cluster"))
+    rows = materialize(rows.select("id", array_to_vector(F.transform("vector", lambda v: v / F.sqrt("degree"))).alias("__v")), "spectral")
+    model = KMeans(featuresCol="__v", predictionCol="cluster", k=clusters, seed=seed, maxIter=30).fit(rows)
+    return model.transform(rows).select(F.col("id").alias(key), "cluster")
 
 
 def principal_components(df: DataFrame, cols: list[str], k: int, prefix: str = "pca") -> DataFrame:
