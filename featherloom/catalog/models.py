@@ -78,9 +78,8 @@ n AS (SELECT term, count(*) AS n FROM (SELECT unnest(g) AS term FROM g) GROUP BY
 d AS (SELECT term, count(*) AS docs FROM (SELECT unnest(list_distinct(g)) AS term FROM g) GROUP BY 1)
 SELECT term, n, docs, round(ln((1 + (SELECT count(*) FROM documents)) / (1 + docs)) + 1, 6) AS idf FROM n JOIN d USING (term) ORDER BY n DESC, term LIMIT 10000""")
 def _(t):
-    grams = t.documents.select(textspace.word_grams(F.col("text"), STOP).alias("grams"))
     rows = t.documents.agg(F.count("*")).scalar()
-    return textspace.vocabulary(grams, "grams").withColumn("idf", rnd(F.log((1 + rows) / (1 + F.col("docs"))) + 1))
+    return textspace.vocabulary(t.documents, "text", STOP).withColumn("idf", rnd(F.log((1 + rows) / (1 + F.col("docs"))) + 1))
 
 
 @book.add("m05_graph_clusters")
