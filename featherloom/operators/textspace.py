@@ -6,14 +6,15 @@ of them. Both are bounded by parameters, not by the rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import Broadcast
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -22,11 +23,12 @@ from pyspark.sql import functions as F
 
 from featherloom.session import materialize
 
-WORD = regex.compile(r"[\p{L}\p{N}_]{2,}")
+WORD = re.compile(r"\w{2,}")
 _SLICE = 1 << 20  # entries multiplied at once
 _BLOCK = 1000  # terms in one row of partial sums
 _BUCKETS = 1 << 20  # hashed counts that bound every gram's count from above
 _HELD = 1 << 17  # grams counted in a task's memory at a time
+_LIKELY = 4  # candidates for each term of the vocabulary: the more, the closer the bound
 
 
 def _words(b: pa.RecordBatch, stop: frozenset[str]) -> Iterator[list[str]]:
@@ -48,7 +50,7 @@ class _Known:
 
     def find(self, words: list[str]) -> np.ndarray:
         """The number of every known gram that occurs, once per occurrence."""
-        ids = np.array([self.ids.get(w, -1) for w in words], dtype=np.int64)
+        ids = np.array(list(map(self.ids.get, words, repeat(-1))), dtype=np.int64)
         a, b = ids[:-1], ids[1:]
         keys = np.concatenate([ids[ids >= 0], ((a + 1) * len(self.ids) + b)[(a >= 0) & (b >= 0)]])
         at = np.searchsorted(self.keys, keys)
@@ -56,21 +58,21 @@ class _Known:
         return self.order[at[self.keys[at] == keys]]
 
 
-class _Buckets:
-    """Bucket numbers of words and of pairs."""
+class _Digests(dict):
+    """A number for every word, kept for the words a task meets again."""
 
-    def __init__(self) -> None:
-        self.seen: dict[str, int] = {}
+    def __missing__(self, word: str) -> int:
+        if len(self) > _HELD:
+            self.clear()
+        self[word] = number = zlib.crc32(word.encode())
+        return number
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.seen) > _HELD:
-            self.seen = {}
-        for w in words:
-            if w not in self.seen:
-                self.seen[w] = zlib.crc32(w.encode())
-        h = np.array([self.seen[w] for w in words], dtype=np.uint64)
-        pairs = h[:-1] * np.uint64(0x9E3779B1) + h[1:]
-        return (h % np.uint64(_BUCKETS)).astype(np.int64), ((pairs ^ (pairs >> np.uint64(29))) % np.uint64(_BUCKETS)).astype(np.int64)
+
+def _buckets(words: list[str], digests: _Digests) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket numbers of the words and of the pairs."""
+    h = np.array(list(map(digests.__getitem__, words)), dtype=np.uint64)
+    pairs = h[:-1] * np.uint64(0x9E3779B1) + h[1:]
+    return (h % np.uint64(_BUCKETS)).astype(np.int64), ((pairs ^ (pairs >> np.uint64(29))) % np.uint64(_BUCKETS)).astype(np.int64)
 
 
 def _prepared(df: DataFrame, text: str, *others: str) -> DataFrame:
@@ -113,19 +115,26 @@ def vocabulary(df: DataFrame, text: str, stop_words: list[str], terms: int = 10_
     """
     stop, texts = frozenset(stop_words), _prepared(df, text)
     context = df.sparkSession.sparkContext
-    likely = _candidates(texts, stop, terms)
+    likely = _candidates(texts, stop, _LIKELY * terms)
     shared = context.broadcast(_Known(likely) if likely else None)
     size = len(likely)
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, known, buckets = np.zeros(size + _BUCKETS), shared.value, _Buckets()
+        total, known, digests, met, n = np.zeros(size + _BUCKETS), shared.value, _Digests(), [], 0
+
+        def add() -> None:
+            total[:] += np.bincount(np.concatenate(met), minlength=len(total))
+            met.clear()
+
         for b in batches:
             for w in _words(b, stop):
-                if w:
-                    if known:
-                        np.add.at(total, known.find(w), 1)
-                    for h in buckets.of(w):
-                        np.add.at(total, size + h, 1)
+                met += [known.find(w), *[size + h for h in _buckets(w, digests)]] if known else []
+                n += len(w)
+                if n > _SLICE:
+                    add()
+                    n = 0
+        if met:
+            add()
         yield _blocks(total, 1 << 16)
 
     total = _block_sums(texts.mapInArrow(bounds, "block int, part array<double>"), size + _BUCKETS)
@@ -133,7 +142,7 @@ def vocabulary(df: DataFrame, text: str, stop_words: list[str], terms: int = 10_
     open_buckets = context.broadcast(np.packbits(total[size:] >= max(least, 1)))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep, buckets = np.unpackbits(open_buckets.value).astype(bool), _Buckets()
+        keep, digests = np.unpackbits(open_buckets.value).astype(bool), _Digests()
         n: dict[str, list[int]] = {}
 
         def rows() -> pa.RecordBatch:
@@ -144,7 +153,7 @@ def vocabulary(df: DataFrame, text: str, stop_words: list[str], terms: int = 10_
 
         for b in batches:
             for w in _words(b, stop):
-                one, two = buckets.of(w)
+                one, two = _buckets(w, digests)
                 grams = Counter([w[i] for i in np.flatnonzero(keep[one])])
                 grams.update([f"{w[i]} {w[i + 1]}" for i in np.flatnonzero(keep[two])])
                 for g, c in grams.items():
