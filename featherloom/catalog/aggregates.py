@@ -10,6 +10,7 @@ from featherloom.operators import aggregates as ag
 from featherloom.operators import categories as cat
 from featherloom.operators.ordered import group_quantiles
 from featherloom.operators.stats import join_groups, with_stats
+from featherloom.session import materialize
 
 book = Book()
 D2 = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
@@ -38,6 +39,22 @@ def _(t):
         F.countDistinct("l_suppkey").alias("suppliers"), F.countDistinct("l_partkey").alias("parts"))
 
 
+@book.add("a03_distinct_from_daily_sketches", """
+SELECT l_returnflag AS flag, year(l_shipdate) AS year, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_orderkey) AS orders, true AS parts_within, true AS orders_within
+FROM lineitem GROUP BY 1, 2""")
+def _(t):
+    d = t.lineitem.select(F.col("l_returnflag").alias("flag"), F.to_date("l_shipdate").alias("day"), F.year("l_shipdate").cast("long").alias("year"), "l_partkey", "l_orderkey")
+    cols = ["l_partkey", "l_orderkey"]
+    daily = materialize(ag.distinct_sketches(d, ["flag", "day"], cols), "sketches")
+    yearly = ag.merged_distinct(daily.withColumn("year", F.year("day").cast("long")), ["flag", "year"], cols)
+    exact = d.groupBy("flag", "year").agg(F.countDistinct("l_partkey").alias("parts"), F.countDistinct("l_orderkey").alias("orders"))
+
+    def within(name, col):
+        return (F.abs(F.col(f"approx_{col}") - F.col(name)) < 0.03 * F.col(name)).alias(f"{name}_within")
+
+    return exact.join(yearly, ["flag", "year"]).select("flag", "year", "parts", "orders", within("parts", "l_partkey"), within("orders", "l_orderkey"))
+
+
 @book.add("a04_count_rows_and_values", f"WITH {ACTIONS} SELECT user_id, count(*) AS n, count(widget) AS n_widget FROM actions GROUP BY 1")
 def _(t):
     return t.actions.groupBy("user_id").agg(F.count("*").alias("n"), F.count("widget").alias("n_widget"))

@@ -128,3 +128,19 @@ def split_usage(dump: DataFrame, feature: str, depth: str, depths: list[int]) ->
 
 def any_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds)
+
+
+# approximate distinct counts --------------------------------------------------------------
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], cols: list[str], size: int = 14) -> DataFrame:
+    """One HyperLogLog sketch per group and column, ``sketch_<col>``, to be stored and merged later; 2^size registers.
+
+    Integers, strings and binaries only; nulls do not count. Sketches combine on the map side, so a hot group is no bottleneck.
+    """
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(c, F.lit(size)).alias(f"sketch_{c}") for c in cols])
+
+
+def merged_distinct(sketches: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Approximate distinct counts per group from stored sketches of finer groups, ``approx_<col>``; rows are never read again."""
+    return sketches.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"sketch_{c}", F.lit(False))).alias(f"approx_{c}") for c in cols])
