@@ -146,7 +146,26 @@ def _(t):
     return probs(t).select("doc_id", m.pick_class(PROBS, THRESHOLDS, WEIGHTS).alias("chosen"))
 
 
-@book.add("v15_threshold_search")
+def _search_sql(candidates, tie):
+    """Brute force: every candidate of every class in turn, with the whole loss over all rows."""
+    best, steps = [f"{t!r}::DOUBLE" for t in THRESHOLDS], []
+    for i in range(8):
+        tries = [*best[:i], "t", *best[i + 1:]]
+        high = "greatest(" + ", ".join(f"CASE WHEN c{j} >= {t} THEN c{j} * {w!r}::DOUBLE END" for j, (t, w) in enumerate(zip(tries, WEIGHTS))) + ")"
+        first = " ".join(f"WHEN c{j} >= {t} AND c{j} * {w!r}::DOUBLE = high THEN {j}" for j, (t, w) in enumerate(zip(tries, WEIGHTS)))
+        plain = " ".join(f"WHEN c{j} = greatest({', '.join(PROBS)}) THEN {j}" for j in range(8))
+        steps.append(f"""h{i} AS (SELECT *, {high} AS high FROM pr, ({candidates.format(c=f'c{i}')}) v),
+l{i} AS (SELECT t, sum(CAST({CASES.format(c='y')} AS DECIMAL(20, 9)) * abs(y - CASE {first} {plain} END)) AS loss, count(*) AS n FROM h{i} GROUP BY 1),
+b{i} AS (SELECT {i} AS class, t, loss::DOUBLE / n AS wmae FROM l{i} ORDER BY loss, t {tie} LIMIT 1)""")
+        best[i] = f"(SELECT t FROM b{i})"
+    return f"WITH {PROB_SQL}, " + ", ".join(steps), best
+
+
+_GRID_SQL, _GRID_BEST = _search_sql("SELECT i / 40::DOUBLE AS t FROM range(1, 21) r(i)", "ASC")
+_LINE_SQL, _ = _search_sql("SELECT DISTINCT {c} AS t FROM pr UNION SELECT 1.0::DOUBLE", "DESC")
+
+
+@book.add("v15_threshold_search", f"{_GRID_SQL} SELECT concat_ws(',', {', '.join(f'CAST({b} AS VARCHAR)' for b in _GRID_BEST)}) AS thresholds, round((SELECT wmae FROM b7), 6) AS wmae")
 def _(t):
     d = probs(t)
     best = m.threshold_search(d, "y", PROBS, [i / 40 for i in range(1, 21)], THRESHOLDS, WEIGHTS, WEIGHTS)
@@ -154,6 +173,13 @@ def _(t):
     return d.agg(F.lit(",".join(str(b) for b in best)).alias("thresholds"), rnd(loss).alias("wmae"))
 
 
+@book.add("v15_threshold_lines", _LINE_SQL + " SELECT class, round(t, 9) AS threshold, round(wmae, 6) AS wmae FROM (" + " UNION ALL ".join(f"SELECT * FROM b{i}" for i in range(8)) + ")")
+def _(t):
+    best = m.threshold_lines(probs(t), "y", PROBS, THRESHOLDS, WEIGHTS, WEIGHTS)
+    rows = t.spark.createDataFrame([(i, *b) for i, b in enumerate(best)], "class int, threshold double, wmae double")
+    return rows.select("class", rnd("threshold", 9).alias("threshold"), rnd("wmae").alias("wmae"))
+
+
 @book.add("v16_error_summary", f"""{W}, e AS (SELECT *, CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END <> y AS wrong FROM scored)
 SELECT count(*) AS n, count(*) FILTER (WHERE wrong) AS errors, count(*) FILTER (WHERE wrong AND y = 0) AS false_positives, count(*) FILTER (WHERE wrong AND y = 1) AS false_negatives,
   round(count(*) FILTER (WHERE wrong) / count(*), 6) AS error_share, round(count(*) FILTER (WHERE wrong AND y = 0) / count(*) FILTER (WHERE wrong), 6) AS false_positive_share, round(avg(abs(y - p1)), 6) AS mean_distance FROM e""")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from featherloom.catalog.base import SCORED, Book, rnd, uniform_sql
 from featherloom.catalog.neighbours import emb_nn
-from featherloom.operators import metrics, spectral, splits, textspace
+from featherloom.operators import isotonic, metrics, spectral, splits, textspace
 from featherloom.operators import models as ml
 from featherloom.session import materialize
 
@@ -273,6 +273,20 @@ def _(t):
     return ml.calibrate(d, "p1", "y").groupBy("p1").agg(rnd(F.max("calibrated"), 9).alias("calibrated"))
 
 
+@book.add("m12_isotonic_out_of_fold", f"""
+WITH {SCORED}, p AS (SELECT doc_id, y, p1 AS x, CAST(floor({uniform_sql('doc_id', 9)} * 4) AS INT) AS fold FROM scored),
+s AS (SELECT f, x, sum(y) AS y, count(*) AS n FROM p, range(0, 4) r(f) WHERE fold <> f GROUP BY 1, 2),
+c AS (SELECT f, x, sum(y) OVER w AS cy, sum(n) OVER w AS cn, sum(y) OVER w - y AS by, sum(n) OVER w - n AS bn FROM s WINDOW w AS (PARTITION BY f ORDER BY x)),
+lows AS (SELECT a.f, a.x AS lo, m.x, min((b.cy - a.by) / (b.cn - a.bn)) AS v FROM c a JOIN c m ON a.f = m.f AND a.x <= m.x JOIN c b ON b.f = m.f AND b.x >= m.x GROUP BY 1, 2, 3),
+fit AS (SELECT f, x, max(v) AS v FROM lows GROUP BY 1, 2)
+SELECT doc_id, fold, round(CASE WHEN hi.x > lo.x THEN lo.v + (hi.v - lo.v) * ((p.x - lo.x) / (hi.x - lo.x)) ELSE coalesce(lo.v, hi.v) END, 9) AS calibrated
+FROM p ASOF LEFT JOIN fit lo ON p.fold = lo.f AND p.x >= lo.x ASOF LEFT JOIN fit hi ON p.fold = hi.f AND p.x <= hi.x""")
+def _(t):
+    """Calibrated score of rows that the fit has not seen."""
+    d = splits.random_folds(t.scored.select("doc_id", "y", "p1"), "doc_id", 4, 9)
+    return isotonic.out_of_fold(d, "p1", "y", "fold", "calibrated").select("doc_id", "fold", rnd("calibrated", 9).alias("calibrated"))
+
+
 @book.add("m15_segmented_lines", f"""
 WITH {TEXTS}, m AS (SELECT chars < 1500 AS side, regr_slope(y, words) AS b, regr_intercept(y, words) AS a FROM texts GROUP BY 1)
 SELECT doc_id, round(a + b * words, 6) AS score FROM texts JOIN m ON side = (chars < 1500)""")

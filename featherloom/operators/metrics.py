@@ -210,21 +210,64 @@ def pick_class(probs: list[str], thresholds: list[float], weights: list[float])
     return F.coalesce(first_best(scores), first_best([F.col(c) for c in probs]))
 
 
+def _row_loss(y: Column, p: Column, weights: list[float]) -> Column:
+    """``w |y - p|`` of one row as an exact decimal (weights to nine places), so that sums and ties do not depend on the order of rows."""
+    return (class_weight(y, weights) * F.abs(y - p)).cast("decimal(20,9)")
+
+
 def threshold_search(df: DataFrame, label: str, probs: list[str], grid: list[float], start: list[float],
                      pick_weights: list[float], loss_weights: list[float]) -> list[float]:
-    """Class by class, the grid threshold with the lowest weighted MAE; one aggregation per class."""
+    """Class by class, the grid threshold with the lowest weighted MAE, ties to the first; one aggregation per class."""
     best = list(start)
     y = F.col(label).cast("double")
     for i in range(len(probs)):
         tries = [best[:i] + [g] + best[i + 1:] for g in grid]
         losses = df.agg(*[
-            weighted_mae(y, pick_class(probs, t, pick_weights).cast("double"), loss_weights).alias(f"g{j}") for j, t in enumerate(tries)
+            F.sum(_row_loss(y, pick_class(probs, t, pick_weights).cast("double"), loss_weights)).alias(f"g{j}") for j, t in enumerate(tries)
         ]).first()
-        j = min(range(len(grid)), key=lambda k: (losses[k], k))
+        j = min(range(len(grid)), key=lambda k: (losses[k] is None, losses[k], k))
         best[i] = grid[j]
     return best
 
 
+def threshold_lines(df: DataFrame, label: str, probs: list[str], start: list[float], pick_weights: list[float], loss_weights: list[float],
+                    rounds: int = 1) -> list[tuple[float, float | None]]:
+    """Class by class, the best of all thresholds in [0, 1], as (threshold, weighted MAE after that step).
+
+    Along the threshold of one class a row has two outcomes only: the choice with that class allowed (threshold up to its probability) and
+    without it. So the loss is a step function. Rows whose choice stays are no steps and go nowhere; the others are summed per probability,
+    and running sums from the top give the loss at every step. Ties go to the largest threshold; 1.0 is always tried.
+
+    A row with a null label or without any probability costs nothing. An empty table keeps ``start``, with null losses.
+    """
+    best, found = list(start), [(t, None) for t in start]
+    y = F.col(label).cast("double")
+    d = df.where(y.isNotNull() & F.coalesce(*probs).isNotNull())
+
+    def loss(thresholds: list[float]) -> Column:
+        return _row_loss(y, pick_class(probs, thresholds, pick_weights).cast("double"), loss_weights)
+
+    for i in [*range(len(probs))] * rounds:
+        allowed, barred = ([*best[:i], t, *best[i + 1:]] for t in (float("-inf"), float("inf")))
+        p = F.col(probs[i]).cast("double")
+        # one pass: the loss of all rows without the class, and what allowing it changes at each probability
+        change = F.when(p.isNotNull(), loss(allowed) - loss(barred)).otherwise(F.lit(0).cast("decimal(20,9)"))
+        rows = d.select(F.when(change != 0, F.least(p, F.lit(1.0))).alias("at"), change.alias("change"), loss(barred).alias("barred"))
+        steps = rows.groupBy("at").agg(F.sum("change").alias("change"), F.sum("barred").alias("barred"), F.count("*").alias("n"))
+        steps = steps.unionByName(d.sparkSession.createDataFrame([(1.0,)], "at double"), allowMissingColumns=True)
+        steps = steps.groupBy("at").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("change", "barred", "n")])
+        run = running(steps, [], ["-at"], {"change_above": ("sum", F.col("change")), "barred_above": ("sum", F.col("barred")), "rows_above": ("sum", F.col("n"))},
+                      totals=True)
+        total = F.col("barred_above_total") + F.col("change_above")
+        top = run.where("at IS NOT NULL").agg(
+            F.max_by(F.struct("at", total.alias("loss"), F.col("rows_above_total").alias("n")), F.struct(-total, F.col("at"))).alias("b")).first()["b"]
+        if not top["n"]:
+            return found
+        best[i] = top["at"]
+        found[i] = (top["at"], float(top["loss"] / top["n"]))
+    return found
+
+
 # error reports ---------------------------------------------------------------------------
 
 def error_summary(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:

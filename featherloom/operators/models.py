@@ -11,12 +11,12 @@ from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegressi
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import IDF, PCA, HashingTF, Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featherloom.functions.numbers import ratio
-from featherloom.operators import knn, spectral, textspace
+from featherloom.operators import isotonic, knn, spectral, textspace
 from featherloom.operators.ordered import running
 from featherloom.operators.splits import hash_uniform, poisson_count
 from featherloom.operators.stats import with_stats
@@ -214,9 +214,8 @@ def knn_out_of_fold(df: DataFrame, key: str, vector: str, label: str, fold: str,
 
 
 def calibrate(df: DataFrame, score: str, label: str, out: str = "calibrated") -> DataFrame:
-    """Isotonic mapping of a score to a probability."""
-    model = IsotonicRegression(featuresCol=score, labelCol=label, predictionCol=out).fit(df)
-    return model.transform(df)
+    """Isotonic mapping of a score to a probability, fitted on the rows themselves (see :func:`isotonic.out_of_fold`)."""
+    return isotonic.predict(isotonic.fit(df, score, label), df, score, out)
 
 
 def segmented(df: DataFrame, rule: Column, cols: list[str], label: str, model: Estimator, score: Column, out: str = "score") -> DataFrame:
