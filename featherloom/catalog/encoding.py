@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from featherloom.catalog.base import ACTIONS, SCORED, Book, rnd, uniform_sql
 from featherloom.functions.strings import join_text
 from featherloom.operators import encode as enc
+from featherloom.operators.ordered import positions
+from featherloom.operators.rules import match_rules
 
 book = Book()
 AMOUNTS = "a AS (SELECT o_orderkey, o_totalprice AS x, (SELECT min(o_totalprice) FROM orders) AS lo, (SELECT max(o_totalprice) FROM orders) AS hi FROM orders)"
@@ -197,6 +199,26 @@ def _(t):
     return t.documents.select("doc_id", enc.keyword_rules(F.col("text"), RULES).alias("cluster"))
 
 
+# every different word of the benchmark is a rule: its place in the alphabet is the priority; every third one must start a word
+RULE_SQL = r"""words AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS needs FROM benchmark),
+rules AS (SELECT row_number() OVER (ORDER BY needs) AS priority, needs FROM words WHERE length(needs) >= 2),
+r AS (SELECT priority, needs, CASE WHEN priority % 3 = 0 THEN '(^| )' || needs END AS pattern, CAST(priority * 7919 % 20 AS INT) AS cluster FROM rules)"""
+
+
+def rule_table(t):
+    words = t.benchmark.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("needs")).where("length(needs) >= 2").distinct()
+    d = positions(words, [], ["needs"], "priority")
+    return d.select("priority", "needs", F.when(F.col("priority") % 3 == 0, F.concat(F.lit("(^| )"), "needs")).alias("pattern"),
+                    (F.col("priority") * 7919 % 20).cast("int").alias("cluster"))
+
+
+@book.add("e21_rule_table", f"""WITH {RULE_SQL}, h AS (SELECT doc_id, arg_max(cluster, priority) AS cluster FROM documents JOIN r
+  ON contains(lower(text), needs) AND (pattern IS NULL OR regexp_matches(lower(text), pattern)) GROUP BY 1)
+SELECT doc_id, coalesce(cluster, -1) AS cluster FROM documents LEFT JOIN h USING (doc_id)""")
+def _(t):
+    return match_rules(t.documents.select("doc_id", "text"), "text", rule_table(t)).select("doc_id", "cluster")
+
+
 @book.add("e22_word_overrides", r"""
 WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+')) AS word FROM documents),
 r AS (SELECT * FROM (VALUES ('the', 1, 10), ('and', 2, 11), ('is', 3, 12), ('der', 4, 13), ('le', 5, 14)) r(word, priority, cluster))
