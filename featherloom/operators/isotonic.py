@@ -154,8 +154,10 @@ def out_of_fold(df: DataFrame, score: str, label: str, fold: str, out: str) -> D
     x, y = F.col(score).cast("double"), F.col(label).cast("double")
     usable = df.where(x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y))
     counts = usable.groupBy(F.col(fold).alias("__own"), x.alias("__score"), y.alias("__label")).agg(F.count("*").alias("__rows"))
-    folds = df.select(F.col(fold).alias("__fold")).distinct()
-    train = counts.join(folds, ~F.col("__own").eqNullSafe(F.col("__fold"))).groupBy("__fold", "__score", "__label").agg(F.sum("__rows").alias("__rows"))
+    # struct items, so that a null fold is a fold too
+    folds = df.agg(F.collect_set(F.struct(F.col(fold).alias("f"))).alias("f")).scalar()
+    others = counts.withColumn("__other", F.explode(F.array_except(folds, F.array(F.struct(F.col("__own").alias("f"))))))
+    train = others.withColumn("__fold", F.col("__other")["f"]).groupBy("__fold", "__score", "__label").agg(F.sum("__rows").alias("__rows"))
     fits = fit(train, "__score", "__label", ["__fold"], F.col("__rows"))
     d = df.withColumns({"__fold": F.col(fold), "__score": x})
     return predict(fits, d, "__score", out, ["__fold"]).drop("__fold", "__score")

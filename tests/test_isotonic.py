@@ -53,6 +53,20 @@ def test_keys_nulls_and_prediction(spark):
     assert isotonic.fit(d.where("false"), "x", "y", ["k"]).count() == 0
 
 
+def test_out_of_fold_fits_leave_the_own_fold_out(spark):
+    r = random.Random(8)
+    rows = [(i, r.choice([0, 1, None]), r.randrange(9) / 4, r.randrange(2)) for i in range(90)] + [(90, 0, None, 1), (91, 1, 1.0, None)]
+    d = spark.createDataFrame(rows, "id int, f int, x double, y int")
+    got = {r["id"]: r["p"] for r in isotonic.out_of_fold(d, "x", "y", "f", "p").collect()}
+    assert len(got) == len(rows)
+    for i, f, x, _ in rows:
+        want = pooled([(a, b) for _, g, a, b in rows if g != f and a is not None and b is not None])
+        if x is None:
+            assert got[i] is None
+        elif x in want:
+            assert abs(got[i] - want[x]) < 1e-9
+
+
 def test_threshold_line_is_the_best_of_all_thresholds(spark):
     r = random.Random(3)
     rows = [(r.randrange(3), *[r.randrange(20) / 20 if r.random() > .1 else None for _ in range(3)]) for _ in range(80)] + [(None, .5, .5, .5), (1, None, None, None)]
