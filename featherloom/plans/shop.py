@@ -70,7 +70,8 @@ def action_features(actions: DataFrame, products: DataFrame, cutoff: str, lookba
     names = {"num_{}_clusters": "unique", "main_{}_cluster": "mode", "{}_cluster_concentration": "concentration"}
     wide = per_type.groupBy("user_id").agg(*[
         F.max(F.when(F.col("action") == a, F.col(c))).alias(n.format(s)) for a, s in ACTION_TYPES.items() for n, c in names.items()])
-    return block.join(wide, "user_id", "left")
+    # no action of a type: no clusters, as its other counts are 0
+    return block.join(wide, "user_id", "left").fillna(0, subset=[f"num_{s}_clusters" for s in groups])
 
 
 def recent_windows(actions: DataFrame, products: DataFrame, cutoff: str, windows: list[int]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from featherloom.catalog.hooks import _finish, _merge, _start
 from featherloom.operators import aggregates, encode, joins, metrics, splits
 from featherloom import session
+from featherloom.plans import shop
 from featherloom.session import scratch_path
 from featherloom.streaming import jobs
 
@@ -158,3 +159,14 @@ def test_scratch_is_cleared(spark, monkeypatch):
     assert not session._written
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_a_user_without_an_action_type_has_no_clusters_of_it(spark):
+    """The count of clusters is 0 there as all other counts are, not null."""
+    rows = [(1, 7, "2024-01-19 10:00:00", 5, "click", 1, None), (2, 7, "2024-01-19 11:00:00", 6, "click", 2, None), (3, 8, "2024-01-19 11:00:00", 6, "purchase", 2, None)]
+    actions = spark.createDataFrame(rows, "event_id long, user_id long, ts string, product_id long, action string, cluster int, widget int").withColumn("ts", F.col("ts").cast("timestamp"))
+    products = spark.createDataFrame([(5, 9.5, "b", "c", 1), (6, 3.0, "b", "c", 2)], "product_id long, price double, brand string, category string, cluster int")
+    got = {r["user_id"]: r for r in shop.action_features(actions, products, "2024-01-21", 15).collect()}
+    counts = {u: [r[f"num_{s}_clusters"] for s in ("click", "favorite", "order", "to_cart")] for u, r in got.items()}
+    assert counts == {7: [2, 0, 0, 0], 8: [0, 0, 1, 0]}
+    assert got[7]["main_order_cluster"] is None
