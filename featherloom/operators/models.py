@@ -269,8 +269,13 @@ def best_splits(df: DataFrame, features: list[str], label: str, kind: str = "gin
     aggs = {f"l_{c}": ("sum", F.col(c)) for c in ["n", *names]} | {"prev": ("max", F.col("x"))}
     d = running(counts, ["feature"], ["x"], aggs, exclusive=True, totals=True).where(F.col("prev").isNotNull())
     n, left = F.col("l_n_total"), F.col("l_n")
-    rest = [F.col(f"l_{c}_total") - F.col(f"l_{c}") for c in names]
-    gain = (_impurity(kind, n, [F.col(f"l_{c}_total") for c in names])
-            - left / n * _impurity(kind, left, [F.col(f"l_{c}") for c in names]) - (n - left) / n * _impurity(kind, n - left, rest))
+    if kind == "mse":
+        # the drop is the variance between the two sides; as a difference of two variances a small one would be lost in their rounding
+        gap = F.col("l_p0") / left - (F.col("l_p0_total") - F.col("l_p0")) / (n - left)
+        gain = left / n * ((n - left) / n) * gap * gap
+    else:
+        rest = [F.col(f"l_{c}_total") - F.col(f"l_{c}") for c in names]
+        gain = (_impurity(kind, n, [F.col(f"l_{c}_total") for c in names])
+                - left / n * _impurity(kind, left, [F.col(f"l_{c}") for c in names]) - (n - left) / n * _impurity(kind, n - left, rest))
     d = d.select("feature", ((F.col("prev") + F.col("x")) / 2).alias("threshold"), gain.alias("gain"))
     return d.groupBy("feature").agg(F.min_by("threshold", F.struct(-F.round("gain", 12), F.col("threshold"))).alias("threshold"), F.max("gain").alias("gain"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featherloom.catalog.hooks import _finish, _merge, _start
-from featherloom.operators import aggregates, encode, joins, metrics, splits
+from featherloom.operators import aggregates, encode, joins, metrics, models, splits
 from featherloom import session
 from featherloom.plans import shop
 from featherloom.session import scratch_path
@@ -170,3 +170,19 @@ def test_a_user_without_an_action_type_has_no_clusters_of_it(spark):
     counts = {u: [r[f"num_{s}_clusters"] for s in ("click", "favorite", "order", "to_cart")] for u, r in got.items()}
     assert counts == {7: [2, 0, 0, 0], 8: [0, 0, 1, 0]}
     assert got[7]["main_order_cluster"] is None
+
+
+def test_small_variance_drop_beside_a_large_mean(spark):
+    """The drop is found as between the sides, so a mean of 10^7 does not drown a drop of about 0.1."""
+    x, y = [i % 5 for i in range(200)], [0.25 * (i % 8) + (0.7 if i % 5 > 2 else 0.0) for i in range(200)]
+    df = spark.createDataFrame([(float(a), 1e7 + b) for a, b in zip(x, y)], "x double, y double")
+
+    def mean(v):
+        return sum(v) / len(v)
+
+    def drop(edge):
+        sides = [[b for a, b in zip(x, y) if a < edge], [b for a, b in zip(x, y) if a > edge]]
+        return sum(len(s) / len(y) * (mean(s) - mean(y)) ** 2 for s in sides)
+
+    got = models.best_splits(df, ["x"], "y", "mse").first()
+    assert got["threshold"] == 2.5 and got["gain"] == pytest.approx(drop(2.5), rel=1e-6)
