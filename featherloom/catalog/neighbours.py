@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from featherloom.catalog.base import Book, rnd
 from featherloom.operators import encode, knn
+from featherloom.session import materialize
 
 book = Book()
 
@@ -120,6 +121,7 @@ def _(t):
 @book.add("k09_search_scaled_report_raw", UNN + "SELECT a AS vec_id, round(avg(s.top), 6) AS top_mean, round(avg(distance), 6) AS scaled_distance FROM nn JOIN users s ON s.vec_id = b GROUP BY 1")
 def _(t):
     u, nn = user_nn(t)
+    nn = materialize(nn, "neighbours")
     raw = knn.value_stats(nn, u, "vec_id", ["top"]).select("vec_id", rnd("top_mean").alias("top_mean"))
     return raw.join(knn.distance_stats(nn, "vec_id").select("vec_id", rnd("distance_mean").alias("scaled_distance")), "vec_id")
 
@@ -165,7 +167,7 @@ SELECT nn.a AS vec_id, coalesce(round(avg(nullif(x, -1)), 6), -1) AS x_mean, max
   count(*) FILTER (WHERE x = -1) AS x_invalid, any_value(x_mode) AS x_mode FROM nn JOIN s ON vec_id = b LEFT JOIN m ON m.a = nn.a GROUP BY 1""")
 def _(t):
     base = t.embeddings.withColumn("x", F.when(F.col("vec_id") % 4 == 0, -1).otherwise(F.col("label")))
-    nn = knn.nearest(base, base, "vec_id", "embedding", 6, exclude="vec_id")
+    nn = materialize(knn.nearest(base, base, "vec_id", "embedding", 6, exclude="vec_id"), "neighbours")
     d = knn.sentinel_stats(nn, base, "vec_id", "x").join(knn.neighbour_mode(nn, base, "vec_id", "x", sentinel=-1), "vec_id", "left")
     return d.withColumns({"x_mean": rnd("x_mean"), "x_std": rnd("x_std")})
 
@@ -176,7 +178,7 @@ SELECT a AS vec_id, arg_min(label, (-n, label)) AS uniform, arg_min(label, (-w,
 
 @book.add("k14_vote", VOTE)
 def _(t):
-    nn = knn.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 7, exclude="vec_id")
+    nn = materialize(knn.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", 7, exclude="vec_id"), "neighbours")
     a = knn.vote(nn, t.embeddings, "vec_id", "label", out="uniform")
     return a.join(knn.vote(nn, t.embeddings, "vec_id", "label", by_distance=True, out="weighted"), "vec_id")
 

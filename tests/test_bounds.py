@@ -93,3 +93,46 @@ def test_sliding_counts_from_panes(spark):
         for i in range(1, 31):
             want[str(day + d + i), u] = want.get((str(day + d + i), u), 0) + n
     assert got == want
+
+
+def test_a_search_task_holds_one_batch_of_base_rows():
+    """Base rows pass through a task batch by batch; only the queries and their best rows stay."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+
+    def batch(start, x, base):
+        n = len(x)
+        zero = pa.array(np.zeros(n, "int64"))
+        vec = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype="int32") * x.shape[1]), pa.array(x.ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(start, start + n)), vec, zero, zero, zero, zero, pa.array([base] * n)],
+                                          names=["id", "vec", "skip", "cell", "qb", "bb", "base"])
+
+    queries = rng.normal(size=(50, 32))
+    seen = []
+
+    def feed():
+        yield batch(0, queries, False)
+        for i in range(60):
+            x = rng.normal(size=(4000, 32))
+            seen.append(x.astype("float32"))
+            yield batch(i * 4000, x, True)
+
+    tracemalloc.start()
+    got = [b for b in knn._block_search(3, False)(feed())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print(f"peak MB {peak / 1e6:.0f} with 61 MB of base rows")
+    assert peak - sum(x.nbytes for x in seen) < 45e6
+    assert sum(b.num_rows for b in got) == 150
+
+
+def test_buckets_that_hold_most_pairs_are_searched_once(spark, monkeypatch):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.random.default_rng(6).normal(size=(60, 4)))], "id long, vec array<double>")
+    cells, plain_nearest = [], knn.nearest
+    monkeypatch.setattr(knn, "nearest", lambda *a, **o: cells.append(o.get("cell")) or plain_nearest(*a, **o))
+    found = knn.lsh_nearest(df, "id", "vec", 3, bucket_length=1e6, tables=24)
+    assert cells == [None]
+    assert found.exceptAll(plain_nearest(df, df, "id", "vec", 3, exclude="id")).count() == 0
