@@ -143,6 +143,39 @@ def fit_on(cols: list[str], model: Estimator, df: DataFrame) -> PipelineModel:
     return Pipeline(stages=[_assembled(cols, model.getOrDefault(model.featuresCol)), model]).fit(df)
 
 
+BINS = 32  # Spark's default for trees
+
+
+def tree_cells(df: DataFrame, cols: list[str], label: str, bins: int = BINS) -> DataFrame:
+    """All rows of ``df`` as cells of equal binned features, at most twice ``bins`` to the power of columns however many rows there are.
+
+    A column with more than twice ``bins`` values is cut at its quantiles, as Spark's trees do. Columns: per feature the lower edge of the
+    bin, the mean label, ``n`` (rows), ``__s`` and ``__ss`` (sums of the label and its square). The squares inside a cell do not depend on
+    a split, so regression trees weighted by ``n`` gain the same by a split as on the rows. A forest's bags draw cells, not rows.
+    """
+    known = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    shares = [i / bins for i in range(1, bins)]
+    wide = [c for c in cols if known[c] > 2 * bins]
+    edges = df.agg(*[F.percentile_approx(c, shares, 10_000).alias(c) for c in wide]).first() if wide else {}
+
+    def low(c: str) -> Column:
+        if c not in wide:
+            return F.col(c).cast("double")
+        cuts = F.array(*[F.lit(float(x)) for x in sorted(set(edges[c]))])
+        return F.when(F.col(c).isNotNull(), F.coalesce(F.array_max(F.filter(cuts, lambda x: x <= F.col(c))), F.lit(float(min(edges[c])) - 1.0)))
+
+    y = F.col(label).cast("double")
+    sums = df.groupBy(*[low(c).alias(c) for c in cols]).agg(F.count(label).cast("double").alias("n"), F.sum(y).alias("__s"), F.sum(y * y).alias("__ss"))
+    return sums.where("n > 0").withColumn(label, F.col("__s") / F.col("n"))
+
+
+def rmse_of_cells(cells: DataFrame, guess: Column) -> Column:
+    """Root mean squared error over all rows in the cells, one guess a cell."""
+    mean = F.col("__s") / F.col("n")
+    inside = F.greatest(F.col("__ss") - F.col("__s") * mean, F.lit(0.0))
+    return F.sqrt(F.sum(inside + F.col("n") * (mean - guess) * (mean - guess)) / F.sum("n"))
+
+
 def _mean(cols: list[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.col(c) for c in cols]) / len(cols)
 

@@ -186,3 +186,19 @@ def test_small_variance_drop_beside_a_large_mean(spark):
 
     got = models.best_splits(df, ["x"], "y", "mse").first()
     assert got["threshold"] == 2.5 and got["gain"] == pytest.approx(drop(2.5), rel=1e-6)
+
+
+def test_trees_over_cells_see_every_row(spark):
+    """The number of cells does not follow the number of rows, their sums are those of all rows, and a tree over them is the tree over the rows."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    df = spark.range(20_000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") * 37 % 9973).cast("double").alias("b"),
+                                    ((F.col("id") % 7 > 3).cast("double") * 5 + F.col("id") % 11).alias("y"))
+    cells = models.tree_cells(df, ["a", "b"], "y").cache()
+    assert cells.count() <= 7 * 32
+    total = df.agg(F.count("*"), F.sum("y"), F.sum(F.col("y") * F.col("y"))).first()
+    assert list(cells.agg(F.sum("n"), F.sum("__s"), F.sum("__ss")).first()) == pytest.approx(list(total))
+    tree = DecisionTreeRegressor(featuresCol="features", labelCol="y", maxDepth=1, maxBins=64)
+    plain = models.fit_on(["a", "b"], tree, df).transform(df).agg(metrics.rmse(F.col("y"), F.col("prediction"))).first()[0]
+    celled = models.fit_on(["a", "b"], tree.copy({tree.weightCol: "n"}), cells).transform(cells).agg(models.rmse_of_cells(cells, F.col("prediction"))).first()[0]
+    assert celled == pytest.approx(plain, rel=1e-9)
