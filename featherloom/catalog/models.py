@@ -50,7 +50,8 @@ def _(t):
 def _(t):
     words = t.documents.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("length(word) > 1")
     words = words.groupBy("word").agg(F.min_by("lang", F.col("lang")).alias("lang"))
-    words = words.withColumn("grams", ml.char_ngrams(F.col("word"), 2, 4))
+    # written out, or every stage of the fit would read the documents again
+    words = materialize(words, "words").withColumn("grams", ml.char_ngrams(F.col("word"), 2, 4))
     out = ml.word_classifier("lang").fit(words).transform(words)
     return out.groupBy("lang").agg(F.count("*").alias("words"), F.avg((F.col("label_index") == F.col("prediction")).cast("int")).alias("recall"))
 
