@@ -57,12 +57,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return _written[-1]
 
 
+def discard(spark: SparkSession, written: str) -> None:
+    """Delete one table written under :func:`scratch_path`, when nothing will read it again."""
+    _written.remove(written)
+    path = spark._jvm.org.apache.hadoop.fs.Path(written)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this process wrote under :func:`scratch_path`. Call it when every result that reads it has been consumed."""
-    conf = spark._jsc.hadoopConfiguration()
     while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+        discard(spark, _written[-1])
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

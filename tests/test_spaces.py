@@ -78,6 +78,23 @@ def test_eigenvalues_of_the_neighbour_graph(spark, folder):
     assert np.abs(s @ v - v * values).max() < 1e-4 and np.allclose(v.T @ v, np.eye(4), atol=1e-6)
 
 
+def test_eigenvectors_of_a_long_ring_take_all_their_steps(spark):
+    """Eigenvalues that lie close together need more than 80 steps."""
+    n = 400
+    edges = spark.range(n).select(F.col("id").alias("src"), ((F.col("id") + 1) % n).alias("dst"), F.lit(1.0).alias("weight"))
+    rows, values = spectral.leading_eigenvectors(edges, 4, block_nodes=100)
+    assert np.allclose(values, np.cos(2 * np.pi * np.array([0, 1, 1, 2]) / n), rtol=0, atol=1e-8)
+    v = np.array([r["vector"] for r in rows.orderBy("id").collect()])
+    around = (np.roll(v, 1, axis=0) + np.roll(v, -1, axis=0)) / 2
+    assert v.shape == (n, 4) and np.abs(around - v * values).max() < 1e-4 and np.allclose(v.T @ v, np.eye(4), atol=1e-6)
+
+
+def test_too_few_steps_are_an_error(spark):
+    edges = spark.range(60).select(F.col("id").alias("src"), ((F.col("id") + 1) % 60).alias("dst"), F.lit(1.0).alias("weight"))
+    with pytest.raises(ArithmeticError):
+        spectral.leading_eigenvectors(edges, 4, steps=3)
+
+
 def test_separate_cliques_are_clusters(spark):
     points = [(10 * c + i, [100.0 * c + 0.1 * i, float(i % 3)]) for c in range(3) for i in range(8)]
     got = {r["id"]: r["cluster"] for r in models.graph_clusters(spark.createDataFrame(points, "id long, v array<double>"), "id", "v", 3, k=3).collect()}
