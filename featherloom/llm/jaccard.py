@@ -228,12 +228,15 @@ def _compared(rows: DataFrame, best: bool) -> DataFrame:
 
 
 def _spread(links: DataFrame) -> DataFrame:
-    """(node, label) for the nodes of ``links`` (a, b): the smallest node found within HOPS links. Nodes of one label are connected."""
+    """(node, label) for the nodes of ``links`` (a, b): the smallest node found within HOPS links. Nodes of one label are connected.
+
+    A hop takes the least label of the neighbours only. Their labels already count the node itself, a neighbour of theirs, so a hop reads the
+    labels before it once, and the plan grows with the hops, not with their power of two.
+    """
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
     for _ in range(HOPS - 1):
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        labels = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("label", "near").alias("label"))
+        labels = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("label"))
     return labels
 
 

@@ -94,3 +94,21 @@ def test_linked_sizes_lie_in_neighbouring_bands():
     for n in range(1, 20_000):
         assert jaccard.band_of(n * 5 // 4) - jaccard.band_of(n) in (0, 1)
         assert jaccard.bits_of(jaccard.band_of(n) + 1) <= 2 * jaccard.bits_of(jaccard.band_of(n))
+
+
+def test_labels_spread_over_a_plan_that_grows_with_the_hops(spark):
+    """Each hop used to read the labels before it twice, 62 joins for six hops, whose plans filled the driver."""
+    rnd = random.Random(5)
+    nodes = [rnd.randrange(10 ** 9) for _ in range(40)]
+    rows = [*zip(nodes, nodes[1:])] + [(nodes[0], 7), (3, 4), (4, 3)] + [(10 ** 9 + 5, 10 ** 9 + k) for k in range(5)]  # a chain, a pair, a star
+    near = {}
+    for a, b in rows:
+        near.setdefault(a, {a}).add(b)
+        near.setdefault(b, {b}).add(a)
+    label = {v: v for v in near}
+    for _ in range(jaccard.HOPS):
+        label = {v: min(label[u] for u in near[v]) for v in near}
+    labels = jaccard._spread(spark.createDataFrame(rows, "a long, b long"))
+    assert {r["node"]: r["label"] for r in labels.collect()} == label
+    assert labels.count() == len(near)
+    assert labels._jdf.queryExecution().analyzed().toString().count("Join Inner") == jaccard.HOPS - 1
