@@ -12,6 +12,7 @@ from featherloom.session import materialize, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def partitions(spark: SparkSession) -> int:
@@ -39,6 +40,17 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "1m") -> Iterator[None]:
+    """Inside, rows go to Python in Arrow batches of about ``size``: a large row goes alone, and neither side holds a whole partition."""
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
 def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """``df`` written to the shared folder and read back, and its path, for :func:`delete_table`."""
     path = scratch_path(df.sparkSession, label)

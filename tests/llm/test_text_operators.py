@@ -2,14 +2,18 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from featherloom.llm import chat, decontaminate, licenses, quality, secret_scan, simhash, suffix_dedup, toxicity
+from featherloom.llm.common import BATCH_BYTES, small_batches
 from featherloom.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -232,6 +236,33 @@ def test_cover_and_ranks():
     assert suffix_dedup.unpack(suffix_dedup.pack(values)).tolist() == values.tolist()
 
 
+def test_repeats_are_found_one_block_at_a_time(spark):
+    """What a task holds is bounded: by the text of one block, of one row group, of one bucket."""
+    n = 1 << 21
+    body = np.random.default_rng(0).integers(97, 123, n + suffix_dedup.LENGTH - 1).astype(np.uint8)
+    row = {"block": 0, "ids": [7], "doc": [0], "start": [0], "count": [n], "body": body.tobytes()}
+    tracemalloc.start()
+    mine, first, keys = suffix_dedup._Suffixes(row, 1, 2).sorted(1, 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 25 * n  # 41 bytes a suffix when places were kept and a turn took all
+    assert len(mine) == len(first) == len(keys) and 0 < len(mine) < n and (np.diff(keys.astype(object)) > 0).all()
+
+    def count(batches):
+        for b in batches:
+            yield pa.record_batch({"n": pa.array([b.num_rows])})
+
+    large = spark.range(0, 12, 1, 1).select(F.col("id").alias("block"), F.repeat(F.lit("x"), 1 << 21).cast("binary").alias("body"))
+    before = spark.conf.get(BATCH_BYTES)
+    with small_batches(spark):
+        assert [r["n"] for r in large.mapInArrow(count, "n long").collect()] == [1] * 12
+    assert spark.conf.get(BATCH_BYTES) == before
+    stored = suffix_dedup._stored(large, "test-rows")
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in stored.inputFiles()]
+    assert max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)) <= 2
+    assert suffix_dedup._buckets(spark, 10 ** 10) * suffix_dedup.BUCKET_BYTES >= 10 ** 10
+
+
 # licences
 
 def test_license_notices(spark, none):
